@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from ledgerflow.llm import best_fit_packing, chat_formatting, quality_rules, topk_search
+from ledgerflow.llm import best_fit_packing, chat_formatting, label_sharding, quality_rules, source_mixing, topk_search
 
 QUERIES = {
     "op1_chat_formatting": chat_formatting.query,
+    "op4_source_mixing": source_mixing.query,
+    "op5_label_sharding": label_sharding.query,
     "op6_topk_search": topk_search.query,
     "op7_quality_rules": quality_rules.query,
     "op9_best_fit_packing": best_fit_packing.query,
@@ -13,5 +15,6 @@ QUERIES = {
 
 ORACLES = {
     "op1_chat_formatting": chat_formatting.ORACLE_SQL,
+    "op4_source_mixing": source_mixing.ORACLE_SQL,
     "op6_topk_search": topk_search.ORACLE_SQL,
 }
