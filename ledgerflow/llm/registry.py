@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerflow.llm import best_fit_packing, chat_formatting, label_sharding, quality_rules, source_mixing, topk_search
+from ledgerflow.llm import best_fit_packing, chat_formatting, jaccard_join, label_sharding, line_dedup, quality_rules, source_mixing, topk_search
 
 QUERIES = {
     "op1_chat_formatting": chat_formatting.query,
@@ -10,11 +10,14 @@ QUERIES = {
     "op5_label_sharding": label_sharding.query,
     "op6_topk_search": topk_search.query,
     "op7_quality_rules": quality_rules.query,
+    "op8_jaccard_join": jaccard_join.query,
     "op9_best_fit_packing": best_fit_packing.query,
+    "op10_line_dedup": line_dedup.query,
 }
 
 ORACLES = {
     "op1_chat_formatting": chat_formatting.ORACLE_SQL,
     "op4_source_mixing": source_mixing.ORACLE_SQL,
     "op6_topk_search": topk_search.ORACLE_SQL,
+    "op10_line_dedup": line_dedup.ORACLE_SQL,
 }
