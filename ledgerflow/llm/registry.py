@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from ledgerflow.llm import best_fit_packing, chat_formatting, jaccard_join, label_sharding, line_dedup, quality_rules, source_mixing, suffix_dedup, topk_search
+from ledgerflow.llm import best_fit_packing, chat_formatting, html_extraction, jaccard_join, label_sharding, line_dedup, quality_rules, source_mixing, suffix_dedup, topk_search
 
 QUERIES = {
     "op1_chat_formatting": chat_formatting.query,
+    "op2_html_extraction": html_extraction.query,
     "op3_suffix_dedup": suffix_dedup.query,
     "op4_source_mixing": source_mixing.query,
     "op5_label_sharding": label_sharding.query,
