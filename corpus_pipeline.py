@@ -3,21 +3,48 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerflow.llm.best_fit_packing import default_tokenizer, pack
-from ledgerflow.llm.common import materialize, table
-from ledgerflow.llm.quality_rules import keep_good
+from ledgerflow.llm import best_fit_packing, jaccard_join, line_dedup, quality_rules, source_mixing
+from ledgerflow.llm.common import WORD, materialize, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_good(docs)
+    """Documents that the quality rules reject go."""
+    return quality_rules.keep_good(docs)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated and nearly repeated lines go, and so does a document that has no words left after that."""
+    done = line_dedup.dedup(docs)
+    done = done.filter((F.col("_n_removed") == 0) | F.col("text").rlike(WORD))
+    if "n_chars" in docs.columns:
+        done = done.withColumn("n_chars", F.when(F.col("_n_removed") == 0, F.col("n_chars")).otherwise(F.length("text").cast("long")))
+    return done.select([F.col(f"`{c}`") for c in docs.columns])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones stays."""
+    return jaccard_join.keep_one(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's target weight asks for."""
+    return source_mixing.emit(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(docs, default_tokenizer())
+    """Tokens in sequences of fixed length."""
+    return best_fit_packing.pack(docs, best_fit_packing.default_tokenizer())
 
 
-STAGES = [("quality rules", quality), ("best-fit packing", packing)]
+STAGES = [
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("n-gram Jaccard join", near_duplicates),
+    ("mixing sources to target weights", mixing),
+    ("best-fit packing", packing),
+]
 
 #: Tokenising cannot be said in SQL; tests hold run() against a brute-force version.
 ORACLE_SQL = None

@@ -30,10 +30,10 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import materialize, table
+from ledgerflow.llm.common import WORD, materialize, table
 from ledgerflow.llm.shingles import mix64, shingle_set
 
 SHINGLE, PERCENT, BAND, SEEDS = 4, 85, 1.5, 8
@@ -311,5 +311,19 @@ def link(docs: DataFrame) -> DataFrame:
     return out.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The earliest document of each component, and every document without words, with all their columns."""
+    linked = link(docs.select("doc_id", "text"))
+    stay = linked.filter((F.col("n_shingles") == 0) | F.col("component_id").eqNullSafe(F.col("doc_id")))
+    last = F.lit((1 << 63) - 1)
+    stay = stay.select(F.coalesce("doc_id", last).alias("_d")).distinct()
+    keyed = docs.withColumn("_d", F.coalesce("doc_id", last)).withColumn("_th", F.xxhash64("text"))
+    kept = keyed.join(stay, "_d", "left_semi")
+    blank = ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    # rows that repeat a document: one of them
+    kept = kept.withColumn("_rn", F.row_number().over(Window.partitionBy("_d", "_th").orderBy(F.lit(0))))
+    return kept.filter((F.col("_rn") == 1) | blank).select([F.col(f"`{c}`") for c in docs.columns])
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link(table(spark, sf_dir, "documents"))

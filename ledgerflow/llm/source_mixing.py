@@ -62,9 +62,9 @@ def offsets(source: Column, seed: int = SEED, n: int = OFFSETS) -> Column:
     return F.array(*[one(k) for k in range(n)])
 
 
-def mix(docs: DataFrame, seed: int = SEED, n_offsets: int = OFFSETS) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies (how often the mix emits the row)."""
-    slim = materialize(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")))
+def mix(docs: DataFrame, seed: int = SEED, n_offsets: int = OFFSETS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies (how often the mix emits the row) and the columns to carry."""
+    slim = materialize(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), *carry))
     totals = slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_n"))
     aims = targets(totals.select("source", "source_size")).withColumnRenamed("source", "_s")
     counted = totals.select("source", "_n")
@@ -86,7 +86,20 @@ def mix(docs: DataFrame, seed: int = SEED, n_offsets: int = OFFSETS) -> DataFram
     miss = [F.struct(F.abs(F.col(f"w{k}") - F.col("target")).alias("miss"), F.lit(k).alias("k")) for k in range(n_offsets)]
     best = taken.select(F.col("source").alias("_s"), F.array_min(F.array(*miss))["k"].alias("_k"))
     chosen = placed.join(best, F.col("source").eqNullSafe(F.col("_s")))
-    return chosen.select("doc_id", "source", "size", "source_size", "target", F.col("_copies")[F.col("_k")].alias("copies"))
+    return chosen.select("doc_id", "source", "size", "source_size", "target", F.col("_copies")[F.col("_k")].alias("copies"), *carry)
+
+
+def emit(docs: DataFrame, seed: int = SEED, n_offsets: int = OFFSETS) -> DataFrame:
+    """The mix itself: each document as often as the mix takes it, with all its columns."""
+    keyed = docs.withColumn("_d", F.coalesce("doc_id", F.lit((1 << 63) - 1))).withColumn("_th", F.xxhash64("text", "source"))
+    copies = mix(keyed, seed, n_offsets, ("_d", "_th")).groupBy("_d", "_th").agg(F.sum("copies").alias("_all"))
+    # equal rows share what the mix takes of them
+    equal = Window.partitionBy("_d", "_th")
+    joined = keyed.join(copies, ["_d", "_th"])
+    joined = joined.withColumn("_k", F.count("*").over(equal)).withColumn("_rn", F.row_number().over(equal.orderBy(F.lit(0))))
+    joined = joined.withColumn("_own", F.floor(F.col("_all") / F.col("_k")) + (F.col("_rn") <= F.col("_all") % F.col("_k")).cast("int"))
+    times = F.explode(F.array_repeat(F.lit(0), F.col("_own").cast("int"))).alias("_times")
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], times).drop("_times")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
