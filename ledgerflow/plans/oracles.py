@@ -135,9 +135,9 @@ PARTS = {
     )
     + ") GROUP BY start, kind, entity HAVING sum(a) > 0.01",
     "gift1": f"""
-        SELECT c.cmte_id, c.donor_key AS entity, 'donor' AS terminal_type, d.canonical_name AS name, c.total_amount AS amount
+        SELECT c.cmte_id, c.donor_key AS entity, 'donor' AS terminal_type, d.canonical_name AS name, CAST(c.total_amount AS DECIMAL(20,4)) AS amount
         FROM contributed c JOIN donors0 d USING (donor_key) WHERE NOT {_CONDUIT_NAME.format('d.canonical_name')}""",
-    "move1": "SELECT x.dst AS cmte_id, x.src AS entity, t.terminal_type, t.CMTE_NM AS name, x.total_amount AS amount FROM transferred x JOIN typed t ON x.src = t.CMTE_ID",
+    "move1": "SELECT x.dst AS cmte_id, x.src AS entity, t.terminal_type, t.CMTE_NM AS name, CAST(x.total_amount AS DECIMAL(20,4)) AS amount FROM transferred x JOIN typed t ON x.src = t.CMTE_ID",
     "unweighted": f"""
         SELECT start, entity, terminal_type, name, CAST(sum(amount) AS DOUBLE) AS total_amount, CAST(sum(n) AS BIGINT) AS paths FROM (
           SELECT start, g.entity, terminal_type, name, amount, 1 AS n FROM all_starts JOIN gift1 g USING (cmte_id)
@@ -179,6 +179,11 @@ PARTS = {
 }
 
 
+def _cents(x: str) -> str:
+    """As queries.cents()."""
+    return f"floor(({x}) * 100 + 0.5001) / 100"
+
+
 def _by_cycle(entity: str) -> str:
     return f"""
         SELECT {entity}, cycle, CAST(coalesce(amount, 0) AS DOUBLE) AS amount, CAST(coalesce(n, 0) AS BIGINT) AS count
@@ -192,7 +197,7 @@ def _top(by: str, other: str, table: str) -> str:
 
 def _ie(side: str) -> str:
     return f"""
-        SELECT cand_id, kind, label, round(sum(w * m), 2) AS amount FROM (
+        SELECT cand_id, kind, label, {_cents('sum(w * m)')} AS amount FROM (
           SELECT cand_id, s.cmte_id, CAST(sum(s.total_amount) AS DOUBLE) / CAST(any_value(c.total_receipts) AS DOUBLE) AS m
           FROM spent s JOIN committees c ON s.cmte_id = c.CMTE_ID WHERE support_oppose = '{side}' AND c.total_receipts > 0 GROUP BY cand_id, s.cmte_id)
         JOIN (
@@ -254,16 +259,16 @@ BODIES = {
         LEFT JOIN lean USING (donor_key) WHERE total_amount >= 50000 AND donor_type IS DISTINCT FROM 'conduit'""",
     "direct_committees": "SELECT start AS cand_id, cmte_id FROM starts",
     "upstream_unweighted": "SELECT * FROM unweighted",
-    "upstream_summary": f"SELECT start, {_CATEGORY} AS category, sum(total_amount) AS total, count(*) AS sources FROM unweighted GROUP BY ALL",
-    "upstream_proportional": "SELECT start, kind, entity, round(amount, 2) AS amount FROM attributed",
-    "funding_pies": """
-        SELECT start, kind, round(total, 2) AS total, round(total / sum(total) OVER (PARTITION BY start) * 100, 1) AS pct, sources
+    "upstream_summary": f"SELECT start, {_CATEGORY} AS category, {_cents('sum(total_amount)')} AS total, count(*) AS sources FROM unweighted GROUP BY ALL",
+    "upstream_proportional": f"SELECT start, kind, entity, {_cents('amount')} AS amount FROM attributed",
+    "funding_pies": f"""
+        SELECT start, kind, {_cents('total')} AS total, round(total / sum(total) OVER (PARTITION BY start) * 100, 1) AS pct, sources
         FROM (SELECT start, kind, sum(amount) AS total, count(*) AS sources FROM attributed GROUP BY start, kind)""",
     "ie_support": _ie("S"),
     "ie_oppose": _ie("O"),
     "ie_spenders": "SELECT cand_id, support_oppose, cmte_id, CMTE_NM, CAST(sum(total_amount) AS DOUBLE) AS amount FROM spent JOIN cm USING (CMTE_ID) GROUP BY ALL",
     "corporate_influence": f"""
-        SELECT start, company, round(sum(pac), 2) AS pac, round(sum(emp), 2) AS employees, round(sum(pac) + sum(emp), 2) AS total FROM (
+        SELECT start, company, {_cents('sum(pac)')} AS pac, {_cents('sum(emp)')} AS employees, {_cents('sum(pac) + sum(emp)')} AS total FROM (
           SELECT start, {_COMPANY} AS company, w * pct AS pac, CAST(0 AS DOUBLE) AS emp FROM (
             SELECT s.start, p.src AS via, least(sum(p.w) / any_value(t.t), 1.0) AS pct FROM starts s JOIN pairs p ON s.cmte_id = p.dst
               JOIN typed c ON p.src = c.CMTE_ID AND c.terminal_type = 'passthrough' JOIN (SELECT src, sum(w) AS t FROM pairs GROUP BY src) t ON t.src = p.src
@@ -276,8 +281,8 @@ BODIES = {
             WHERE donor_type IN ('individual', 'likely_individual') AND canonical_employer NOT IN ({_list(NOT_COMPANIES)}))
         GROUP BY start, company""",
     "source_ratio": "SELECT cmte_id, round(i, 6) AS i, round(o, 6) AS o, round(h, 6) AS h FROM r9",
-    "candidate_summary": """
-        SELECT start, sum(r) AS receipts, CASE WHEN sum(r * i) + sum(r * o) > 0 THEN round(sum(r * i) / (sum(r * i) + sum(r * o)) * 100, 1) ELSE 0.0 END AS individual_pct,
+    "candidate_summary": f"""
+        SELECT start, {_cents('sum(r)')} AS receipts, CASE WHEN sum(r * i) + sum(r * o) > 0 THEN round(sum(r * i) / (sum(r * i) + sum(r * o)) * 100, 1) ELSE 0.0 END AS individual_pct,
           CASE WHEN sum(r * i) + sum(r * o) > 0 THEN round(sum(r * o) / (sum(r * i) + sum(r * o)) * 100, 1) ELSE 0.0 END AS organization_pct,
           CASE WHEN sum(r) > 0 THEN round(sum(r * (h + 1)) / sum(r), 2) ELSE 0.0 END AS funding_distance
         FROM (SELECT start, CAST(total_receipts AS DOUBLE) AS r, i, o, h FROM starts s JOIN committees c ON s.cmte_id = c.CMTE_ID JOIN r9 ON r9.cmte_id = s.cmte_id) GROUP BY start""",
@@ -285,10 +290,10 @@ BODIES = {
         SELECT start, direct, pac, ie_support, ie_oppose, direct + pac + ie_support AS pro FROM (
           SELECT start, CAST(coalesce(sum(a) FILTER (p = 'd'), 0) AS DOUBLE) AS direct, CAST(coalesce(sum(a) FILTER (p = 'p'), 0) AS DOUBLE) AS pac,
             CAST(coalesce(sum(a) FILTER (p = 'S'), 0) AS DOUBLE) AS ie_support, CAST(coalesce(sum(a) FILTER (p = 'O'), 0) AS DOUBLE) AS ie_oppose FROM (
-            SELECT start, 'd' AS p, total_amount AS a FROM starts JOIN contributed USING (cmte_id)
-            UNION ALL SELECT start, 'p', total_amount FROM starts JOIN transferred ON cmte_id = dst
-            UNION ALL SELECT cand_id, support_oppose, total_amount FROM spent) GROUP BY start)""",
-    "resolve_candidate": "SELECT CAND_NAME AS name, CAND_ID AS candidate_ids, '' AS committee_ids FROM cn WHERE contains(upper(CAND_NAME), 'UNITED') ORDER BY CAND_ID LIMIT 1",
+            SELECT start, 'd' AS p, CAST(total_amount AS DECIMAL(20,4)) AS a FROM starts JOIN contributed USING (cmte_id)
+            UNION ALL SELECT start, 'p', CAST(total_amount AS DECIMAL(20,4)) FROM starts JOIN transferred ON cmte_id = dst
+            UNION ALL SELECT cand_id, support_oppose, CAST(total_amount AS DECIMAL(20,4)) FROM spent) GROUP BY start)""",
+    "resolve_candidate": "SELECT CAND_NAME AS name, CAND_ID AS candidate_ids, '' AS committee_ids FROM cn WHERE contains(upper(CAND_NAME), 'NATION') ORDER BY CAND_ID LIMIT 1",
     "donor_paths": f"SELECT donor_key, array_to_string(path, '>') AS path, hops FROM walk_topfwd JOIN {_top('cmte_id', 'donor_key', 'contributed')} ON origin = cmte_id AND rank = 1 WHERE hops <= 2",
     "employer_influence": """
         SELECT e.name, cand_id, CAST(sum(c.total_amount) AS DOUBLE) AS amount, count(DISTINCT c.donor_key) AS donors

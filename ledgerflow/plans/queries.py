@@ -22,8 +22,14 @@ def _out(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def _rounded(df: DataFrame, *names: str, places: int = 2) -> DataFrame:
-    return df.withColumns({n: F.round(F.col(n), places) for n in names})
+def cents(c):
+    """To two places. Raw amounts have four, so exact halves are common; the bound lies a little below them, where sums
+    that differ in their last bit still agree."""
+    return F.floor(c * 100 + 0.5001).cast("double") / 100
+
+
+def _rounded(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({n: cents(F.col(n)) for n in names})
 
 
 def _upstream(g: Graph) -> DataFrame:
@@ -150,17 +156,17 @@ PLANS = {
     "donor_summary": lambda g: summaries.donor_summary(g.donors, g.contributed, g.lean, DONOR_SUMMARY_THRESHOLD),
     "direct_committees": lambda g: traverse.direct_committees(g.affiliated, g.typed),
     "upstream_unweighted": lambda g: traverse.upstream_unweighted(g.all_starts, g.transferred, g.contributed, g.donors, g.typed),
-    "upstream_summary": lambda g: analysis.upstream_summary(traverse.upstream_unweighted(g.all_starts, g.transferred, g.contributed, g.donors, g.typed)),
+    "upstream_summary": lambda g: _rounded(analysis.upstream_summary(traverse.upstream_unweighted(g.all_starts, g.transferred, g.contributed, g.donors, g.typed)), "total"),
     "upstream_proportional": lambda g: _rounded(_upstream(g), "amount"),
     "funding_pies": _pies,
     "ie_support": lambda g: _side(g, "S"),
     "ie_oppose": lambda g: _side(g, "O"),
     "ie_spenders": lambda g: analysis.ie_spenders(g.spent, g.raw.cm),
     "corporate_influence": lambda g: _rounded(analysis.corporate_influence(g.starts, g.typed, g.transferred, g.contributed, g.donors), "pac", "employees", "total"),
-    "source_ratio": lambda g: _rounded(_ratios(g), "i", "o", "h", places=6),
-    "candidate_summary": lambda g: analysis.candidate_summary(g.starts, g.committees, _ratios(g)),
+    "source_ratio": lambda g: _ratios(g).withColumns({n: F.round(F.col(n), 6) for n in ("i", "o", "h")}),
+    "candidate_summary": lambda g: _rounded(analysis.candidate_summary(g.starts, g.committees, _ratios(g)), "receipts"),
     "funding_totals": lambda g: analysis.funding_totals(g.starts, g.contributed, g.transferred, g.spent),
-    "resolve_candidate": lambda g: analysis.resolve_candidate(g.raw.cn, name="united"),
+    "resolve_candidate": lambda g: analysis.resolve_candidate(g.raw.cn, name="nation"),
     "donor_paths": donor_paths,
     "employer_influence": employer_influence,
     "committee_inflow": committee_inflow,
