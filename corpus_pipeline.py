@@ -16,10 +16,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated and nearly repeated lines go, and so does a document that has no words left after that."""
-    done = line_dedup.dedup(docs)
-    done = done.filter((F.col("_n_removed") == 0) | F.col("text").rlike(WORD))
+    counts = ("_lines_before", "_lines_removed")
+    done = line_dedup.dedup(docs, counts=counts)
+    untouched = F.col(counts[1]) == 0
+    done = done.filter(untouched | F.col("text").rlike(WORD))
     if "n_chars" in docs.columns:
-        done = done.withColumn("n_chars", F.when(F.col("_n_removed") == 0, F.col("n_chars")).otherwise(F.length("text").cast("long")))
+        done = done.withColumn("n_chars", F.when(untouched, F.col("n_chars")).otherwise(F.length("text").cast("long")))
     return done.select([F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -23,6 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerflow.llm.common import table
 
@@ -97,7 +98,10 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     return grouped.mapInArrow(run, SCHEMA)
 
 
-@F.pandas_udf("reply string, n_turns long, turns_sha256 string")
+_READ = T.StructType([T.StructField("reply", T.StringType()), T.StructField("n_turns", T.LongType()), T.StructField("turns_sha256", T.StringType())])
+
+
+@F.pandas_udf(_READ)
 def _read_back(text: pd.Series, start: pd.Series, stop: pd.Series, last: pd.Series) -> pd.DataFrame:
     out = []
     for t, a, b, final in zip(text, start, stop, last, strict=True):

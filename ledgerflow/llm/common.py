@@ -17,6 +17,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def packed(docs: DataFrame, *keep: str) -> DataFrame:
+    """The columns to work on and one struct `_rest` of all others, so that no other column's name can clash."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in keep]
+    return docs.select(*keep, (F.struct(*rest) if rest else F.lit(0)).alias("_rest"))
+
+
+def unpacked(df: DataFrame, docs: DataFrame, *keep: str) -> list[Column]:
+    """The columns of docs again, in their order."""
+    return [F.col(c) if c in keep else F.col(f"_rest.`{c}`").alias(c) for c in docs.columns]
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a local one where it is unset (tests)."""
     sc = spark.sparkContext
@@ -27,20 +38,42 @@ def shared_dir(spark: SparkSession) -> str:
     return where
 
 
+#: Shuffle files go when the query that made them ends; materialize() has its rows in the shared folder by then.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage: write df as Parquet into the shared folder and read it back.
 
     Parquet rather than checkpoint(): compressed, columnar, and later reads prune columns. The files go
-    when the driver's JVM ends.
+    when the driver's JVM ends, or with discard().
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/ledgerflow-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._materialized = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what materialize() wrote for frames that are not read any more."""
+    for df in frames:
+        sc = df.sparkSession.sparkContext
+        target = sc._jvm.org.apache.hadoop.fs.Path(df._materialized)
+        target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def zip_index(df: DataFrame, order: list[Column], name: str = "idx") -> DataFrame:

@@ -28,6 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerflow.llm.common import materialize, table
 from ledgerflow.llm.shingles import mix64, word_hashes
@@ -262,7 +263,7 @@ def _page_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat(out) if out else pd.DataFrame({"host": [], "stream": [], "at": [], "gram": []})
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unique_runs(texts: pd.Series, chrome: pd.Series, repeated: pd.Series) -> pd.Series:
     """Of the blocks that no mark excludes, what no repeated string covers."""
     out = []

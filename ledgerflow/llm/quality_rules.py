@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import table
+from ledgerflow.llm.common import packed, table, unpacked
 
 #: Largest share of the word characters that may lie in repeated n-grams, by n-gram length in words.
 LIMITS = {5: 0.40, 6: 0.38, 7: 0.36, 8: 0.34, 9: 0.32, 10: 0.30}
@@ -147,8 +147,8 @@ def apply_rules(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that pass, with all their columns. The verdict is computed once, in its own step."""
-    judged = docs.withColumn("_quality_rules", rules(F.col("text")))
-    return judged.filter("_quality_rules.kept").select([F.col(f"`{c}`") for c in docs.columns])
+    judged = packed(docs, "text").withColumn("_verdict", rules(F.col("text")))
+    return judged.filter("_verdict.kept").select(unpacked(judged, docs, "text"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

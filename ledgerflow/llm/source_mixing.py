@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import WORD, materialize, table, zip_index
+from ledgerflow.llm.common import WORD, materialize, packed, table, unpacked, zip_index
 
 WEIGHTS, SHARE, CAP, SEED, OFFSETS = (3, 1, 2), 1.5, 2.0, 17, 8
 
@@ -91,7 +91,8 @@ def mix(docs: DataFrame, seed: int = SEED, n_offsets: int = OFFSETS, carry: tupl
 
 def emit(docs: DataFrame, seed: int = SEED, n_offsets: int = OFFSETS) -> DataFrame:
     """The mix itself: each document as often as the mix takes it, with all its columns."""
-    keyed = docs.withColumn("_d", F.coalesce("doc_id", F.lit((1 << 63) - 1))).withColumn("_th", F.xxhash64("text", "source"))
+    own = ("doc_id", "text", "source")
+    keyed = packed(docs, *own).withColumn("_d", F.coalesce("doc_id", F.lit((1 << 63) - 1))).withColumn("_th", F.xxhash64("text", "source"))
     copies = mix(keyed, seed, n_offsets, ("_d", "_th")).groupBy("_d", "_th").agg(F.sum("copies").alias("_all"))
     # equal rows share what the mix takes of them
     equal = Window.partitionBy("_d", "_th")
@@ -99,7 +100,8 @@ def emit(docs: DataFrame, seed: int = SEED, n_offsets: int = OFFSETS) -> DataFra
     joined = joined.withColumn("_k", F.count("*").over(equal)).withColumn("_rn", F.row_number().over(equal.orderBy(F.lit(0))))
     joined = joined.withColumn("_own", F.floor(F.col("_all") / F.col("_k")) + (F.col("_rn") <= F.col("_all") % F.col("_k")).cast("int"))
     times = F.explode(F.array_repeat(F.lit(0), F.col("_own").cast("int"))).alias("_times")
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], times).drop("_times")
+    joined = joined.select(*own, "_rest", times)
+    return joined.select(unpacked(joined, docs, *own))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

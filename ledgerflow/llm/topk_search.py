@@ -44,7 +44,7 @@ def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         made = [integers(v) for v in pdf["embedding"]]
         keep = [m is not None for m in made]
-        yield pd.DataFrame({"vec_id": pdf["vec_id"].astype("Int64")[keep], "v": [m.tobytes() for m in made if m is not None]})
+        yield pd.DataFrame({"vec_id": pdf["vec_id"][keep], "asks": pdf["asks"][keep], "v": [m.tobytes() for m in made if m is not None]})
 
 
 def matrix(packed) -> np.ndarray:
@@ -107,7 +107,8 @@ def search(tree: BallTree, queries: np.ndarray, own: np.ndarray, least: np.ndarr
         centre, radius = tree.nodes[node][:2]
         q = queries[active]
         slack = 1 + 1e-9 * (norms[active] * (np.sqrt(centre @ centre) + radius))
-        return q @ centre + norms[active] * radius + slack
+        # scores stand inside 64 bits, and so do the bounds
+        return np.clip(q @ centre + norms[active] * radius + slack, -(2.0**63), 2.0**63)
 
     heap = [(-np.inf, 0, np.arange(n))] if tree.nodes and n else []
     while heap:
@@ -146,24 +147,25 @@ def _searcher(k: int):
         if not len(shard) or not len(block):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
         all_vectors = matrix([*shard["v"], *block["q"]])
-        tree = BallTree(all_vectors[: len(shard)], shard["vec_id"].fillna(NULL_ID).to_numpy(np.int64))
+        tree = BallTree(all_vectors[: len(shard)], shard["vec_id"].to_numpy(np.int64))
         own = block["query_id"].to_numpy(np.int64)
         least = block["least"].to_numpy(np.float64, na_value=-np.inf)
         q, ids, scores = search(tree, all_vectors[len(shard) :], own, least, k)
-        out = pd.DataFrame({"query_id": own[q], "vec_id": pd.array(ids, dtype="Int64"), "score": scores})
-        return out.assign(vec_id=out["vec_id"].mask(out["vec_id"] == NULL_ID))
+        return pd.DataFrame({"query_id": own[q], "vec_id": ids, "score": scores})
 
     return run
 
 
 def top_k(vectors: DataFrame, is_query, k: int = K, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the k best rows for each row where is_query holds."""
-    packed = vectors.select("vec_id", "embedding").filter("embedding IS NOT NULL").mapInPandas(_packed, "vec_id long, v binary")
-    packed = materialize(packed)
-    queries = packed.filter(is_query).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")).dropDuplicates()
+    asks = F.coalesce(is_query, F.lit(False)) & F.col("vec_id").isNotNull()
+    # a null id would make pandas turn all ids into floating point
+    rows = vectors.filter("embedding IS NOT NULL").select(F.coalesce("vec_id", F.lit(int(NULL_ID))).alias("vec_id"), asks.alias("asks"), "embedding")
+    packed = materialize(rows.mapInPandas(_packed, "vec_id long, asks boolean, v binary"))
+    queries = packed.filter("asks").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")).dropDuplicates()
     n_rows, n_queries = packed.count(), queries.count()
     shards, blocks = max(1, -(-n_rows // shard_rows)), max(1, -(-n_queries // block_rows))
-    placed = packed.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v", F.monotonically_increasing_id()), F.lit(shards)).cast("int"))
+    placed = packed.drop("asks").withColumn("shard", F.pmod(F.xxhash64("vec_id", "v", F.monotonically_increasing_id()), F.lit(shards)).cast("int"))
     asked = queries.withColumn("block", F.pmod(F.xxhash64("q", "query_id"), F.lit(blocks)).cast("int"))
 
     def find(rows: DataFrame, ask: DataFrame) -> DataFrame:
@@ -180,9 +182,10 @@ def top_k(vectors: DataFrame, is_query, k: int = K, shard_rows: int = SHARD_ROWS
     bounded = asked.join(kth, "query_id", "left")
     everywhere = bounded.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     found = find(every_block, everywhere)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    vec_id = F.when(F.col("vec_id") != int(NULL_ID), F.col("vec_id")).alias("vec_id")
+    return ranked.select("query_id", "rank", vec_id, "score")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
