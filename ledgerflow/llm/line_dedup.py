@@ -20,40 +20,52 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import SPACE, materialize, table
+from ledgerflow.llm.common import discard, materialize, packed, table, unpacked
 
 MIN_WORDS = 5
 LAST = (1 << 63) - 1
 DOC = ["_d", "_th"]
 LINE = ["h", "h2"]
+HALVES = ["p0", "s0", "p1", "s1"]
 
 
 def _words(line: Column) -> Column:
-    return F.filter(F.split(line, SPACE), lambda w: w != "")
+    """The words between ASCII white space; plain replacements and a split at one character, which need no regex."""
+    for c in "\t\x0b\x0c\r":
+        line = F.replace(line, F.lit(c), F.lit(" "))
+    return F.array_remove(F.split(line, " "), "")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_d", F.coalesce("doc_id", F.lit(LAST))).withColumn("_th", F.xxhash64("text"))
 
 
-def _halves(w: Column, n: Column) -> Column:
+def _place() -> Column:
+    """One number that orders lines by document and place; a number keeps the aggregations hash-based."""
+    return F.col("_d").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("no")
+
+
+def _halves(w: Column, n: Column) -> list[Column]:
     """Keys that a partner with as many words or one more shares, and those for a partner with one fewer."""
     keys = []
-    for m in (n, n - 1):
+    for k, m in enumerate((n, n - 1)):
+        m = F.greatest(m, F.lit(0))
         half = F.floor(m / 2).cast("int")
-        keys += [F.xxhash64(F.lit("p"), m, F.slice(w, 1, half)), F.xxhash64(F.lit("s"), m, F.slice(w, n - m + half + 1, m - half))]
-    return F.array(*keys)
+        keys += [
+            F.xxhash64(F.lit("p"), m, F.slice(w, 1, half)).alias(f"p{k}"),
+            F.xxhash64(F.lit("s"), m, F.slice(w, F.greatest(n - m + half + 1, F.lit(1)), F.greatest(m - half, F.lit(0)))).alias(f"s{k}"),
+        ]
+    return keys
 
 
-def occurrences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """_d, _th, no, h, h2, n, halves: every line that may be removed."""
+def occurrences(docs: DataFrame) -> DataFrame:
+    """_d, _th, no, h, h2, n, p0, s0, p1, s1: every line."""
     lines = _keyed(docs.select("doc_id", "text")).filter("text IS NOT NULL")
     lines = lines.select("_d", "_th", F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    words = lines.select("_d", "_th", "no", _words(F.col("line")).alias("w")).withColumn("n", F.size("w"))
-    words = words.filter(F.col("n") >= min_words)
-    return words.select(
-        "_d", "_th", "no", F.xxhash64("w").alias("h"), F.hash("w").alias("h2"), "n", _halves(F.col("w"), F.col("n")).alias("halves")
-    )
+    words = lines.select("_d", "_th", "no", _words(F.col("line")).alias("w"))
+    n = F.size("w")
+    # no filter on n here: it would be pushed below and find the words twice
+    return words.select("_d", "_th", "no", F.xxhash64("w").alias("h"), F.hash("w").alias("h2"), n.alias("n"), *_halves(F.col("w"), n))
 
 
 def _within_one(a: Column, b: Column) -> Column:
@@ -64,84 +76,91 @@ def _within_one(a: Column, b: Column) -> Column:
     p = F.when(hit == 0, m).otherwise(hit - 1)  # words that agree at the start
     longer_a, longer_b = (F.size(a) > F.size(b)).cast("int"), (F.size(b) > F.size(a)).cast("int")
     level = ((longer_a + longer_b) == 0).cast("int")
-    tail = lambda x, longer: F.slice(x, p + 1 + F.greatest(longer, level), F.greatest(F.size(x) - p - F.greatest(longer, level), F.lit(0)))
+
+    def tail(x: Column, longer: Column) -> Column:
+        skip = p + F.greatest(longer, level)
+        return F.slice(x, skip + 1, F.greatest(F.size(x) - skip, F.lit(0)))
+
     return (F.abs(F.size(a) - F.size(b)) <= 1) & (tail(a, longer_a) == tail(b, longer_b))
 
 
 def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """h, h2 of distinct lines that have an earlier line within one word."""
-    halves = distinct.select(*LINE, F.explode("halves").alias("k"))
-    same = F.struct(*LINE)
-    shared = halves.groupBy("k").agg(F.min(same).alias("lo"), F.max(same).alias("hi")).filter("lo <> hi").select("k")
-    wanted = halves.join(shared, "k", "left_semi").select(*LINE).distinct()
-    at = distinct.join(wanted, LINE, "left_semi").select(*LINE, "n", "first")
-    by_doc = at.groupBy(F.col("first._d").alias("_d"), F.col("first._th").alias("_th"))
-    by_doc = by_doc.agg(F.collect_list(F.struct("first.no", *LINE, "n", "first")).alias("at"))
-    texts = _keyed(docs.select("doc_id", "text")).select("_d", "_th", "text").join(by_doc, DOC)
+    halves = distinct.select(*LINE, F.explode(F.array(*HALVES)).alias("k"))
+    shared = halves.groupBy("k").agg(F.count("*").alias("c")).filter("c > 1").select("k")
+    wanted = halves.join(shared.hint("SHUFFLE_HASH"), "k", "left_semi").select(*LINE).distinct()
+    at = distinct.join(wanted.hint("SHUFFLE_HASH"), LINE, "left_semi").select(*LINE, "n", "place", "_d", "_th", "no")
+    by_doc = at.groupBy(*DOC).agg(F.collect_list(F.struct("no", *LINE, "n", "place")).alias("at"))
+    texts = _keyed(docs.select("doc_id", "text")).select(*DOC, "text").join(by_doc.hint("SHUFFLE_HASH"), DOC)
     texts = texts.select(F.split("text", "\n").alias("lines"), F.explode("at").alias("at"))
     found = texts.select("at.*", _words(F.element_at("lines", F.col("at.no") + 1)).alias("w"))
     found = materialize(found.drop("no").dropDuplicates(LINE))
 
     # each word's hash at its own place, and at the place before; their running combinations give all variants
-    each = found.select(*LINE, "n", "first", F.posexplode("w").alias("j", "word"))
+    each = found.select(*LINE, "n", "place", F.posexplode("w").alias("j", "word"))
     each = each.withColumn("x", F.xxhash64("word", "j")).withColumn("y", F.xxhash64("word", F.col("j") - 1)).drop("word")
-    line = Window.partitionBy(*LINE)
-    before = line.orderBy("j").rowsBetween(Window.unboundedPreceding, -1)
-    after = line.orderBy("j").rowsBetween(1, Window.unboundedFollowing)
-    left, right = F.coalesce(F.bit_xor("x").over(before), F.lit(0)), F.coalesce(F.bit_xor("y").over(after), F.lit(0))
-    whole = F.bit_xor("x").over(line.orderBy("j").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    variants = each.select(*LINE, "n", "first", "j", left.bitwiseXOR(right).alias("v"), whole.alias("whole"))
+    line = Window.partitionBy(*LINE).orderBy("j")
+    upto = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    all_ = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    left = F.bit_xor("x").over(upto).bitwiseXOR(F.col("x"))
+    right = F.bit_xor("y").over(all_).bitwiseXOR(F.bit_xor("y").over(upto))
+    variants = each.select(*LINE, "n", "place", "j", left.bitwiseXOR(right).alias("v"), F.bit_xor("x").over(all_).alias("whole"))
     variants = materialize(variants)
 
-    mine = F.struct("first", *LINE)
+    first = [F.min("place").alias("ep"), F.min_by("h", "place").alias("eh"), F.min_by("h2", "place").alias("eh2")]
     # replaced: one length, one place, one variant; every line differs from the earliest in that word alone
-    earliest = variants.groupBy("v", "j", "n").agg(F.min(mine).alias("e"), F.count("*").alias("c")).filter("c > 1")
-    replaced = variants.join(earliest.select("v", "j", "n", "e"), ["v", "j", "n"]).filter("e.first < first").select(*LINE, "e.h", "e.h2")
-    replaced = replaced.toDF("h", "h2", "eh", "eh2")
+    key = ["v", "j", "n"]
+    earliest = variants.groupBy(*key).agg(*first, F.count("*").alias("c")).filter("c > 1").drop("c")
+    replaced = variants.join(earliest, key).filter("ep < place").select(*LINE, "eh", "eh2")
     # inserted or deleted: a variant that is a whole line
-    full = variants.filter("j = 0").select(F.col("whole").alias("v"), (F.col("n") + 1).alias("n"), mine.alias("short"))
-    met = variants.select("v", "n", mine.alias("long")).join(full, ["v", "n"])
-    longer = met.filter("short.first < long.first").select("long.h", "long.h2", "short.h", "short.h2").toDF("h", "h2", "eh", "eh2")
-    shorter = met.groupBy("short").agg(F.min("long").alias("long")).filter("long.first < short.first")
-    shorter = shorter.select("short.h", "short.h2", "long.h", "long.h2").toDF("h", "h2", "eh", "eh2")
+    full = variants.filter("j = 0").select(F.col("whole").alias("v"), (F.col("n") + 1).alias("n"), F.col("h").alias("eh"), F.col("h2").alias("eh2"), F.col("place").alias("ep"))
+    met = variants.select("v", "n", *LINE, "place").join(full, ["v", "n"])
+    longer = met.filter("ep < place").select(*LINE, "eh", "eh2")
+    shorter = met.groupBy("eh", "eh2", "ep").agg(F.min("place").alias("place"), F.min_by("h", "place").alias("h"), F.min_by("h2", "place").alias("h2"))
+    shorter = shorter.filter("place < ep").select("eh", "eh2", "h", "h2").toDF("h", "h2", "eh", "eh2")
     pairs = replaced.unionByName(longer).unionByName(shorter).distinct()
 
     words = found.select(*LINE, "w")
     other = words.toDF("eh", "eh2", "ew")
     checked = pairs.join(words, LINE).join(other, ["eh", "eh2"]).filter(_within_one(F.col("w"), F.col("ew")))
-    return checked.select(*LINE).distinct()
+    near = materialize(checked.select(*LINE).distinct())
+    discard(found, variants)
+    return near
 
 
 def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """_d, _th, gone: the places of the lines that go, by document."""
-    occ = materialize(occurrences(docs, min_words))
-    place = F.struct("_d", "no", "_th")
-    distinct = occ.groupBy(*LINE).agg(F.min(place).alias("first"), F.min("n").alias("n"), F.min("halves").alias("halves"))
-    distinct = materialize(distinct)
+    occ = materialize(occurrences(docs)).filter(F.col("n") >= min_words).withColumn("place", _place())
+    # of lines of one place (rows that repeat a doc_id) any serves: they are equal
+    where = [F.min("place").alias("place"), *[F.min_by(c, "place").alias(c) for c in ("_d", "_th", "no")]]
+    distinct = materialize(occ.groupBy(*LINE).agg(*where, *[F.min(c).alias(c) for c in ("n", *HALVES)]))
     near = near_lines(docs, distinct).withColumn("near", F.lit(True))
-    fate = distinct.select(*LINE, "first").join(near, LINE, "left")
-    gone = occ.select(*DOC, "no", *LINE).join(fate, LINE).filter((F.col("first") < place) | F.col("near"))
+    fate = distinct.select(*LINE, F.col("place").alias("first")).join(near, LINE, "left")
+    gone = occ.select(*DOC, "no", "place", *LINE).join(fate, LINE).filter((F.col("first") < F.col("place")) | F.col("near"))
     return gone.groupBy(*DOC).agg(F.sort_array(F.collect_set("no")).alias("gone"))
 
 
-def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The documents with their kept lines as text, and n_lines and n_removed."""
-    joined = _keyed(docs).join(removed_lines(docs, min_words), DOC, "left")
+def dedup(docs: DataFrame, min_words: int = MIN_WORDS, counts: tuple[str, str] | None = None) -> DataFrame:
+    """The documents with their kept lines as text; counts names two more columns, for the lines and the removed ones."""
+    own = packed(docs, "doc_id", "text")
+    joined = _keyed(own).join(removed_lines(own, min_words), DOC, "left")
     lines = F.split("text", "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
     kept = F.array_join(F.transform(stay, lambda i: F.element_at(lines, i + 1)), "\n")
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept)
-    out = [text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
     n_lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long")
     n_removed = F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone")).cast("long")
-    return joined.select(*out, n_lines.alias("_n_lines"), n_removed.alias("_n_removed"))
+    out = joined.select(
+        "doc_id", F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text"), "_rest", n_lines.alias("_n_lines"), n_removed.alias("_n_removed")
+    )
+    more = [F.col("_n_lines").alias(counts[0]), F.col("_n_removed").alias(counts[1])] if counts else []
+    return out.select(*unpacked(out, docs, "doc_id", "text"), *more)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    done = dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=("n_lines", "n_removed"))
     text = F.coalesce("text", F.lit(""))
     return done.select(
-        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"),
+        "doc_id", "n_lines", "n_removed",
         F.length(text).cast("long").alias("kept_chars"), F.sha2(text, 256).alias("kept_sha256"),
     )
 
