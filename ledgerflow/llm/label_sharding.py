@@ -2,7 +2,8 @@
 
 Documents with equal texts are linked. Each starts in a shard by the hash of its id; in each round a group of
 linked documents moves towards the shard where most of it stands, as far as the shards' quotas allow, until
-nothing moves. Quotas are exact: candidates to enter a shard are taken in hash order up to its free places.
+nothing moves. Quotas are exact: candidates to enter a shard are taken in hash order up to the places that those
+who stay leave free. What still stands over a quota after the last round is dealt out like unlinked documents.
 Copies are counted by (group, salt, shard), so the rounds run over these counts, not over documents, and a group
 with a third of all rows is spread over many tasks; a group that no shard can hold is divided among few.
 
@@ -33,11 +34,9 @@ def _quota_rounds(cells: DataFrame, quota: list[int], rounds: int) -> DataFrame:
     """cells: grp, salt, start, cnt (equal documents that began in one shard) -> the same with shard."""
     k = len(quota)
     state = cells.withColumn("shard", F.col("start"))
+    spare = list(quota)
     for step in range(rounds):
-        load = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("cnt").alias("n")).collect()}
-        spare = [max(0, quota[s] - load.get(s, 0)) for s in range(k)]
-        over = [load.get(s, 0) > quota[s] for s in range(k)]
-        # how much of each group stands in each shard; the groups are small after this aggregation: k rows each at most
+        # how much of each group stands in each shard: k rows for a group at most after this aggregation
         held = state.groupBy("grp", "shard").agg(F.sum("cnt").alias("n"))
         room = (_pick(spare, F.col("shard")) > 0).cast("int")
         rank = F.struct(room, "n", F.xxhash64("grp", "shard", F.lit(step)), "shard")
@@ -49,22 +48,21 @@ def _quota_rounds(cells: DataFrame, quota: list[int], rounds: int) -> DataFrame:
         # small groups enter whole, one bucket each; large ones cell by cell
         whole = F.col("size") * 16 <= max(1, min(quota, default=1))
         key = F.when(whole, F.xxhash64("grp")).otherwise(F.xxhash64("grp", "salt", "start"))
-        moving = moving.withColumn("_bucket", F.pmod(key, F.lit(BUCKETS)))
+        moving = materialize(moving.withColumn("_bucket", F.pmod(key, F.lit(BUCKETS))))
+        # those on the move leave their places, so documents change places between full shards, too
+        stay = {r["label"]: r["n"] for r in moving.filter("NOT _go").groupBy("label").agg(F.sum("cnt").alias("n")).collect()}
+        spare = [max(0, quota[s] - stay.get(s, 0)) for s in range(k)]
         wish = moving.filter("_go").groupBy("label", "_bucket").agg(F.sum("cnt").alias("n"))  # k * BUCKETS rows at most
         upto = Window.partitionBy("label").orderBy("_bucket")
-        wish = wish.withColumn("_sum", F.sum("n").over(upto)).withColumn("_spare", _pick(spare, F.col("label")))
-        last = {
-            r["label"]: r["b"]
-            for r in wish.filter("_sum <= _spare").groupBy("label").agg(F.max("_bucket").alias("b")).collect()
-        }
-        if not last and not any(over):
+        wish = wish.withColumn("_sum", F.sum("n").over(upto)).withColumn("_fits", F.col("_sum") <= _pick(spare, F.col("label")))
+        taken = wish.groupBy("label").agg(F.max(F.when(F.col("_fits"), F.col("_bucket"))).alias("b"), F.max(F.when(F.col("_fits"), F.col("_sum"))).alias("n")).collect()
+        if not taken:
             break
+        last = {r["label"]: -1 if r["b"] is None else r["b"] for r in taken}
+        for r in taken:
+            spare[r["label"]] -= r["n"] or 0
         enter = F.col("_go") & (F.col("_bucket") <= _pick([last.get(s, -1) for s in range(k)], F.col("label")))
-        state = materialize(
-            moving.withColumn("shard", F.when(enter, F.col("label")).otherwise(F.col("shard"))).select(*cells.columns, "shard")
-        )
-        if not last:
-            break
+        state = moving.withColumn("shard", F.when(enter, F.col("label")).otherwise(F.col("shard"))).select(*cells.columns, "shard")
     return state
 
 
