@@ -13,8 +13,9 @@ in the last one it keeps its empty signatures. Of two similar sets either one is
 or both keep the empty ones: no pair is lost.
 
 Equal sets are one entity throughout. Signatures travel as packed arrays by hash bucket, those that a batch
-shares being sent once; where several sets share one, each is checked exactly against the earliest of them, and
-in a second round against all sets of other components that share a signature with it. Components are found by
+shares being sent once. Where several sets share one, each is held against the earliest of them, and in a second
+round against the sets of other components that share a signature with it. Of such pairs only those go on whose
+sizes and parity sketches allow the similarity (a bound that no similar pair fails); these are checked exactly. Components are found by
 alternating large-star and small-star steps. All pairs of a group are never emitted.
 
 Defined results: a null or blank text has the empty set and is linked with nothing; repeated rows have equal
@@ -32,8 +33,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerflow.llm.common import WORD, materialize, table
+from ledgerflow.llm.common import WORD, materialize, packed, table, unpacked
 from ledgerflow.llm.shingles import mix64, shingle_set
 
 SHINGLE, PERCENT, BAND, SEEDS = 4, 85, 1.5, 8
@@ -128,17 +130,36 @@ def _arrow(names: list[str], kinds: list, cols: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
 
+#: Words of 64 bits in a set's parity sketch.
+SKETCH = 8
+
+
+def sketch(s: np.ndarray) -> list[int]:
+    """Parities of the set's sizes in 64 * SKETCH parts: two sketches differ in no more bits than the sets in shingles."""
+    part = (mix64(s ^ np.uint64(0x3C6EF372FE94F82B)) % np.uint64(64 * SKETCH)).astype(np.int64)
+    return np.packbits(np.bincount(part, minlength=64 * SKETCH).astype(np.uint8) & 1).view(np.int64).tolist()
+
+
 def sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, n (size of the set), fp (its fingerprint)."""
+    """doc_id, n (size of the set), fp (its fingerprint), k0, k1, ... (its sketch)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [(len(s), fingerprint(s)) for s in (shingle_set(t.as_py(), SHINGLE) for t in batch.column("text"))]
-            yield _arrow(
-                ["doc_id", "n", "fp"], [pa.int64()] * 3, [batch.column("doc_id").to_pylist(), [m[0] for m in made], [m[1] for m in made]]
-            )
+            made = [(len(s), fingerprint(s), *sketch(s)) for s in (shingle_set(t.as_py(), SHINGLE) for t in batch.column("text"))]
+            cols = list(zip(*made, strict=True)) or [[]] * (2 + SKETCH)
+            names = ["doc_id", "n", "fp", *(f"k{i}" for i in range(SKETCH))]
+            yield _arrow(names, [pa.int64()] * len(names), [batch.column("doc_id").to_pylist(), *cols])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, fp long")
+    extra = "".join(f", k{i} long" for i in range(SKETCH))
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, n long, fp long{extra}")
+
+
+def may_be_similar(a: str, b: str):
+    """A condition that every similar pair meets: similar sets differ in at most 3 / 37 of their sizes' sum, and neither
+    their sizes nor their sketches can differ by more than the sets do."""
+    apart = sum((F.bit_count(F.col(f"{a}k{i}").bitwiseXOR(F.col(f"{b}k{i}"))) for i in range(1, SKETCH)), F.bit_count(F.col(f"{a}k0").bitwiseXOR(F.col(f"{b}k0"))))
+    limit = (100 - PERCENT) * (F.col(f"{a}n") + F.col(f"{b}n"))
+    return ((100 + PERCENT) * F.abs(F.col(f"{a}n") - F.col(f"{b}n")) <= limit) & ((100 + PERCENT) * apart <= limit)
 
 
 #: A record: a signature, and the set that has it. Extra sets of a batch's own group are marked by their bucket.
@@ -231,7 +252,7 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _arrow(["fp", "s"], [pa.int64(), pa.binary()], [[fingerprint(s) for s in made], [s.tobytes() for s in made]])
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def _similar(a: pd.Series, b: pd.Series) -> pd.Series:
     out = []
     for x, y in zip(a, b, strict=True):
@@ -273,37 +294,30 @@ def link(docs: DataFrame) -> DataFrame:
     total = slim.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, int(0.6 * total) // BUCKET_ROWS + 1)
     shared = materialize(members(docs, buckets))
+    attrs = materialize(slim.groupBy("fp").agg(*[F.max(c).alias(c) for c in ("n", *(f"k{i}" for i in range(SKETCH)))]))
+    pre = lambda df, p, *keys: df.select(*[F.col(c).alias(c if c in keys else p + c) for c in df.columns])
     # the earliest set of each signature against the others
-    centre = shared.groupBy("sig").agg(F.min(F.struct("doc", "fp"))["fp"].alias("c"))
-    star = shared.join(centre, "sig").filter("fp <> c").select(F.least("fp", "c").alias("a"), F.greatest("fp", "c").alias("b"))
-    wanted = shared.groupBy("fp").agg(F.min("doc").alias("doc"))
+    centre = shared.groupBy("sig").agg(F.min_by("fp", "doc").alias("fp")).join(attrs, "fp")
+    others = shared.select("sig", "fp").join(attrs, "fp")
+    star = pre(others, "x", "sig").join(pre(centre, "y", "sig"), "sig").filter((F.col("xfp") != F.col("yfp")) & may_be_similar("x", "y"))
+    tested = materialize(star.select(F.least("xfp", "yfp").alias("a"), F.greatest("xfp", "yfp").alias("b")).distinct())
     null_id = F.when(F.col("doc") != np.iinfo(np.int64).max, F.col("doc"))
-    wanted = wanted.select("fp", null_id.alias("doc"))
-    n_of = slim.groupBy("fp").agg(F.max("n").alias("n"))
-    wanted = materialize(wanted.join(n_of, "fp"))
-
-    def near_in_size(pairs: DataFrame) -> DataFrame:
-        small = wanted.select(F.col("fp").alias("a"), F.col("n").alias("na"))
-        large = wanted.select(F.col("fp").alias("b"), F.col("n").alias("nb"))
-        sized = pairs.distinct().join(small, "a").join(large, "b")
-        return sized.filter(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")).select("a", "b")
-
+    wanted = shared.groupBy("fp").agg(F.min("doc").alias("doc")).select("fp", null_id.alias("doc"))
     texts = docs.select("doc_id", "text").join(wanted.select("doc"), F.col("doc_id").eqNullSafe(F.col("doc")), "left_semi")
     sets = texts.mapInArrow(_set_rows, "fp long, s binary").dropDuplicates(["fp"])
     sets = materialize(sets.join(wanted.select("fp"), "fp", "left_semi"))
-    tested = materialize(near_in_size(star))
     links = materialize(verify(tested, sets))
     labels = components(links)
     # what shares a signature and still stands in another component
     labelled = shared.select("sig", "fp").join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     several = labelled.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("sig")
-    open_ = materialize(labelled.join(several, "sig", "left_semi").distinct())
-    left, right = open_.select("sig", F.col("fp").alias("a"), F.col("label").alias("la")), open_.select("sig", F.col("fp").alias("b"), F.col("label").alias("lb"))
-    cross = left.join(right, "sig").filter("a < b AND la <> lb").select("a", "b")
-    cross = near_in_size(cross).join(tested, ["a", "b"], "left_anti")
+    open_ = materialize(labelled.join(several, "sig", "left_semi").distinct().join(attrs, "fp"))
+    met = pre(open_, "x", "sig").join(pre(open_, "y", "sig"), "sig")
+    cross = met.filter((F.col("xfp") < F.col("yfp")) & (F.col("xlabel") != F.col("ylabel")) & may_be_similar("x", "y"))
+    cross = cross.select(F.col("xfp").alias("a"), F.col("yfp").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
     links = links.unionByName(verify(cross, sets))
     labels = materialize(components(links))
-    named = slim.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+    named = slim.select("doc_id", "n", "fp").join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     named = materialize(named)
     ids = named.filter("n > 0").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     out = named.filter("n > 0").join(ids, "label").select("doc_id", "n", "component_id")
@@ -317,12 +331,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     stay = linked.filter((F.col("n_shingles") == 0) | F.col("component_id").eqNullSafe(F.col("doc_id")))
     last = F.lit((1 << 63) - 1)
     stay = stay.select(F.coalesce("doc_id", last).alias("_d")).distinct()
-    keyed = docs.withColumn("_d", F.coalesce("doc_id", last)).withColumn("_th", F.xxhash64("text"))
+    keyed = packed(docs, "doc_id", "text").withColumn("_d", F.coalesce("doc_id", last)).withColumn("_th", F.xxhash64("text"))
     kept = keyed.join(stay, "_d", "left_semi")
     blank = ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
     # rows that repeat a document: one of them
     kept = kept.withColumn("_rn", F.row_number().over(Window.partitionBy("_d", "_th").orderBy(F.lit(0))))
-    return kept.filter((F.col("_rn") == 1) | blank).select([F.col(f"`{c}`") for c in docs.columns])
+    return kept.filter((F.col("_rn") == 1) | blank).select(unpacked(kept, docs, "doc_id", "text"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
