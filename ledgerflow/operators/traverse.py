@@ -47,7 +47,9 @@ def upstream(
     A passthrough committee hands on its own inflow at amount / receipts. mode='sum' counts every walk;
     mode='first_visit' lets a node and an edge count once, for the parent with the largest share (ties by key).
     """
-    front = starts.select("start", "cmte_id").distinct().withColumn("m", F.lit(1.0))
+    # every level reads these, so they are made once: rows for pairs of committees and for gifts, and the frontier itself
+    weights, inflow = checkpointed(weights), checkpointed(inflow)
+    front = checkpointed(starts.select("start", "cmte_id").distinct().withColumn("m", F.lit(1.0)))
     visited = front.select("start", "cmte_id")
     found = []
     ratio = F.col("w") / F.col("src_receipts")
@@ -67,11 +69,9 @@ def upstream(
             best = Window.partitionBy("start", "cmte_id").orderBy(F.col("pm").desc(), "parent", F.col("m").desc())
             front = follow.withColumn("rn", F.row_number().over(best)).filter("rn = 1").select("start", "cmte_id", "m")
             front = front.join(visited, ["start", "cmte_id"], "left_anti")
-            visited = visited.unionByName(front.select("start", "cmte_id"))
+        front = checkpointed(front)
+        visited = visited.unionByName(front.select("start", "cmte_id"))
         front = front.filter(F.col("m") >= least)
-        if level % 2 == 1:
-            front = checkpointed(front)
-            visited = checkpointed(visited) if mode != "sum" else visited
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
