@@ -341,3 +341,22 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT DISTINCT doc_id, w[i:i + 3] AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, least(len(w), 1)) + 1)) AS i FROM docs)
+), sized AS (
+  SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM sets a JOIN sets b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT a, b FROM pairs JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)
+), reached AS (
+  SELECT a, b FROM (WITH RECURSIVE r AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM r JOIN links l ON r.b = l.a) SELECT * FROM r)
+)
+SELECT d.doc_id, CAST(coalesce(any_value(s.n), 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(min(r.b), d.doc_id)) AS component_id
+FROM docs d LEFT JOIN sized s USING (doc_id) LEFT JOIN reached r ON r.a = d.doc_id GROUP BY d.doc_id
+"""

@@ -153,3 +153,39 @@ def keep_good(docs: DataFrame) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+ORACLE_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), base AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols
+  FROM docs
+), lines AS (
+  SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line) > 1 AS again, length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), line_sums AS (
+  SELECT doc_id, count(*) AS n, count(*) FILTER (again) AS dup, coalesce(sum(chars) FILTER (again), 0) AS dup_chars FROM lines GROUP BY doc_id
+), five AS (
+  SELECT DISTINCT doc_id FROM (SELECT doc_id, w[i:i + 4] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM docs)) QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1
+), grams AS (
+  SELECT doc_id, n, i, w[i:i + n - 1] AS g FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs JOIN five USING (doc_id), range(5, 11) r(n))
+), repeated AS (
+  SELECT doc_id, n, i FROM grams QUALIFY count(*) OVER (PARTITION BY doc_id, n, g) > 1
+), covered AS (
+  SELECT DISTINCT doc_id, n, unnest(range(i, i + n)) AS at FROM repeated
+), shares AS (
+  SELECT c.doc_id, c.n, count(*) AS words, sum(length(d.w[c.at])) AS chars FROM covered c JOIN docs d USING (doc_id) GROUP BY c.doc_id, c.n
+), verdicts AS (
+  SELECT s.doc_id, max(words) FILTER (n = 8) AS n_repeat, bool_or(chars::DOUBLE > (0.5::DOUBLE - n * 0.02::DOUBLE) * word_chars) AS bad
+  FROM shares s JOIN base USING (doc_id) GROUP BY s.doc_id
+), joined AS (
+  SELECT b.*, CAST(coalesce(l.dup, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(v.n_repeat, 0) AS BIGINT) AS n_repeat_words, coalesce(v.bad, false)
+    OR coalesce(l.dup, 0) > 0.3::DOUBLE * coalesce(l.n, 0) OR coalesce(l.dup_chars, 0) > 0.3::DOUBLE * word_chars AS bad
+  FROM base b LEFT JOIN line_sums l USING (doc_id) LEFT JOIN verdicts v USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  NOT bad AND NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS kept
+FROM joined
+"""

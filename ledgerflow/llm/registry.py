@@ -21,5 +21,7 @@ ORACLES = {
     "op1_chat_formatting": chat_formatting.ORACLE_SQL,
     "op4_source_mixing": source_mixing.ORACLE_SQL,
     "op6_topk_search": topk_search.ORACLE_SQL,
+    "op7_quality_rules": quality_rules.ORACLE_SQL,
+    "op8_jaccard_join": jaccard_join.ORACLE_SQL,
     "op10_line_dedup": line_dedup.ORACLE_SQL,
 }

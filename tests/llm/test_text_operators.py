@@ -307,7 +307,7 @@ def test_line_dedup_odd(spark):
     assert line_dedup.dedup(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op1_chat_formatting", "op4_source_mixing", "op6_topk_search", "op10_line_dedup"])
+@pytest.mark.parametrize("name", ["op1_chat_formatting", "op4_source_mixing", "op6_topk_search", "op7_quality_rules", "op8_jaccard_join", "op10_line_dedup"])
 def test_sql(spark, name):
     import duckdb
 
