@@ -168,9 +168,10 @@ WITH docs AS (
 ), line_sums AS (
   SELECT doc_id, count(*) AS n, count(*) FILTER (again) AS dup, coalesce(sum(chars) FILTER (again), 0) AS dup_chars FROM lines GROUP BY doc_id
 ), five AS (
-  SELECT DISTINCT doc_id FROM (SELECT doc_id, w[i:i + 4] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM docs)) QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1
+  SELECT DISTINCT doc_id FROM (SELECT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4])) AS g FROM docs) GROUP BY doc_id, g HAVING count(*) > 1
 ), grams AS (
-  SELECT doc_id, n, i, w[i:i + n - 1] AS g FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs JOIN five USING (doc_id), range(5, 11) r(n))
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, unnest(list_transform(range(1, len(w) - n + 2), lambda i: w[i:i + n - 1])) AS g
+  FROM docs JOIN five USING (doc_id), range(5, 11) r(n)
 ), repeated AS (
   SELECT doc_id, n, i FROM grams QUALIFY count(*) OVER (PARTITION BY doc_id, n, g) > 1
 ), covered AS (

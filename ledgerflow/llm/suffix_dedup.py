@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.llm.anchors import tables, text_runs
 from ledgerflow.llm.common import materialize, table
+from ledgerflow.llm.shingles import mix64
 
 LENGTH, MINIMISER, SHALLOW = 50, 20, 16
 BUCKET_RUNS, BATCH_BYTES = 1_000_000, 6_000_000
@@ -60,7 +61,7 @@ def _doc_text(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes]]:
         yield d, (t.as_py() or "").encode("utf-8", "surrogatepass")
 
 
-def _sender(buckets: int, length: int, k: int):
+def _sender(buckets: int, parts: int, length: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tabs = tables()
         held: list[tuple] = []
@@ -72,9 +73,10 @@ def _sender(buckets: int, length: int, k: int):
             mini, whole, doc, n = mini[order], whole[order], doc[order], n[order]
             first = np.concatenate([[True], (whole[1:] != whole[:-1]) | (mini[1:] != mini[:-1])])
             least = doc[first][np.cumsum(first) - 1]
-            known = np.zeros(int((doc > least).sum()), ANSWER)
-            known["run"], known["mask"] = whole[doc > least], _all(n[doc > least])
-            rows = [(buckets, d, blob, None, None, None) for d, blob in zip(*_by(doc[doc > least], known), strict=True)]
+            known = _addressed(doc[doc > least], whole[doc > least], _all(n[doc > least]), parts)
+            # answers go through buckets of their own, which pass them on
+            first_own = -(-buckets // parts) * parts
+            rows = [(first_own + part, blob, None, None, None) for part, blob in zip(*known, strict=True)]
             mini, whole, doc = mini[first], whole[first], doc[first]
             n = n[first]
             to = (mini >> np.uint64(32)) % np.uint64(buckets)
@@ -84,12 +86,10 @@ def _sender(buckets: int, length: int, k: int):
             for a, b in zip(starts, ends, strict=True):
                 low = (mini[a:b] & np.uint64(0xFFFFFFFF)).astype("<u4")
                 docs, at = np.unique(doc[a:b], return_inverse=True)
-                rows.append((int(to[a]), None, low.tobytes(), whole[a:b].astype("<u8").tobytes(), at.astype("<u4").tobytes() + n[a:b].astype("u1").tobytes(), docs.astype("<i8").tobytes()))
-            # answers are spread over buckets of their own, which pass them on
-            rows = [(r[0] + r[1] % buckets if r[1] is not None else r[0], *r[1:]) for r in rows]
+                rows.append((int(to[a]), low.tobytes(), whole[a:b].astype("<u8").tobytes(), at.astype("<u4").tobytes() + n[a:b].astype("u1").tobytes(), docs.astype("<i8").tobytes()))
             cols = list(zip(*rows, strict=True))
-            kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["bucket", "d", "b0", "b1", "b2", "b3"])
+            kinds = [pa.int32(), *[pa.binary()] * 4]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["bucket", "b0", "b1", "b2", "b3"])
 
         for batch in batches:
             for d, data in _doc_text(batch):
@@ -110,11 +110,31 @@ def _all(n: np.ndarray) -> np.ndarray:
     return ((np.uint64(1) << n.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)
 
 
-def _bucket(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Answers (kind 1) and requests for bytes (kind 2) by document."""
-    passed = pdf["d"].notna()
-    if passed.all():
-        return pd.DataFrame({"d": pdf["d"].astype("int64"), "kind": 1, "blob": pdf["b0"]})
+#: Answers and requests travel with their document, packed by a hash of it: one row for each pair of buckets.
+ADDRESSED = np.dtype([("doc", "<i8"), ("run", "<u8"), ("mask", "<u4")])
+
+
+def _addressed(doc: np.ndarray, run: np.ndarray, mask: np.ndarray, parts: int) -> tuple[list[int], list[bytes]]:
+    rec = np.zeros(len(doc), ADDRESSED)
+    rec["doc"], rec["run"], rec["mask"] = doc, run, mask
+    part = mix64(np.asarray(doc, np.int64).view(np.uint64)) % np.uint64(parts)
+    return _by(part.astype(np.int64), rec)
+
+
+def _split(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One row for each document, with its answers."""
+    rec = np.concatenate([np.frombuffer(b, ADDRESSED) for b in pdf["blob"]])
+    rec = rec[np.argsort(rec["doc"], kind="stable")]
+    starts, ends = _cuts(rec["doc"])
+    own = np.zeros(len(rec), ANSWER)
+    own["run"], own["mask"] = rec["run"], rec["mask"]
+    return pd.DataFrame({"d": rec["doc"][starts], "blob": [own[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]})
+
+
+def _bucket(pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
+    """Answers (kind 1) and requests for bytes (kind 2)."""
+    if pdf["b1"].isna().all():
+        return pd.DataFrame({"part": pdf["bucket"].astype("int32") % parts, "kind": 1, "blob": pdf["b0"]})
     mini = np.concatenate([np.frombuffer(x, "<u4") for x in pdf["b0"]])
     whole = np.concatenate([np.frombuffer(x, "<u8") for x in pdf["b1"]])
     doc, n = [], []
@@ -129,16 +149,14 @@ def _bucket(pdf: pd.DataFrame) -> pd.DataFrame:
     first = new_mini | np.concatenate([[True], whole[1:] != whole[:-1]])
     least = doc[first][np.cumsum(first) - 1]
     later = doc > least
-    answers = np.zeros(int(later.sum()), ANSWER)
-    answers["run"], answers["mask"] = whole[later], _all(n[later])
     starts = np.flatnonzero(new_mini)
     group = np.cumsum(new_mini) - 1
     several = np.add.reduceat(first.astype(np.int64), starts) > 1
     several &= np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts)
     asked = first & several[group]
-    ids, blobs = _by(doc[later], answers)
-    ids2, blobs2 = _by(doc[asked], whole[asked])
-    return pd.DataFrame({"d": [*ids, *ids2], "kind": [1] * len(ids) + [2] * len(ids2), "blob": [*blobs, *blobs2]})
+    ids, blobs = _addressed(doc[later], whole[later], _all(n[later]), parts)
+    ids2, blobs2 = _addressed(doc[asked], whole[asked], np.zeros(int(asked.sum()), np.uint32), parts)
+    return pd.DataFrame({"part": [*ids, *ids2], "kind": [1] * len(ids) + [2] * len(ids2), "blob": [*blobs, *blobs2]})
 
 
 def _pieces(buckets: int, length: int, k: int):
@@ -149,7 +167,7 @@ def _pieces(buckets: int, length: int, k: int):
         for batch in batches:
             recs, tos = [], []
             for (d, data), asked in zip(_doc_text(batch), batch.column("asked"), strict=True):
-                want = np.unique(np.concatenate([np.frombuffer(x, "<u8") for x in asked.as_py()]))
+                want = np.unique(np.frombuffer(asked.as_py(), ANSWER)["run"])
                 done: set[int] = set()
                 for _, part, (lo, hi, _, mini, whole) in text_runs(data, length, k, tabs):
                     hit = np.flatnonzero(np.isin(whole, want))
@@ -232,7 +250,7 @@ def deep_shallow(windows: np.ndarray, shallow: int = SHALLOW) -> tuple[np.ndarra
     return order, same
 
 
-def _sorted_answers(length: int):
+def _sorted_answers(length: int, parts: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         rec = np.concatenate([np.frombuffer(b, PIECE) for b in pdf["blob"]])
         n = rec["windows"].astype(np.int64)
@@ -246,20 +264,18 @@ def _sorted_answers(length: int):
         mask = np.zeros(len(rec), np.uint64)
         np.bitwise_or.at(mask, owner[covered], np.uint64(1) << shift[covered].astype(np.uint64))
         hit = mask > 0
-        answers = np.zeros(int(hit.sum()), ANSWER)
-        answers["run"], answers["mask"] = rec["run"][hit], mask[hit].astype(np.uint32)
-        ids, blobs = _by(rec["doc"][hit], answers)
-        return pd.DataFrame({"d": pd.Series(ids, dtype="int64"), "kind": pd.Series([1] * len(ids), dtype="int64"), "blob": blobs})
+        ids, blobs = _addressed(rec["doc"][hit], rec["run"][hit], mask[hit].astype(np.uint32), parts)
+        return pd.DataFrame({"part": pd.Series(ids, dtype="int32"), "kind": pd.Series([1] * len(ids), dtype="int64"), "blob": blobs})
 
     return run
 
 
-def covered(data: bytes, answers: list[bytes], length: int, k: int, tabs) -> np.ndarray:
+def covered(data: bytes, answers: bytes | None, length: int, k: int, tabs) -> np.ndarray:
     """Which bytes of a text go."""
     out = np.zeros(len(data), bool)
     if not answers or len(data) < length:
         return out
-    rec = np.concatenate([np.frombuffer(x, ANSWER) for x in answers])
+    rec = np.frombuffer(answers, ANSWER)
     rec = rec[np.argsort(rec["run"], kind="stable")]
     starts, _ = _cuts(rec["run"])
     keys, masks = rec["run"][starts], np.bitwise_or.reduceat(rec["mask"], starts)
@@ -285,7 +301,7 @@ def _finish(length: int, k: int, with_text: bool):
         for batch in batches:
             rows = []
             for doc_id, (_, data), answers in zip(batch.column("doc_id").to_pylist(), _doc_text(batch), batch.column("answers"), strict=True):
-                gone = covered(data, answers.as_py() or [], length, k, tabs)
+                gone = covered(data, answers.as_py(), length, k, tabs)
                 kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
                 spans = edges.reshape(-1, 2).tolist()
@@ -303,12 +319,17 @@ def dedup(docs: DataFrame, length: int = LENGTH, k: int = MINIMISER, with_text:
     texts = docs.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("d"), "text")
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = 1 + int(total * 2 / (length - k + 2)) // BUCKET_RUNS
-    sent = texts.select("d", "text").mapInArrow(_sender(buckets, length, k), "bucket int, d long, b0 binary, b1 binary, b2 binary, b3 binary")
-    met = materialize(sent.groupBy("bucket").applyInPandas(_bucket, "d long, kind long, blob binary"))
-    asked = met.filter("kind = 2").groupBy("d").agg(F.collect_list("blob").alias("asked"))
+    parts = max(16, buckets)
+    sent = texts.select("d", "text").mapInArrow(_sender(buckets, parts, length, k), "bucket int, b0 binary, b1 binary, b2 binary, b3 binary")
+    met = materialize(sent.groupBy("bucket").applyInPandas(lambda pdf: _bucket(pdf, parts), "part int, kind long, blob binary"))
+
+    def by_doc(packed: DataFrame, name: str) -> DataFrame:
+        return packed.groupBy("part").applyInPandas(_split, "d long, blob binary").withColumnRenamed("blob", name)
+
+    asked = by_doc(met.filter("kind = 2"), "asked")
     bytes_ = texts.join(asked, "d").select("d", "text", "asked").mapInArrow(_pieces(buckets, length, k), "bucket int, blob binary")
-    sorted_ = bytes_.groupBy("bucket").applyInPandas(_sorted_answers(length), "d long, kind long, blob binary")
-    answers = met.filter("kind = 1").unionByName(sorted_).groupBy("d").agg(F.collect_list("blob").alias("answers"))
+    sorted_ = bytes_.groupBy("bucket").applyInPandas(_sorted_answers(length, parts), "part int, kind long, blob binary")
+    answers = by_doc(met.filter("kind = 1").unionByName(sorted_), "answers")
     joined = texts.join(answers, "d", "left").select("doc_id", "d", "text", "answers")
     extra = ", kept binary, spans array<array<long>>" if with_text else ""
     return joined.mapInArrow(_finish(length, k, with_text), f"doc_id long, {OUT}{extra}")
