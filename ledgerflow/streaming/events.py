@@ -14,6 +14,7 @@ def read_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def windowed(events: DataFrame, size: str = "1 hour", late: str = "10 minutes") -> DataFrame:
     """Events and their value by tumbling window and type; late rows are waited for as long as `late` says."""
-    rows = events.withWatermark("ts", late) if events.isStreaming else events
+    rows = events.withColumn("ts", F.col("ts").cast("timestamp"))  # a watermark needs an instant
+    rows = rows.withWatermark("ts", late) if events.isStreaming else rows
     grouped = rows.groupBy(F.window("ts", size).alias("w"), "event_type")
     return grouped.agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("value")).select(F.col("w.start").alias("start"), "event_type", "n", "value")

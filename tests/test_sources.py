@@ -11,7 +11,7 @@ from ledgerflow.sources import fec, store
 from ledgerflow.streaming import events
 
 LINES = [
-    "C1|N|Q1||1|24E|PAC|ACME \"PAC\"|||||||12.50|C2|t1|1||| S1 ",
+    "C1|N|Q1||1|24E|PAC|ACME \"PAC\"|||||||12.50|C2|t1|1|||S1 ",
     "  C1|N|Q1||1|24A|IND|X|||||||abc|C2|t2|1|||S2|surplus",
     "",
     "C1|N|Q1||1|15|COM|Y|||||||",
