@@ -147,14 +147,41 @@ def paths(edges: DataFrame, most: int = 5, least: int = 1) -> DataFrame:
     return out.filter(F.col("hops") >= least)
 
 
-def shortest_hops(edges: DataFrame, most: int = 5) -> DataFrame:
-    """origin, target, hops: the least number of edges, up to a bound, by levels with one row for each pair."""
-    front = edges.select(F.col("src").alias("origin"), F.col("dst").alias("target")).filter("origin <> target").distinct().withColumn("hops", F.lit(1))
-    seen = front
-    for k in range(2, most + 1):
+def shortest_hops(edges: DataFrame, most: int | None = 5) -> DataFrame:
+    """origin, target, hops: the least number of edges, up to a bound or (None) until no new pair is found, by levels with
+    one row for each pair."""
+    edges = checkpointed(edges.select("src", "dst").filter("src <> dst").distinct())
+    front = edges.select(F.col("src").alias("origin"), F.col("dst").alias("target")).withColumn("hops", F.lit(1))
+    seen, k = front, 1
+    while (most is None or k < most) and not front.isEmpty():
+        k += 1
         step = front.join(edges.select(F.col("src").alias("target"), F.col("dst").alias("nxt")), "target").select("origin", F.col("nxt").alias("target")).distinct()
-        front = step.filter("origin <> target").join(seen, ["origin", "target"], "left_anti").withColumn("hops", F.lit(k))
+        front = checkpointed(step.filter("origin <> target").join(seen, ["origin", "target"], "left_anti").withColumn("hops", F.lit(k)))
         seen = seen.unionByName(front)
-        if k % 2 == 1:
-            front, seen = checkpointed(front), checkpointed(seen)
     return seen
+
+
+def all_gifts(contributed: DataFrame, donors: DataFrame) -> DataFrame:
+    """cmte_id, kind, w: the gifts of all donors by the donor's type."""
+    given = contributed.join(donors.select("donor_key", "donor_type"), "donor_key")
+    return given.groupBy("cmte_id", F.coalesce("donor_type", F.lit("donor")).alias("kind")).agg(F.sum("total_amount").cast("double").alias("w"))
+
+
+def inflow_by_kind(weights: DataFrame, gifts: DataFrame, most: int = 3) -> DataFrame:
+    """target, kind, hops, amount: what reaches each committee over exactly so many edges, by the kind of the vertex it
+    leaves. Every committee hands its inflow on at amount / receipts; all walks count, and none is listed."""
+    weights = checkpointed(weights)
+    came = gifts.unionByName(weights.groupBy(F.col("dst").alias("cmte_id"), F.col("src_type").alias("kind")).agg(F.sum("w").alias("w")))
+    came = checkpointed(came.groupBy("cmte_id", "kind").agg(F.sum("w").alias("w")))
+    front = came.select(F.col("cmte_id").alias("target"), "cmte_id").distinct().withColumn("m", F.lit(1.0))
+    found = []
+    for hops in range(1, most + 1):
+        part = front.join(came, "cmte_id").groupBy("target", "kind").agg(F.sum(F.col("m") * F.col("w")).alias("amount"))
+        found.append(part.select("target", "kind", F.lit(hops).cast("long").alias("hops"), "amount"))
+        if hops < most:
+            step = front.join(weights.filter("src_receipts > 0"), F.col("cmte_id") == F.col("dst"))
+            front = checkpointed(step.groupBy("target", F.col("src").alias("cmte_id")).agg(F.sum(F.col("m") * (F.col("w") / F.col("src_receipts"))).alias("m")))
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out

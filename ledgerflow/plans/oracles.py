@@ -176,6 +176,17 @@ PARTS = {
           SELECT * FROM walk)"""
         for e in ("topsrc", "topfwd")
     },
+    "came": """
+        SELECT cmte_id, kind, sum(w) AS w FROM (
+          SELECT c.cmte_id, coalesce(d.donor_type, 'donor') AS kind, CAST(sum(c.total_amount) AS DOUBLE) AS w FROM contributed c JOIN donors d USING (donor_key) GROUP BY ALL
+          UNION ALL SELECT dst, src_type, sum(w) FROM weights GROUP BY ALL) GROUP BY ALL""",
+    "share1": "SELECT DISTINCT cmte_id AS target, cmte_id, CAST(1.0 AS DOUBLE) AS m FROM came",
+    **{f"share{k}": f"SELECT target, src AS cmte_id, sum(m * (w / r)) AS m FROM share{k - 1} JOIN weights ON cmte_id = dst WHERE r > 0 GROUP BY ALL" for k in (2, 3)},
+    "hop_levels": """
+        SELECT origin, target, hops FROM (WITH RECURSIVE level AS (
+          SELECT DISTINCT src AS origin, dst AS target, CAST(1 AS BIGINT) AS hops FROM transferred WHERE src <> dst
+          UNION SELECT origin, dst, hops + 1 FROM level JOIN (SELECT DISTINCT src, dst FROM transferred WHERE src <> dst) ON target = src
+          WHERE origin <> dst AND hops < (SELECT count(*) FROM cm)) SELECT * FROM level)""",
 }
 
 
@@ -301,6 +312,10 @@ BODIES = {
     "committee_inflow": "SELECT target, terminal_type, count(*) AS walks, count(DISTINCT origin) AS origins, min(hops) AS nearest FROM walk_topsrc JOIN typed ON origin = CMTE_ID WHERE hops <= 3 GROUP BY ALL",
     "long_chains": "SELECT origin, target, hops, array_to_string(path, '>') AS path FROM walk_topfwd WHERE hops >= 3",
     "shortest_hops": "SELECT origin, target, min(hops) AS hops FROM walk_topsrc GROUP BY ALL",
+    "committee_inflow_whole": " UNION ALL ".join(
+        f"SELECT target, kind, CAST({k} AS BIGINT) AS hops, {_cents('sum(m * w)')} AS amount FROM share{k} JOIN came USING (cmte_id) GROUP BY target, kind" for k in (1, 2, 3)
+    ),
+    "shortest_hops_whole": "SELECT origin, target, min(hops) AS hops FROM hop_levels GROUP BY ALL",
     "graph_stats": " UNION ALL ".join(
         f"SELECT '{n}' AS collection, count(*) AS documents FROM {t}"
         for n, t in {

@@ -101,6 +101,17 @@ def committee_inflow(g: Graph) -> DataFrame:
     return walks.groupBy("target", "terminal_type").agg(F.count("*").alias("walks"), F.countDistinct("origin").alias("origins"), F.min("hops").cast("long").alias("nearest"))
 
 
+def committee_inflow_whole(g: Graph) -> DataFrame:
+    """The money that reaches a committee over every edge in three hops and fewer, by the kind of its source and the hops."""
+    weights = traverse.pair_weights(g.transferred, g.committees)
+    return _rounded(traverse.inflow_by_kind(weights, traverse.all_gifts(g.contributed, g.donors)), "amount")
+
+
+def shortest_hops_whole(g: Graph) -> DataFrame:
+    """Pairs of committees over every transfer, without a bound."""
+    return traverse.shortest_hops(g.transferred, None).withColumn("hops", F.col("hops").cast("long"))
+
+
 def _sums(df: DataFrame, *by: str) -> DataFrame:
     return df.groupBy(*by).agg(F.sum("total_amount").alias("total_amount"), F.sum("transaction_count").alias("transaction_count"), F.count("*").alias("edges"))
 
@@ -172,6 +183,8 @@ PLANS = {
     "committee_inflow": committee_inflow,
     "long_chains": lambda g: paths_text(traverse.paths(_forward(g), 4, 3)),
     "shortest_hops": lambda g: traverse.shortest_hops(_sparse(g), 4).withColumn("hops", F.col("hops").cast("long")),
+    "committee_inflow_whole": committee_inflow_whole,
+    "shortest_hops_whole": shortest_hops_whole,
     "graph_stats": _stats,
     "skipped_edges": lambda g: build_skipped(g),
 }

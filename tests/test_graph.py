@@ -166,6 +166,22 @@ def test_paths_and_shortest(spark):
     assert {(r["origin"], r["target"]): r["hops"] for r in traverse.shortest_hops(e).collect()}[("a", "c")] == 2
 
 
+def test_whole_graph_hops(spark):
+    """A committee's third source counts too, and a chain is followed to its end."""
+    moves = [("a", "k", 9), ("b", "k", 8), ("c", "k", 1), ("c", "k", 2)] + [(f"n{i}", f"n{i + 1}", 1) for i in range(7)]
+    got = {(r["origin"], r["target"]): r["hops"] for r in traverse.shortest_hops(_moves(spark, moves), None).collect()}
+    assert got == {(x, "k"): 1 for x in "abc"} | {(f"n{i}", f"n{j}"): j - i for i in range(8) for j in range(i + 1, 8)}
+
+
+def test_whole_graph_inflow(spark):
+    """K gets 3, 2 and 1 from A, B and C and 4 from a donor; A's 10 came from a donor, so 3 of it reached K."""
+    c = _committees(spark, [("K", "campaign", 10.0), ("A", "passthrough", 10.0), ("B", "corporation", 0.0), ("C", "unknown", 0.0)])
+    m, g = _moves(spark, [("A", "K", 3), ("B", "K", 2), ("C", "K", 1)]), _gifts(spark, [("d", "K", 4), ("e", "A", 10)])
+    out = traverse.inflow_by_kind(traverse.pair_weights(m, c), traverse.all_gifts(g, _donors(spark, [("d", None), ("e", "individual")])))
+    want = {("K", "passthrough", 1): 3.0, ("K", "corporation", 1): 2.0, ("K", "unknown", 1): 1.0, ("K", "donor", 1): 4.0, ("A", "individual", 1): 10.0, ("K", "individual", 2): 3.0}
+    assert {(r["target"], r["kind"], r["hops"]): r["amount"] for r in out.collect()} == want
+
+
 def test_members(spark):
     m = spark.createDataFrame(
         [("B1", ("Ann", "Lee"), ["H1", "H9"], [("rep", "NY", "D", 1), ("sen", "NY", "D", None)]), ("B2", ("Bob", "Ray"), [], [])],
