@@ -26,8 +26,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones stays."""
-    return jaccard_join.keep_one(docs)
+    """One document of each group of similar ones stays: five-word shingles, four fifths of them shared."""
+    return jaccard_join.keep_one(docs, shingle=5, percent=80)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

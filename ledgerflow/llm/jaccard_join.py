@@ -1,11 +1,11 @@
 """Similarity join on word shingles by PartEnum signatures.
 
-Two documents link when the Jaccard similarity of their sets of 4-word shingles is 0.85 or more. A pair whose
-smaller set has s shingles then differs in at most 3 s / 17 of them. Sets are put into size bands; for a band the
+Two documents link when the Jaccard similarity of their sets of word shingles reaches a limit: 4 words and 85 percent
+by default. A pair whose smaller set has s shingles then differs in at most s * (100 - percent) / percent of them. Sets are put into size bands; for a band the
 shingle domain is hashed into n1 x n2 partitions, and for each of the n1 the subsets of n2 - k2 partitions are
 enumerated; a signature is the hash of the shingles that fall into one subset. With at most k differences and
 n1 > k / (k2 + 1), some first-level partition holds k2 differences at most, so the sets share a signature there.
-A set emits the signatures of its own band, and those of the band below where a smaller partner may stand there.
+A set emits the signatures of its own band, and those of the bands below where a smaller partner may stand.
 
 A subset without shingles says nothing, so its signature is left out; n1 is taken larger by `slack` to make up
 for that. A set with more such partitions than that slack also uses a second hash of the domain, and so on;
@@ -65,18 +65,18 @@ def band_of(n: int) -> int:
     return band
 
 
-_SCHEMES: dict[int, tuple[int, int, np.ndarray, int] | None] = {}
+_SCHEMES: dict[tuple[int, int], tuple[int, int, np.ndarray, int] | None] = {}
 
 
-def scheme(band: int) -> tuple[int, int, np.ndarray, int] | None:
+def scheme(band: int, percent: int = PERCENT) -> tuple[int, int, np.ndarray, int] | None:
     """n1, n2, subsets as rows of 0 and 1, slack; None where only equal sets can link."""
-    if band not in _SCHEMES:
-        _SCHEMES[band] = _scheme(band)
-    return _SCHEMES[band]
+    if (band, percent) not in _SCHEMES:
+        _SCHEMES[band, percent] = _scheme(band, percent)
+    return _SCHEMES[band, percent]
 
 
-def _scheme(band: int) -> tuple[int, int, np.ndarray, int] | None:
-    k = band_limits(band)[1] * (100 - PERCENT) // PERCENT
+def _scheme(band: int, percent: int) -> tuple[int, int, np.ndarray, int] | None:
+    k = band_limits(band)[1] * (100 - percent) // percent
     if k == 0:
         return None
     if k <= 3:
@@ -94,18 +94,18 @@ def _scheme(band: int) -> tuple[int, int, np.ndarray, int] | None:
     return need + slack, n2, subsets, slack
 
 
-def signatures(s: np.ndarray) -> np.ndarray:
+def signatures(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """The PartEnum signatures of a set."""
     n = len(s)
     if n == 0:
         return np.zeros(0, np.uint64)
     own = band_of(n)
     bands = [own]
-    if own > 0 and n * PERCENT <= band_limits(own - 1)[1] * 100:
-        bands.append(own - 1)
+    while bands[-1] > 0 and n * percent <= band_limits(bands[-1] - 1)[1] * 100:
+        bands.append(bands[-1] - 1)
     out = []
     for band in bands:
-        found = scheme(band)
+        found = scheme(band, percent)
         if found is None:
             continue
         n1, n2, subsets, slack = found
@@ -140,12 +140,12 @@ def sketch(s: np.ndarray) -> list[int]:
     return np.packbits(np.bincount(part, minlength=64 * SKETCH).astype(np.uint8) & 1).view(np.int64).tolist()
 
 
-def sizes(docs: DataFrame) -> DataFrame:
+def sizes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, n (size of the set), fp (its fingerprint), k0, k1, ... (its sketch)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [(len(s), fingerprint(s), *sketch(s)) for s in (shingle_set(t.as_py(), SHINGLE) for t in batch.column("text"))]
+            made = [(len(s), fingerprint(s), *sketch(s)) for s in (shingle_set(t.as_py(), shingle) for t in batch.column("text"))]
             cols = list(zip(*made, strict=True)) or [[]] * (2 + SKETCH)
             names = ["doc_id", "n", "fp", *(f"k{i}" for i in range(SKETCH))]
             yield _arrow(names, [pa.int64()] * len(names), [batch.column("doc_id").to_pylist(), *cols])
@@ -154,19 +154,19 @@ def sizes(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, n long, fp long{extra}")
 
 
-def may_be_similar(a: str, b: str):
-    """A condition that every similar pair meets: similar sets differ in at most 3 / 37 of their sizes' sum, and neither
-    their sizes nor their sketches can differ by more than the sets do."""
+def may_be_similar(a: str, b: str, percent: int = PERCENT):
+    """A condition that every similar pair meets: similar sets differ in at most (100 - percent) / (100 + percent) of their
+    sizes' sum, and neither their sizes nor their sketches can differ by more than the sets do."""
     apart = sum((F.bit_count(F.col(f"{a}k{i}").bitwiseXOR(F.col(f"{b}k{i}"))) for i in range(1, SKETCH)), F.bit_count(F.col(f"{a}k0").bitwiseXOR(F.col(f"{b}k0"))))
-    limit = (100 - PERCENT) * (F.col(f"{a}n") + F.col(f"{b}n"))
-    return ((100 + PERCENT) * F.abs(F.col(f"{a}n") - F.col(f"{b}n")) <= limit) & ((100 + PERCENT) * apart <= limit)
+    limit = (100 - percent) * (F.col(f"{a}n") + F.col(f"{b}n"))
+    return ((100 + percent) * F.abs(F.col(f"{a}n") - F.col(f"{b}n")) <= limit) & ((100 + percent) * apart <= limit)
 
 
 #: A record: a signature, and the set that has it. Extra sets of a batch's own group are marked by their bucket.
 RECORD = np.dtype([("sig", "<u8"), ("fp", "<i8"), ("doc", "<i8"), ("shared", "?")])
 
 
-def _records(buckets: int):
+def _records(buckets: int, shingle: int, percent: int):
     """Packed records by bucket. Within a batch only the earliest set of a signature goes to the signature's bucket;
     the others go, spread by set, to buckets that pass them on unchanged."""
 
@@ -200,11 +200,11 @@ def _records(buckets: int):
 
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                s = shingle_set(text.as_py(), SHINGLE)
+                s = shingle_set(text.as_py(), shingle)
                 fp = fingerprint(s)
                 if fp in seen:
                     continue
-                made = signatures(s)
+                made = signatures(s, percent)
                 if len(made):
                     seen.add(fp)
                     doc = doc_id.as_py()
@@ -240,35 +240,38 @@ def _members(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"sig": keep["sig"].astype(np.int64), "fp": keep["fp"], "doc": keep["doc"]})
 
 
-def members(docs: DataFrame, buckets: int) -> DataFrame:
-    packed = docs.select("doc_id", "text").mapInArrow(_records(buckets), "bucket int, blob binary")
+def members(docs: DataFrame, buckets: int, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    packed = docs.select("doc_id", "text").mapInArrow(_records(buckets, shingle, percent), "bucket int, blob binary")
     packed = packed.withColumn("passed", F.col("bucket") >= buckets)
     return packed.groupBy("bucket").applyInPandas(_members, "sig long, fp long, doc long")
 
 
-def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        made = [shingle_set(t.as_py(), SHINGLE) for t in batch.column("text")]
-        yield _arrow(["fp", "s"], [pa.int64(), pa.binary()], [[fingerprint(s) for s in made], [s.tobytes() for s in made]])
+def _set_rows(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [shingle_set(t.as_py(), shingle) for t in batch.column("text")]
+            yield _arrow(["fp", "s"], [pa.int64(), pa.binary()], [[fingerprint(s) for s in made], [s.tobytes() for s in made]])
+
+    return run
 
 
 @F.pandas_udf(T.BooleanType())
-def _similar(a: pd.Series, b: pd.Series) -> pd.Series:
-    out = []
+def _similar(a: pd.Series, b: pd.Series, percent: pd.Series) -> pd.Series:
+    out, limit = [], int(percent.iloc[0]) if len(percent) else 0
     for x, y in zip(a, b, strict=True):
         p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
         both = np.concatenate([p, q])
         both.sort()
         inter = int((both[1:] == both[:-1]).sum())
-        out.append(100 * inter >= PERCENT * (len(p) + len(q) - inter))
+        out.append(100 * inter >= limit * (len(p) + len(q) - inter))
     return pd.Series(out)
 
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) whose sets are similar."""
     one = pairs.join(sets.select(F.col("fp").alias("a"), F.col("s").alias("sa")), "a")
     two = one.join(sets.select(F.col("fp").alias("b"), F.col("s").alias("sb")), "b")
-    return two.filter(_similar("sa", "sb")).select("a", "b")
+    return two.filter(_similar("sa", "sb", F.lit(percent))).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -288,34 +291,34 @@ def components(links: DataFrame) -> DataFrame:
         edges = small
 
 
-def link(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id for every document."""
-    slim = materialize(sizes(docs))
+def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id for every document; sets of so many words link from so many percent on."""
+    slim = materialize(sizes(docs, shingle))
     total = slim.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, int(0.6 * total) // BUCKET_ROWS + 1)
-    shared = materialize(members(docs, buckets))
+    shared = materialize(members(docs, buckets, shingle, percent))
     attrs = materialize(slim.groupBy("fp").agg(*[F.max(c).alias(c) for c in ("n", *(f"k{i}" for i in range(SKETCH)))]))
     pre = lambda df, p, *keys: df.select(*[F.col(c).alias(c if c in keys else p + c) for c in df.columns])
     # the earliest set of each signature against the others
     centre = shared.groupBy("sig").agg(F.min_by("fp", "doc").alias("fp")).join(attrs, "fp")
     others = shared.select("sig", "fp").join(attrs, "fp")
-    star = pre(others, "x", "sig").join(pre(centre, "y", "sig"), "sig").filter((F.col("xfp") != F.col("yfp")) & may_be_similar("x", "y"))
+    star = pre(others, "x", "sig").join(pre(centre, "y", "sig"), "sig").filter((F.col("xfp") != F.col("yfp")) & may_be_similar("x", "y", percent))
     tested = materialize(star.select(F.least("xfp", "yfp").alias("a"), F.greatest("xfp", "yfp").alias("b")).distinct())
     null_id = F.when(F.col("doc") != np.iinfo(np.int64).max, F.col("doc"))
     wanted = shared.groupBy("fp").agg(F.min("doc").alias("doc")).select("fp", null_id.alias("doc"))
     texts = docs.select("doc_id", "text").join(wanted.select("doc"), F.col("doc_id").eqNullSafe(F.col("doc")), "left_semi")
-    sets = texts.mapInArrow(_set_rows, "fp long, s binary").dropDuplicates(["fp"])
+    sets = texts.mapInArrow(_set_rows(shingle), "fp long, s binary").dropDuplicates(["fp"])
     sets = materialize(sets.join(wanted.select("fp"), "fp", "left_semi"))
-    links = materialize(verify(tested, sets))
+    links = materialize(verify(tested, sets, percent))
     labels = components(links)
     # what shares a signature and still stands in another component
     labelled = shared.select("sig", "fp").join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     several = labelled.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("sig")
     open_ = materialize(labelled.join(several, "sig", "left_semi").distinct().join(attrs, "fp"))
     met = pre(open_, "x", "sig").join(pre(open_, "y", "sig"), "sig")
-    cross = met.filter((F.col("xfp") < F.col("yfp")) & (F.col("xlabel") != F.col("ylabel")) & may_be_similar("x", "y"))
+    cross = met.filter((F.col("xfp") < F.col("yfp")) & (F.col("xlabel") != F.col("ylabel")) & may_be_similar("x", "y", percent))
     cross = cross.select(F.col("xfp").alias("a"), F.col("yfp").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-    links = links.unionByName(verify(cross, sets))
+    links = links.unionByName(verify(cross, sets, percent))
     labels = materialize(components(links))
     named = slim.select("doc_id", "n", "fp").join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     named = materialize(named)
@@ -325,9 +328,9 @@ def link(docs: DataFrame) -> DataFrame:
     return out.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The earliest document of each component, and every document without words, with all their columns."""
-    linked = link(docs.select("doc_id", "text"))
+    linked = link(docs.select("doc_id", "text"), shingle, percent)
     stay = linked.filter((F.col("n_shingles") == 0) | F.col("component_id").eqNullSafe(F.col("doc_id")))
     last = F.lit((1 << 63) - 1)
     stay = stay.select(F.coalesce("doc_id", last).alias("_d")).distinct()
@@ -340,7 +343,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link(table(spark, sf_dir, "documents"))
+    return link(table(spark, sf_dir, "documents"), SHINGLE, PERCENT)
 
 
 ORACLE_SQL = r"""

@@ -192,6 +192,26 @@ def test_jaccard_odd(spark):
     assert Counter(r["doc_id"] for r in kept.collect() if shingles(r["text"])) == Counter(comps)
 
 
+def test_near_duplicate_stage_limit(spark):
+    """Copies lengthened on both sides of five words and 0.8, some of them under four words and 0.85."""
+    rnd = random.Random(11)
+    texts = []
+    for size in (6, 12, 30, 80, 200):
+        words = [f"w{rnd.randrange(10**6)}" for _ in range(size)]
+        texts.append(" ".join(words))
+        texts += [" ".join(words + [f"x{rnd.randrange(10**6)}" for _ in range(size * p // 100)]) for p in (10, 20, 23, 40)]
+        texts.append(edited(rnd, words, 1))
+    sets = [(lambda w: frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)))(t.split()) for t in texts]
+    label = list(range(len(texts)))
+    for _ in texts:
+        for i, a in enumerate(sets):
+            label[i] = min(label[j] for j, b in enumerate(sets) if 100 * len(a & b) >= 80 * len(a | b))
+        label = [label[x] for x in label]
+    got = sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs_of(spark, texts), D).collect())
+    assert got == sorted(set(label))
+    assert len(got) < len({c for _, _, c in brute_components(list(enumerate(texts)))})
+
+
 def test_sketch_is_a_bound():
     rnd = np.random.default_rng(4)
     for _ in range(200):
