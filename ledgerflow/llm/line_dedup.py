@@ -2,7 +2,8 @@
 
 A line is its words. A line of MIN_WORDS words or more is removed where an earlier line, by (doc_id, place),
 is equal to it or at most one word away (a word inserted, deleted or replaced), judged on the input; the earliest
-of each kind stays. Shorter lines always stay.
+of each kind stays. Of shorter lines those of exact_words words or more go where an earlier line is equal; by default
+there are none such, and shorter lines stay.
 
 Lines are first reduced to distinct ones. Two lines within the bound share their first or their last half, so
 only lines that share a half with another go on. Each of these emits all its variants with one word left out,
@@ -128,22 +129,23 @@ def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     return near
 
 
-def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, exact_words: int | None = None) -> DataFrame:
     """_d, _th, gone: the places of the lines that go, by document."""
-    occ = materialize(occurrences(docs)).filter(F.col("n") >= min_words).withColumn("place", _place())
+    least = min_words if exact_words is None else min(exact_words, min_words)
+    occ = materialize(occurrences(docs)).filter(F.col("n") >= least).withColumn("place", _place())
     # of lines of one place (rows that repeat a doc_id) any serves: they are equal
     where = [F.min("place").alias("place"), *[F.min_by(c, "place").alias(c) for c in ("_d", "_th", "no")]]
     distinct = materialize(occ.groupBy(*LINE).agg(*where, *[F.min(c).alias(c) for c in ("n", *HALVES)]))
-    near = near_lines(docs, distinct).withColumn("near", F.lit(True))
+    near = near_lines(docs, distinct.filter(F.col("n") >= min_words)).withColumn("near", F.lit(True))
     fate = distinct.select(*LINE, F.col("place").alias("first")).join(near, LINE, "left")
     gone = occ.select(*DOC, "no", "place", *LINE).join(fate, LINE).filter((F.col("first") < F.col("place")) | F.col("near"))
     return gone.groupBy(*DOC).agg(F.sort_array(F.collect_set("no")).alias("gone"))
 
 
-def dedup(docs: DataFrame, min_words: int = MIN_WORDS, counts: tuple[str, str] | None = None) -> DataFrame:
+def dedup(docs: DataFrame, min_words: int = MIN_WORDS, counts: tuple[str, str] | None = None, exact_words: int | None = None) -> DataFrame:
     """The documents with their kept lines as text; counts names two more columns, for the lines and the removed ones."""
     own = packed(docs, "doc_id", "text")
-    joined = _keyed(own).join(removed_lines(own, min_words), DOC, "left")
+    joined = _keyed(own).join(removed_lines(own, min_words, exact_words), DOC, "left")
     lines = F.split("text", "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
     kept = F.array_join(F.transform(stay, lambda i: F.element_at(lines, i + 1)), "\n")
@@ -156,8 +158,8 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS, counts: tuple[str, str] |
     return out.select(*unpacked(out, docs, "doc_id", "text"), *more)
 
 
-def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=("n_lines", "n_removed"))
+def query(spark: SparkSession, sf_dir: str, exact_words: int | None = None) -> DataFrame:
+    done = dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=("n_lines", "n_removed"), exact_words=exact_words)
     text = F.coalesce("text", F.lit(""))
     return done.select(
         "doc_id", "n_lines", "n_removed",
@@ -165,6 +167,11 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def query_short(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As query(), and later copies of every line that has a word go too."""
+    return query(spark, sf_dir, exact_words=1)
+
+
 ORACLE_SQL = r"""
 WITH lines AS (
   SELECT doc_id, CAST(no - 1 AS INTEGER) AS no, line,
@@ -189,3 +196,6 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(gone AS INTEGER)) AS BIGINT) A
   sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
 """
+
+#: The word minimum holds for lines one word apart only.
+SHORT_SQL = ORACLE_SQL.replace("WHERE len(w) >= 5 GROUP BY w", "WHERE len(w) >= 1 GROUP BY w").replace("AS i FROM uniq)", "AS i FROM uniq WHERE n >= 5)").replace("JOIN uniq x ON y.v = x.w WHERE", "JOIN uniq x ON y.v = x.w WHERE x.n >= 5 AND")

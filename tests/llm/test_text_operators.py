@@ -307,6 +307,25 @@ def test_line_dedup_odd(spark):
     assert line_dedup.dedup(df.limit(0)).count() == 0
 
 
+def test_line_dedup_short(spark):
+    """Equal short lines go after the first; short lines one word apart and lines without words stay."""
+    texts = ["Read more\nRead  more\n\nRead this\none two three four five", "Les.\nRead more\n\none two three four\none two three four six", "Les.\none two three four"]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup(docs_of(spark, texts), exact_words=1).collect()}
+    assert got == {0: "Read more\n\nRead this\none two three four five", 1: "Les.\n\none two three four", 2: ""}
+
+
+def test_line_dedup_short_sql(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{D}/documents.parquet')")
+    name = "op10_line_dedup_short"
+    got, want = registry.QUERIES[name](spark, D).toPandas(), con.sql(registry.ORACLES[name]).df()
+    cols = sorted(want.columns)
+    key = lambda x: sorted(map(repr, x[cols].itertuples(index=False, name=None)))
+    assert key(got) == key(want)
+
+
 @pytest.mark.parametrize("name", ["op1_chat_formatting", "op4_source_mixing", "op6_topk_search", "op7_quality_rules", "op8_jaccard_join", "op10_line_dedup"])
 def test_sql(spark, name):
     import duckdb
