@@ -8,7 +8,7 @@ their first LENGTH bytes, so equal strings meet, and neighbouring suffixes with
    than once are sent once, for the least document; the other documents know already that they are covered.
 2. In a bucket, equal runs give the documents after the first their answer. Where one minimiser has different
    runs, their bytes are asked for: only these suffixes have to be sorted.
-3. Those are sorted deep-shallow to the depth LENGTH: multikey sorting to SHALLOW bytes, then blind tries order the
+3. Those are sorted deep-shallow to the depth LENGTH: a lexsort by 64-bit words to SHALLOW bytes, then blind tries order the
    groups that are still equal, branching at the first byte in which members differ and skipping all before it.
    Equal neighbours in the order are equal strings, and the least document of each keeps its own.
 4. The answers of a document meet its text, whose runs are computed again, and the covered bytes go.
