@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+TABLES = ["lineitem", "orders", "customer", "supplier", "nation"]
 CMTE_TP = ["H", "S", "P", "N", "Q", "W", "O", "U", "X", "Y", "V", "D", "N"]
 ORG_TP = ["C", "L", "T", "M", "V", "W", ""]
 ENTITY = ["COM", "PAC", "PTY", "CCM", "ORG", "IND"]

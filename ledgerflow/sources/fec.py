@@ -16,7 +16,7 @@ from ledgerflow.schemas import FIELDS, KEYS, OTH_ENTITIES, raw_schema
 
 def _clean(df: DataFrame, kind: str) -> DataFrame:
     """Missing fields are empty, undecodable bytes go, the line's outer blanks go."""
-    names = FIELDS[kind].split()
+    names = FIELDS[kind]
 
     def one(i: int, c: str) -> Column:
         out = F.replace(F.coalesce(F.col(c), F.lit("")), F.lit("�"), F.lit(""))
@@ -34,7 +34,7 @@ def read_text(spark: SparkSession, kind: str, path: str, cycle: str) -> DataFram
 
 def read_zip(spark: SparkSession, kind: str, path: str, cycle: str) -> DataFrame:
     """The first .txt member of each archive. An archive must fit in a task; unpack larger ones and use read_text."""
-    names = FIELDS[kind].split()
+    names = FIELDS[kind]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import tempfile
 import uuid
 from datetime import datetime, timedelta, timezone
@@ -25,27 +26,54 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
     out.close()
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A new place in the shared folder, which goes when the driver ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    p, fs = _fs(spark, path)
+    fs.deleteOnExit(p)
+    return path
+
+
 def write_stage(df: DataFrame, path: str, partition: str | None = "cycle") -> DataFrame:
-    """Write a stage as Parquet, by cycle where it has one, and read it back."""
+    """Write a stage as Parquet, by cycle where it has one (then a filter on the cycle reads that part alone), and read it back."""
     writer = df.write.mode("overwrite")
     if partition and partition in df.columns:
-        writer = writer.partitionBy(partition)
+        # a cycle's rows are dealt out over tasks by hash, so a part holds few files, and no task all rows of a cycle
+        parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
+        keys = [c for c in df.columns if c != partition][:2]
+        writer = df.repartition(parts, *keys).write.mode("overwrite").partitionBy(partition)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut a loop's lineage with a table in the shared checkpoint folder."""
-    spark = df.sparkSession
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not where:
-        where = tempfile.mkdtemp(prefix="ledgerflow-stage-")
-        spark.sparkContext.setCheckpointDir(where)
-    path = f"{where}/stage-{uuid.uuid4().hex}"
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a local master may go without; it gets a temporary one."""
+    sc = spark.sparkContext
+    where = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if where:
+        return where
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that the driver and all executors of {sc.master} share")
+    where = tempfile.mkdtemp(prefix="ledgerflow-")
+    sc.setCheckpointDir(where)
+    return where
+
+
+def checkpointed(df: DataFrame, name: str = "step") -> DataFrame:
+    """Cut the lineage with a table in the shared folder; it goes when the driver ends."""
+    path = stage_path(df.sparkSession, name)
     df.write.parquet(path)
-    p, fs = _fs(spark, path)
-    fs.deleteOnExit(p)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fingerprint(spark: SparkSession, *paths: str) -> tuple:
+    """What tells whether files have changed: their number, length and last modification."""
+    out = []
+    for path in paths:
+        p, fs = _fs(spark, path)
+        files = [f for f in (fs.listStatus(p) or []) if f.isFile()] if fs.exists(p) else []
+        out.append((path, len(files), sum(f.getLen() for f in files), max((f.getModificationTime() for f in files), default=0)))
+    return tuple(out)
 
 
 def dump(df: DataFrame, root: str, database: str, collection: str) -> None:
@@ -91,16 +119,16 @@ def iterate(df: DataFrame):
         yield row.asDict(recursive=True)
 
 
-def dump_graph(path: str, name: str = "money_flow") -> dict:
+def dump_graph(spark: SparkSession, path: str, name: str = "money_flow") -> dict:
+    """The graph's definition as JSON, on whatever file system the path names."""
     definition = {"name": name, "edges": {e: {"from": a, "to": b} for e, (a, b) in EDGES.items()}}
-    with open(path, "w") as f:
-        json.dump(definition, f, indent=1)
+    _write_text(spark, path, json.dumps(definition, indent=1))
     return definition
 
 
-def restore_graph(path: str) -> dict[str, tuple[str, str]]:
-    with open(path) as f:
-        return {e: (d["from"], d["to"]) for e, d in json.load(f)["edges"].items()}
+def restore_graph(spark: SparkSession, path: str) -> dict[str, tuple[str, str]]:
+    text = spark.read.text(path, wholetext=True).first()[0]
+    return {e: (d["from"], d["to"]) for e, d in json.loads(text)["edges"].items()}
 
 
 def needs_download(now: datetime, local: datetime | None, remote: datetime | None, force: bool = False, max_age_days: int = 7) -> bool:

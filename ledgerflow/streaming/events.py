@@ -17,4 +17,6 @@ def windowed(events: DataFrame, size: str = "1 hour", late: str = "10 minutes")
     rows = events.withColumn("ts", F.col("ts").cast("timestamp"))  # a watermark needs an instant
     rows = rows.withWatermark("ts", late) if events.isStreaming else rows
     grouped = rows.groupBy(F.window("ts", size).alias("w"), "event_type")
-    return grouped.agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("value")).select(F.col("w.start").alias("start"), "event_type", "n", "value")
+    value = F.round(F.sum(F.col("value").cast("decimal(18,6)")), 2).cast("double")  # a decimal sum does not depend on its order
+    start = F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("start")
+    return grouped.agg(F.count("*").alias("n"), value.alias("value")).select(start, "event_type", "n", "value")

@@ -20,7 +20,7 @@ LINES = [
 
 
 def test_field_counts():
-    assert {k: len(v.split()) for k, v in FIELDS.items()} == {"cn": 15, "cm": 15, "ccl": 7, "indiv": 21, "oth": 21, "pas2": 22}
+    assert {k: len(v) for k, v in FIELDS.items()} == {"cn": 15, "cm": 15, "ccl": 7, "indiv": 21, "oth": 21, "pas2": 22}
 
 
 def test_text_and_zip_agree(spark, tmp_path):
@@ -57,12 +57,35 @@ def test_dump_restore(spark, tmp_path):
     store.dump(df, root, "db", "c")
     assert store.can_restore(spark, root, "db", "c") and sorted(map(tuple, store.restore(spark, root, "db", "c").collect())) == [(1, "a"), (2, None)]
     assert len(list(store.iterate(df))) == 2
-    store.dump_graph(f"{root}/g.json")
-    assert store.restore_graph(f"{root}/g.json") == EDGES
+    store.dump_graph(spark, f"{root}/g.json")
+    assert store.restore_graph(spark, f"{root}/g.json") == EDGES
     back = store.write_stage(df.withColumn("cycle", F.lit("2020")), f"{root}/stage")
     assert back.filter("cycle = '2020'").count() == 2
 
 
+def test_shared_folder_is_required_on_a_cluster():
+    """Only a local master may do without; others must name the folder."""
+    from types import SimpleNamespace
+
+    class Context(SimpleNamespace):
+        def getCheckpointDir(self):
+            return None
+
+        def setCheckpointDir(self, where):
+            self.where = where
+
+    def session(master, where=None):
+        return SimpleNamespace(sparkContext=Context(master=master), conf=SimpleNamespace(get=lambda key, default=None: where))
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[3,2,1024]", "k8s://x"):
+        with pytest.raises(RuntimeError):
+            store.shared_folder(session(master))
+        assert store.shared_folder(session(master, "hdfs://x/y")) == "hdfs://x/y"
+    for master in ("local", "local[4]", "local[*]", "local[2,3]"):
+        one = session(master)
+        assert store.shared_folder(one) == one.sparkContext.where
+
+
 def test_merge_modes(spark):
     old = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "id long, t string, u string")
     new = spark.createDataFrame([(2, "B", None), (3, "c", "z")], "id long, t string, u string")
