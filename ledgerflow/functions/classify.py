@@ -42,24 +42,26 @@ def whale_tier(total: Column) -> Column:
     return F.when(total >= 1_000_000, "ultra").when(total >= 500_000, "mega").when(total >= 100_000, "whale").when(total >= 50_000, "notable")
 
 
-def lean(dem: Column, rep: Column, n_parties: Column) -> Column:
+def lean(dem: Column, rep: Column, total: Column) -> Column:
     """Whether gifts lean to one of two parties: half as much again as to the other."""
-    return F.when(n_parties == 0, "UNKNOWN").when(dem > 1.5 * rep, "DEM").when(rep > 1.5 * dem, "REP").otherwise("MIXED")
+    return F.when(total <= 0, "UNKNOWN").when(dem > 1.5 * rep, "DEM").when(rep > 1.5 * dem, "REP").otherwise("MIXED")
 
 
-def _lookup(c: Column, names: dict[str, str]) -> Column:
-    out = F.lit(None).cast("string")
+def _lookup(c: Column, names: dict[str, str], other: Column) -> Column:
+    out = other
     for code, name in reversed(names.items()):
         out = F.when(c == code, name).otherwise(out)
-    return F.coalesce(out, c)
+    return out
 
 
 def office_name(c: Column) -> Column:
-    return _lookup(c, OFFICES)
+    """Unknown for any other code and for none."""
+    return _lookup(c, OFFICES, F.lit("Unknown"))
 
 
 def party_name(c: Column) -> Column:
-    return _lookup(c, PARTIES)
+    """Another code stands for itself; Unknown where there is none."""
+    return _lookup(c, PARTIES, F.when(F.coalesce(c, F.lit("")) == "", "Unknown").otherwise(c))
 
 
 def is_super_pac(cmte_tp: Column) -> Column:
@@ -70,10 +72,6 @@ def is_campaign(cmte_tp: Column) -> Column:
     return F.coalesce(cmte_tp.isin("H", "S", "P"), F.lit(False))
 
 
-def is_independent_expenditure(transaction_tp: Column) -> Column:
-    return F.coalesce(transaction_tp.isin("24A", "24E"), F.lit(False))
-
-
 def is_principal_committee(dsgn: Column) -> Column:
     return F.coalesce(dsgn == "P", F.lit(False))
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerflow.schemas import CONDUIT_NAMES, MONEY
+from ledgerflow.schemas import CONDUIT_NAMES, FACTOR, MONEY, PART
 
 
 def normalize_name(c: Column) -> Column:
@@ -48,6 +48,11 @@ def conduit_name(c: Column) -> Column:
     return F.coalesce(F.upper(c).rlike("|".join(CONDUIT_NAMES)), F.lit(False))
 
 
+def part_of(amount_: Column, factor: Column) -> Column:
+    """A share of an amount, as a decimal, so that sums of shares do not depend on their order."""
+    return amount_.cast(PART) * F.round(factor, 12).cast(FACTOR)
+
+
 def percent(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, F.round(part.cast("double") / whole.cast("double") * 100, 1)).otherwise(F.lit(0.0))
 

@@ -5,34 +5,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.normalize import extract_company
+from ledgerflow.functions.normalize import extract_company, part_of
 from ledgerflow.operators.traverse import donor_inflow
-from ledgerflow.schemas import NOT_COMPANIES, NOT_EMPLOYERS, SUM, TERMINAL_ORGS
+from ledgerflow.schemas import IE_NOT_EMPLOYERS, NOT_COMPANIES, PART, SUM
+
+#: The categories of upstream sources; any other kind is unresolved.
+CATEGORIES = {
+    "corporation": "corporations", "trade_association": "trade_associations", "labor_union": "labor_unions", "ideological": "ideological",
+    "donor": "donors",
+}
+
+
+def _categories(found: DataFrame) -> DataFrame:
+    out = F.lit("unresolved")
+    for kind, name in CATEGORIES.items():
+        out = F.when(F.col("terminal_type") == kind, name).otherwise(out)
+    return found.withColumn("category", out)
 
 
 def upstream_summary(found: DataFrame) -> DataFrame:
-    """start, category, total, count: sources by category."""
-    t = F.col("terminal_type")
-    category = F.when(t == "donor", "individuals").when(t == "corporation", "corporations").when(t == "labor_union", "labor_unions").when(t == "trade_association", "trade_associations")
-    category = category.when(t.isin("ideological", "cooperative"), t).otherwise("other")
-    return found.groupBy("start", category.alias("category")).agg(F.sum("total_amount").alias("total"), F.count("*").alias("sources"))
+    """start, category, total, sources: sources by category."""
+    return _categories(found).groupBy("start", "category").agg(F.sum("total_amount").alias("total"), F.count("*").alias("sources"))
+
+
+def upstream_top(found: DataFrame, n: int = 10) -> DataFrame:
+    """start, category, rank, entity, name, amount: the largest sources of each category."""
+    best = Window.partitionBy("start", "category").orderBy(F.desc("total_amount"), "entity", "terminal_type")
+    ranked = _categories(found).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= n)
+    return ranked.select("start", "category", "rank", "entity", "name", F.col("total_amount").alias("amount"))
 
 
 def ie_funding(spent: DataFrame, side: str, committees: DataFrame, transferred: DataFrame, contributed: DataFrame, donors: DataFrame) -> DataFrame:
-    """cand_id, kind, label, amount: who funded the committees that spent for (S) or against (O) a candidate, one hop, in proportion."""
+    """cand_id, kind, label, amount: who funded the committees that spent for (S) or against (O) a candidate, one hop, in
+    proportion; committees of every type are sources here."""
     sums = spent.filter(F.col("support_oppose") == side).groupBy("cand_id", "cmte_id").agg(F.sum("total_amount").cast("double").alias("spent"))
     receipts = committees.filter("total_receipts > 0").select(F.col("CMTE_ID").alias("cmte_id"), F.col("total_receipts").cast("double").alias("receipts"))
     shares = sums.join(receipts, "cmte_id").select("cand_id", "cmte_id", (F.col("spent") / F.col("receipts")).alias("m"))
     people = donors.select("donor_key", "canonical_name", F.col("canonical_employer").alias("emp"))
     gifts = donor_inflow(contributed, donors).join(people, "donor_key")
-    placeholder = F.upper("emp").isin(NOT_EMPLOYERS) | (F.col("emp") == "")
+    placeholder = F.upper("emp").isin(IE_NOT_EMPLOYERS) | (F.coalesce("emp", F.lit("")) == "")
     label = F.when((F.col("kind") == "individual") & ~placeholder, F.concat("canonical_name", F.lit(" ("), "emp", F.lit(")"))).otherwise(F.col("canonical_name"))
     gifts = gifts.groupBy("cmte_id", "kind", label.alias("label")).agg(F.sum("w").alias("w"))
-    moves = transferred.groupBy("src", "dst").agg(F.sum("total_amount").cast("double").alias("w"))
-    types = committees.filter(F.col("terminal_type").isin(TERMINAL_ORGS)).select(F.col("CMTE_ID").alias("src"), "CMTE_NM", "terminal_type")
-    moves = moves.join(types, "src").groupBy(F.col("dst").alias("cmte_id"), F.col("terminal_type").alias("kind"), F.col("CMTE_NM").alias("label")).agg(F.sum("w").alias("w"))
+    moves = transferred.groupBy("src", "dst").agg(F.sum("total_amount").cast(PART).alias("w"))
+    types = committees.select(F.col("CMTE_ID").alias("src"), "CMTE_NM", F.coalesce("terminal_type", F.lit("unknown")).alias("kind"))
+    moves = moves.join(types, "src").groupBy(F.col("dst").alias("cmte_id"), "kind", F.col("CMTE_NM").alias("label")).agg(F.sum("w").alias("w"))
     money = shares.join(gifts.unionByName(moves), "cmte_id")
-    return money.groupBy("cand_id", "kind", "label").agg(F.sum(F.col("w") * F.col("m")).alias("amount")).filter("amount > 0.01")
+    return money.groupBy("cand_id", "kind", "label").agg(F.sum(part_of(F.col("w"), F.col("m"))).alias("amount")).filter("amount > 0.01")
 
 
 def ie_spenders(spent: DataFrame, committees: DataFrame) -> DataFrame:
@@ -42,28 +60,29 @@ def ie_spenders(spent: DataFrame, committees: DataFrame) -> DataFrame:
 
 def corporate_influence(starts: DataFrame, committees: DataFrame, transferred: DataFrame, contributed: DataFrame, donors: DataFrame) -> DataFrame:
     """start, company, pac, employees, total: committees of corporations, direct or behind a passthrough, and gifts of employees."""
-    w = transferred.groupBy("src", "dst").agg(F.sum("total_amount").cast("double").alias("w"))
+    w = transferred.groupBy("src", "dst").agg(F.sum("total_amount").cast(PART).alias("w"))
     direct_all = starts.join(w, F.col("cmte_id") == F.col("dst"))
     passing = committees.filter("terminal_type = 'passthrough'").select(F.col("CMTE_ID").alias("src"))
     to_start = direct_all.join(passing, "src", "left_semi").groupBy("start", "src").agg(F.sum("w").alias("to_start")).filter("to_start > 0")
     out = w.groupBy("src").agg(F.sum("w").alias("total_out")).filter("total_out > 0")
-    share = to_start.join(out, "src").select("start", F.col("src").alias("via"), F.least(F.col("to_start") / F.col("total_out"), F.lit(1.0)).alias("pct"))
+    share = to_start.join(out, "src").select("start", F.col("src").alias("via"), F.least(F.col("to_start").cast("double") / F.col("total_out").cast("double"), F.lit(1.0)).alias("pct"))
     corp = committees.filter("ORG_TP = 'C'").select(F.col("CMTE_ID").alias("src"), "CMTE_NM")
     corp_w = w.join(corp, "src")
-    behind = share.join(corp_w, F.col("via") == F.col("dst")).select("start", "CMTE_NM", (F.col("w") * F.col("pct")).alias("a"))
-    direct = starts.join(corp_w, F.col("cmte_id") == F.col("dst")).select("start", "CMTE_NM", F.col("w").alias("a"))
-    zero = F.lit(0.0)
+    behind = share.join(corp_w, F.col("via") == F.col("dst")).select("start", "CMTE_NM", part_of(F.col("w"), F.col("pct")).alias("a"))
+    direct = starts.join(corp_w, F.col("cmte_id") == F.col("dst")).select("start", "CMTE_NM", part_of(F.col("w"), F.lit(1.0)).alias("a"))
+    zero = F.lit(0).cast("decimal(37,16)")
     pac = behind.unionByName(direct).select("start", extract_company(F.col("CMTE_NM")).alias("company"), F.col("a").alias("pac"), zero.alias("employees"))
     kept = donors.filter(F.col("donor_type").isin("individual", "likely_individual") & F.col("canonical_employer").isNotNull() & ~F.col("canonical_employer").isin(NOT_COMPANIES))
-    gifts = contributed.groupBy("cmte_id", "donor_key").agg(F.sum("total_amount").cast("double").alias("w"))
+    gifts = contributed.groupBy("cmte_id", "donor_key").agg(F.sum("total_amount").cast(PART).alias("w"))
     gifts = starts.join(gifts, "cmte_id").join(kept.select("donor_key", F.trim(F.upper("canonical_employer")).alias("company")), "donor_key")
-    emp = gifts.select("start", "company", zero.alias("pac"), F.col("w").alias("employees"))
+    emp = gifts.select("start", "company", zero.alias("pac"), part_of(F.col("w"), F.lit(1.0)).alias("employees"))
     both = pac.unionByName(emp).groupBy("start", "company").agg(F.sum("pac").alias("pac"), F.sum("employees").alias("employees"))
     return both.withColumn("total", F.col("pac") + F.col("employees"))
 
 
 def funding_totals(starts: DataFrame, contributed: DataFrame, transferred: DataFrame, spent: DataFrame) -> DataFrame:
-    """start, direct, pac, ie_support, ie_oppose, pro: one aggregation over tagged rows."""
+    """start, direct, pac, ie_support, ie_oppose, pro: one aggregation over tagged rows. starts holds all linked committees of a
+    candidate, and those known otherwise (with_known)."""
     part = lambda df, name: df.select("start", F.lit(name).alias("part"), F.col("total_amount").alias("a"))
     money = part(starts.join(contributed, "cmte_id"), "direct").unionByName(part(starts.join(transferred, F.col("cmte_id") == F.col("dst")), "pac"))
     ie = spent.select(F.col("cand_id").alias("start"), F.when(F.col("support_oppose") == "S", "ie_support").otherwise("ie_oppose").alias("part"), F.col("total_amount").alias("a"))
@@ -73,15 +92,25 @@ def funding_totals(starts: DataFrame, contributed: DataFrame, transferred: DataF
     return sums.withColumn("pro", F.col("direct") + F.col("pac") + F.col("ie_support"))
 
 
+def with_known(starts: DataFrame, members: DataFrame) -> DataFrame:
+    """starts and the committees that a member's record names for its candidates: a set union."""
+    known = members.select(F.explode("candidate_ids").alias("start"), F.col("committee_ids").alias("c")).select("start", F.explode("c").alias("cmte_id"))
+    return starts.select("start", "cmte_id").unionByName(known).distinct()
+
+
 def candidate_summary(starts: DataFrame, committees: DataFrame, ratios: DataFrame) -> DataFrame:
-    """start, receipts, individual_pct, organization_pct, funding_distance: source ratios weighted by receipts, one hop further."""
-    money = starts.join(committees.select(F.col("CMTE_ID").alias("cmte_id"), F.col("total_receipts").cast("double").alias("r")), "cmte_id").join(ratios, "cmte_id")
-    sums = money.groupBy("start").agg(F.sum("r").alias("receipts"), F.sum(F.col("r") * F.col("i")).alias("si"), F.sum(F.col("r") * F.col("o")).alias("so"), F.sum(F.col("r") * (F.col("h") + 1)).alias("sh"))
-    whole = F.col("si") + F.col("so")
+    """start, total_raised, individual_total, organization_total, their percentages, funding_distance: the source ratios of all of
+    a candidate's committees weighted by receipts, one hop further. Candidates without traced money have no row."""
+    money = committees.filter("total_receipts > 0").select(F.col("CMTE_ID").alias("cmte_id"), F.col("total_receipts").alias("r"))
+    money = starts.join(money, "cmte_id").join(ratios, "cmte_id")
+    share = lambda x: F.sum(part_of(F.col("r"), F.col(x)))
+    sums = money.groupBy("start").agg(share("i").alias("individual_total"), share("o").alias("organization_total"), share("h").alias("steps"), F.sum("r").alias("r"))
+    whole = F.col("individual_total") + F.col("organization_total")
+    pct = lambda x: F.round(F.col(x).cast("double") / F.col("total_raised").cast("double") * 100, 1)
+    sums = sums.withColumn("total_raised", whole).filter("total_raised > 0")
     return sums.select(
-        "start", "receipts", F.when(whole > 0, F.round(F.col("si") / whole * 100, 1)).otherwise(0.0).alias("individual_pct"),
-        F.when(whole > 0, F.round(F.col("so") / whole * 100, 1)).otherwise(0.0).alias("organization_pct"),
-        F.when(F.col("receipts") > 0, F.round(F.col("sh") / F.col("receipts"), 2)).otherwise(0.0).alias("funding_distance"),
+        "start", "total_raised", "individual_total", "organization_total", pct("individual_total").alias("individual_pct"),
+        pct("organization_total").alias("organization_pct"), F.round(F.col("steps").cast("double") / F.col("r").cast("double") + 1, 2).alias("funding_distance"),
     )
 
 
@@ -138,4 +167,4 @@ def pie(df: DataFrame, start: str = "start", n: int = 10) -> DataFrame:
     whole = F.sum("total").over(Window.partitionBy(start))
     best = F.slice(F.sort_array(F.collect_list(F.struct("amount", "entity")), asc=False), 1, n)
     sums = df.groupBy(start, "kind").agg(F.sum("amount").alias("total"), F.count("*").alias("sources"), best.alias("top"))
-    return sums.withColumn("pct", F.when(whole > 0, F.round(F.col("total") / whole * 100, 1)).otherwise(0.0))
+    return sums.withColumn("pct", F.when(whole > 0, F.round(F.col("total").cast("double") / whole.cast("double") * 100, 1)).otherwise(0.0))

@@ -19,13 +19,22 @@ def gifts(indiv: DataFrame) -> DataFrame:
     return usable.withColumn("emp", employer_or_default(F.col("EMPLOYER")))
 
 
+def gift_groups(indiv: DataFrame) -> DataFrame:
+    """Gifts by (cycle, name, employer, committee): all that donors and their edges need of the raw rows."""
+    return gifts(indiv).groupBy("cycle", "NAME", "emp", "CMTE_ID").agg(*_sums())
+
+
 def donors(indiv: DataFrame, threshold: float = DONOR_THRESHOLD, threshold_on: str = "raw") -> DataFrame:
+    return donors_of(gift_groups(indiv), threshold, threshold_on)
+
+
+def donors_of(groups: DataFrame, threshold: float = DONOR_THRESHOLD, threshold_on: str = "raw") -> DataFrame:
     """donor_key, canonical_name, canonical_employer, total_amount, transaction_count, cycles.
 
     The threshold holds for the raw (name, employer) of a cycle, as the data's publisher counts; with
     threshold_on='normalized' for the normalised donor of a cycle.
     """
-    raw = gifts(indiv).groupBy("cycle", "NAME", "emp").agg(*_sums())
+    raw = groups.groupBy("cycle", "NAME", "emp").agg(F.sum("total_amount").cast(SUM).alias("total_amount"), F.sum("transaction_count").alias("transaction_count"))
     keyed = raw.withColumn("donor_key", donor_key(F.col("NAME"), F.col("emp")))
     if threshold_on == "raw":
         keyed = keyed.filter(F.col("total_amount") >= threshold)
@@ -52,24 +61,27 @@ def employed_by(donors_: DataFrame, employers_: DataFrame) -> DataFrame:
     return keyed.join(employers_.select("employer_key"), "employer_key", "left_semi")
 
 
-def contribution_groups(indiv: DataFrame) -> DataFrame:
-    rows = gifts(indiv).filter("CMTE_ID IS NOT NULL")
-    grouped = rows.groupBy("cycle", "NAME", "emp", "CMTE_ID").agg(*_sums()).filter("total_amount > 0")
-    return grouped.withColumn("donor_key", donor_key(F.col("NAME"), F.col("emp")))
+def _keyed_groups(groups: DataFrame) -> DataFrame:
+    known = groups.filter("CMTE_ID IS NOT NULL AND total_amount > 0")
+    return known.withColumn("donor_key", donor_key(F.col("NAME"), F.col("emp")))
 
 
 def contributed_to(indiv: DataFrame, donors_: DataFrame, committees: DataFrame) -> DataFrame:
+    return contributed_of(gift_groups(indiv), donors_, committees)
+
+
+def contributed_of(groups: DataFrame, donors_: DataFrame, committees: DataFrame) -> DataFrame:
     """donor -> committee by cycle; variants of one donor are summed, so no money is lost between them."""
-    known = contribution_groups(indiv).join(donors_.select("donor_key"), "donor_key", "left_semi")
+    known = _keyed_groups(groups).join(donors_.select("donor_key"), "donor_key", "left_semi")
     known = known.join(committees.select("CMTE_ID"), "CMTE_ID", "left_semi")
     return known.groupBy("donor_key", F.col("CMTE_ID").alias("cmte_id"), "cycle").agg(
         F.sum("total_amount").cast(SUM).alias("total_amount"), F.sum("transaction_count").alias("transaction_count")
     )
 
 
-def skipped_contributions(indiv: DataFrame, donors_: DataFrame) -> DataFrame:
+def skipped_contributions(groups: DataFrame, donors_: DataFrame) -> DataFrame:
     """What the donor threshold leaves out, by cycle."""
-    gone = contribution_groups(indiv).join(donors_.select("donor_key"), "donor_key", "left_anti")
+    gone = _keyed_groups(groups).join(donors_.select("donor_key"), "donor_key", "left_anti")
     return gone.groupBy("cycle").agg(F.count("*").alias("n_edges"), F.sum("total_amount").cast(SUM).alias("total_amount"))
 
 

@@ -9,14 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.normalize import conduit_name
-from ledgerflow.schemas import FOLLOWED, TERMINAL_ORGS
+from ledgerflow.functions.normalize import conduit_name, part_of
+from ledgerflow.schemas import FOLLOWED, PART, TERMINAL_ORGS
 from ledgerflow.sources.store import checkpointed
 
 
 def pair_weights(transferred: DataFrame, committees: DataFrame) -> DataFrame:
     """src, dst, w (parallel edges summed) with the source's type and receipts."""
-    w = transferred.groupBy("src", "dst").agg(F.sum("total_amount").cast("double").alias("w"))
+    w = transferred.groupBy("src", "dst").agg(F.sum("total_amount").cast(PART).alias("w"))
     src = committees.select(F.col("CMTE_ID").alias("src"), F.col("terminal_type").alias("src_type"), F.col("total_receipts").cast("double").alias("src_receipts"))
     return w.join(src, "src")
 
@@ -30,11 +30,12 @@ def direct_committees(affiliated: DataFrame, committees: DataFrame) -> DataFrame
     return typed.withColumn("c", campaign).withColumn("s", some).filter("c OR NOT s").select("cand_id", "cmte_id")
 
 
-def donor_inflow(contributed: DataFrame, donors: DataFrame) -> DataFrame:
-    """cmte_id, donor_key, kind, w: gifts whose donor's name is not that of a pass-along platform."""
+def donor_inflow(contributed: DataFrame, donors: DataFrame, dark_money: bool = True) -> DataFrame:
+    """cmte_id, donor_key, kind, w: gifts whose donor's name is not that of a pass-along platform. Organisations count as
+    dark money, or (dark_money=False) as individuals like all others."""
     kept = donors.filter(~conduit_name(F.col("canonical_name")))
-    kind = F.when(F.col("donor_type") == "organization", "dark_money").otherwise("individual")
-    w = contributed.groupBy("cmte_id", "donor_key").agg(F.sum("total_amount").cast("double").alias("w"))
+    kind = F.when((F.col("donor_type") == "organization") & F.lit(dark_money), "dark_money").otherwise("individual")
+    w = contributed.groupBy("cmte_id", "donor_key").agg(F.sum("total_amount").cast(PART).alias("w"))
     return w.join(kept.select("donor_key", kind.alias("kind")), "donor_key")
 
 
@@ -52,13 +53,13 @@ def upstream(
     front = checkpointed(starts.select("start", "cmte_id").distinct().withColumn("m", F.lit(1.0)))
     visited = front.select("start", "cmte_id")
     found = []
-    ratio = F.col("w") / F.col("src_receipts")
+    ratio = F.col("w").cast("double") / F.col("src_receipts")
     ratio = F.least(ratio, F.lit(1.0)) if cap_ratio else ratio
     for level in range(levels):
-        found.append(front.join(inflow, "cmte_id").select("start", "kind", F.col("donor_key").alias("entity"), (F.col("w") * F.col("m")).alias("a")))
+        found.append(front.join(inflow, "cmte_id").select("start", "kind", F.col("donor_key").alias("entity"), part_of(F.col("w"), F.col("m")).alias("a")))
         step = front.join(weights, F.col("cmte_id") == F.col("dst"))
         ends = step.filter(F.col("src_type").isin(TERMINAL_ORGS))
-        found.append(ends.select("start", F.col("src_type").alias("kind"), F.col("src").alias("entity"), (F.col("w") * F.col("m")).alias("a")))
+        found.append(ends.select("start", F.col("src_type").alias("kind"), F.col("src").alias("entity"), part_of(F.col("w"), F.col("m")).alias("a")))
         if level == levels - 1:
             break
         follow = step.filter(F.col("src_type").isin(FOLLOWED) & (F.col("src_receipts") > 0))
@@ -94,7 +95,7 @@ def upstream_unweighted(starts: DataFrame, transferred: DataFrame, contributed:
     far = far.unionByName(move.filter(orgs).groupBy("cmte_id", "entity", "terminal_type", "name").agg(F.sum("amount").alias("amount"), F.count("*").alias("n")))
     second = behind.join(far, "cmte_id").select("start", "entity", "terminal_type", "name", (F.col("amount") * F.col("times")).alias("amount"), (F.col("n") * F.col("times")).alias("paths"))
     first = first.select("start", "entity", "terminal_type", "name", "amount", F.col("times").alias("paths"))
-    return first.unionByName(second).groupBy("start", "entity", "terminal_type", "name").agg(F.sum("amount").cast("double").alias("total_amount"), F.sum("paths").alias("paths"))
+    return first.unionByName(second).groupBy("start", "entity", "terminal_type", "name").agg(F.sum("amount").alias("total_amount"), F.sum("paths").alias("paths"))
 
 
 def source_ratio(committees: DataFrame, transferred: DataFrame, contributed: DataFrame, donors: DataFrame, steps: int = 9) -> DataFrame:
@@ -129,24 +130,37 @@ def source_ratio(committees: DataFrame, transferred: DataFrame, contributed: Dat
     return state.select("cmte_id", "i", "o", "h")
 
 
-def sparse(transferred: DataFrame, top: int = 2) -> DataFrame:
-    """The largest sources of each committee only, for path enumeration."""
-    w = transferred.groupBy("src", "dst").agg(F.sum("total_amount").alias("w"))
-    best = Window.partitionBy("dst").orderBy(F.col("w").desc(), "src")
-    return w.withColumn("rn", F.row_number().over(best)).filter(F.col("rn") <= top).select("src", "dst", "w")
-
+def paths(edges: DataFrame, starts: DataFrame, most: int = 5, least: int = 0) -> DataFrame:
+    """origin, target, hops, path (array) of every walk of least..most edges that leaves a start and repeats no vertex.
 
-def paths(edges: DataFrame, most: int = 5, least: int = 1) -> DataFrame:
-    """origin, target, hops, path (array) of all walks of least..most edges that repeat no vertex."""
-    front = edges.select(F.col("src").alias("origin"), F.col("dst").alias("target"), F.array("src", "dst").alias("path"), F.lit(1).alias("hops"))
+    starts: origin. The result holds one row for each path, so it grows with the number of starts and with the edges of a
+    vertex to the power of the hops; chains() counts walks without listing them.
+    """
+    edges = checkpointed(edges.select(F.col("src").alias("target"), F.col("dst").alias("nxt")).filter("target <> nxt").distinct())
+    front = starts.select("origin", F.col("origin").alias("target"), F.array("origin").alias("path"), F.lit(0).alias("hops"))
     out = front
-    for k in range(2, most + 1):
-        step = front.join(edges.select(F.col("src").alias("target"), F.col("dst").alias("nxt")), "target").filter(~F.array_contains("path", F.col("nxt")))
+    for k in range(1, most + 1):
+        step = front.join(edges, "target").filter(~F.array_contains("path", F.col("nxt")))
         front = step.select("origin", F.col("nxt").alias("target"), F.concat("path", F.array("nxt")).alias("path"), F.lit(k).alias("hops"))
         out = out.unionByName(front)
     return out.filter(F.col("hops") >= least)
 
 
+def chains(edges: DataFrame, affiliated: DataFrame, most: int = 5, least: int = 3) -> DataFrame:
+    """origin, cand_id, hops, walks: how many walks of so many transfers lead from each committee to a candidate's
+    committee. One row for each candidate, committee and level, whatever the number of walks."""
+    edges = checkpointed(edges.select("src", F.col("dst").alias("node")).filter("src <> node").distinct())
+    front = affiliated.select("cand_id", F.col("cmte_id").alias("node")).distinct().withColumn("walks", F.lit(1).cast("decimal(38,0)"))
+    found = None
+    for k in range(1, most + 1):
+        front = front.join(edges, "node").groupBy("cand_id", F.col("src").alias("node")).agg(F.sum("walks").cast("decimal(38,0)").alias("walks"))
+        front = checkpointed(front)
+        if k >= least:
+            part = front.select(F.col("node").alias("origin"), "cand_id", F.lit(k).cast("long").alias("hops"), "walks")
+            found = part if found is None else found.unionByName(part)
+    return found
+
+
 def shortest_hops(edges: DataFrame, most: int | None = 5) -> DataFrame:
     """origin, target, hops: the least number of edges, up to a bound or (None) until no new pair is found, by levels with
     one row for each pair."""
@@ -164,23 +178,24 @@ def shortest_hops(edges: DataFrame, most: int | None = 5) -> DataFrame:
 def all_gifts(contributed: DataFrame, donors: DataFrame) -> DataFrame:
     """cmte_id, kind, w: the gifts of all donors by the donor's type."""
     given = contributed.join(donors.select("donor_key", "donor_type"), "donor_key")
-    return given.groupBy("cmte_id", F.coalesce("donor_type", F.lit("donor")).alias("kind")).agg(F.sum("total_amount").cast("double").alias("w"))
+    return given.groupBy("cmte_id", F.coalesce("donor_type", F.lit("donor")).alias("kind")).agg(F.sum("total_amount").cast(PART).alias("w"))
 
 
 def inflow_by_kind(weights: DataFrame, gifts: DataFrame, most: int = 3) -> DataFrame:
     """target, kind, hops, amount: what reaches each committee over exactly so many edges, by the kind of the vertex it
     leaves. Every committee hands its inflow on at amount / receipts; all walks count, and none is listed."""
     weights = checkpointed(weights)
-    came = gifts.unionByName(weights.groupBy(F.col("dst").alias("cmte_id"), F.col("src_type").alias("kind")).agg(F.sum("w").alias("w")))
-    came = checkpointed(came.groupBy("cmte_id", "kind").agg(F.sum("w").alias("w")))
+    came = gifts.unionByName(weights.groupBy(F.col("dst").alias("cmte_id"), F.col("src_type").alias("kind")).agg(F.sum("w").cast(PART).alias("w")))
+    came = checkpointed(came.groupBy("cmte_id", "kind").agg(F.sum("w").cast(PART).alias("w")))
     front = came.select(F.col("cmte_id").alias("target"), "cmte_id").distinct().withColumn("m", F.lit(1.0))
     found = []
     for hops in range(1, most + 1):
-        part = front.join(came, "cmte_id").groupBy("target", "kind").agg(F.sum(F.col("m") * F.col("w")).alias("amount"))
+        part = front.join(came, "cmte_id").groupBy("target", "kind").agg(F.sum(part_of(F.col("w"), F.col("m"))).alias("amount"))
         found.append(part.select("target", "kind", F.lit(hops).cast("long").alias("hops"), "amount"))
         if hops < most:
             step = front.join(weights.filter("src_receipts > 0"), F.col("cmte_id") == F.col("dst"))
-            front = checkpointed(step.groupBy("target", F.col("src").alias("cmte_id")).agg(F.sum(F.col("m") * (F.col("w") / F.col("src_receipts"))).alias("m")))
+            share = F.col("m") * (F.col("w").cast("double") / F.col("src_receipts"))
+            front = checkpointed(step.groupBy("target", F.col("src").alias("cmte_id")).agg(F.sum(share).alias("m")))
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)

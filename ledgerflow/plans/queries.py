@@ -6,11 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.functions import classify, normalize
-from ledgerflow.operators import analysis, enrich, summaries, traverse
+from ledgerflow.operators import analysis, build, enrich, summaries, traverse
 from ledgerflow.plans.graph import Graph
-from ledgerflow.schemas import DONOR_SUMMARY_THRESHOLD
+from ledgerflow.schemas import DONOR_SUMMARY_THRESHOLD, FIELDS
+from ledgerflow.sources import fec
+from ledgerflow.sources.store import stage_path
+from ledgerflow.streaming import events
 
 CYCLES = ["1996", "1998", "2000", "2002"]
+#: The cycle of the queries over one.
+CYCLE = "1998"
 
 
 def _out(df: DataFrame) -> DataFrame:
@@ -22,32 +27,18 @@ def _out(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def cents(c):
-    """To two places. Raw amounts have four, so exact halves are common; the bound lies a little below them, where sums
-    that differ in their last bit still agree."""
-    return F.floor(c * 100 + 0.5001).cast("double") / 100
-
-
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: cents(F.col(n)) for n in names})
+    """To two places. The sums are decimals, so halves round alike everywhere."""
+    return df.withColumns({n: F.round(F.col(n), 2) for n in names})
 
 
-def _upstream(g: Graph) -> DataFrame:
+def _upstream(g: Graph, dark_money: bool = True, **how) -> DataFrame:
     weights = traverse.pair_weights(g.transferred, g.committees)
-    return traverse.upstream(g.starts, weights, traverse.donor_inflow(g.contributed, g.donors))
-
-
-def _ratios(g: Graph) -> DataFrame:
-    return traverse.source_ratio(g.committees, g.transferred, g.contributed, g.donors)
+    return traverse.upstream(g.starts, weights, traverse.donor_inflow(g.contributed, g.donors, dark_money), **how)
 
 
-def _sparse(g: Graph) -> DataFrame:
-    return traverse.sparse(g.transferred)
-
-
-def _forward(g: Graph) -> DataFrame:
-    """The sparse graph without cycles: only from a smaller to a greater committee id."""
-    return traverse.sparse(g.transferred.filter("src < dst"))
+def _unweighted(g: Graph) -> DataFrame:
+    return traverse.upstream_unweighted(g.all_starts, g.transferred, g.contributed, g.donors, g.typed)
 
 
 def donor_keys(g: Graph) -> DataFrame:
@@ -77,15 +68,13 @@ def donor_type_counts(g: Graph) -> DataFrame:
     return g.donors.groupBy("donor_type", "whale_tier").agg(F.count("*").alias("n"))
 
 
-def paths_text(df: DataFrame) -> DataFrame:
-    return df.select("origin", "target", F.col("hops").cast("long").alias("hops"), F.array_join("path", ">").alias("path"))
-
-
 def donor_paths(g: Graph) -> DataFrame:
-    """Top donors of each committee at the start of the walks of two hops and fewer that leave it."""
-    tops = summaries.top_donors(g.contributed, g.donors, 1).select(F.col("cmte_id").alias("origin"), "donor_key")
-    walks = traverse.paths(_forward(g), 2)
-    return walks.join(tops, "origin").select("donor_key", F.array_join("path", ">").alias("path"), F.col("hops").cast("long").alias("hops"))
+    """Every path from the donor with the largest total to a candidate, over two transfers at most."""
+    donor = g.donors.orderBy(F.desc("total_amount"), "donor_key").limit(1).select("donor_key")
+    first = g.contributed.join(donor, "donor_key", "left_semi").select("donor_key", F.col("cmte_id").alias("origin")).distinct()
+    walks = traverse.paths(g.transferred, first.select("origin"), 2).join(first, "origin")
+    ends = g.affiliated.select(F.col("cmte_id").alias("target"), "cand_id").distinct()
+    return walks.join(ends, "target").select("donor_key", "cand_id", F.array_join("path", ">").alias("path"), (F.col("hops") + 2).cast("long").alias("hops"))
 
 
 def employer_influence(g: Graph) -> DataFrame:
@@ -96,22 +85,90 @@ def employer_influence(g: Graph) -> DataFrame:
 
 
 def committee_inflow(g: Graph) -> DataFrame:
-    """What reaches a committee on sparse walks of three hops and fewer, by the type of the origin."""
-    walks = traverse.paths(_sparse(g), 3).join(g.typed.select(F.col("CMTE_ID").alias("origin"), "terminal_type"), "origin")
-    return walks.groupBy("target", "terminal_type").agg(F.count("*").alias("walks"), F.countDistinct("origin").alias("origins"), F.min("hops").cast("long").alias("nearest"))
-
-
-def committee_inflow_whole(g: Graph) -> DataFrame:
     """The money that reaches a committee over every edge in three hops and fewer, by the kind of its source and the hops."""
     weights = traverse.pair_weights(g.transferred, g.committees)
     return _rounded(traverse.inflow_by_kind(weights, traverse.all_gifts(g.contributed, g.donors)), "amount")
 
 
-def shortest_hops_whole(g: Graph) -> DataFrame:
+def shortest_hops(g: Graph) -> DataFrame:
     """Pairs of committees over every transfer, without a bound."""
     return traverse.shortest_hops(g.transferred, None).withColumn("hops", F.col("hops").cast("long"))
 
 
+def long_chains(g: Graph) -> DataFrame:
+    """How many chains of three to five transfers lead from a committee to a candidate, over every transfer."""
+    return traverse.chains(g.transferred, g.affiliated)
+
+
+def committee_documents(g: Graph) -> DataFrame:
+    """Committee summaries with their lists nested, as JSON."""
+    by_cycle = summaries.by_cycle({"individual": g.contributed.withColumnRenamed("cmte_id", "CMTE_ID"), "committee": g.transferred.withColumnRenamed("dst", "CMTE_ID")}, "CMTE_ID", CYCLES)
+    lists = {
+        "funding_by_cycle": (by_cycle, ["cycle", "individual", "individual_count", "committee", "committee_count"]),
+        "top_individual_donors": (summaries.top_donors(g.contributed, g.donors).withColumnRenamed("cmte_id", "CMTE_ID"), ["rank", "canonical_name", "amount", "donor_type", "whale_tier"]),
+        "top_committee_sources": (summaries.top_sources(g.transferred, g.typed).withColumnRenamed("dst", "CMTE_ID"), ["rank", "src", "CMTE_NM", "amount", "terminal_type"]),
+        "top_recipients": (summaries.top_recipients(g.transferred, g.typed).withColumnRenamed("src", "CMTE_ID"), ["rank", "dst", "CMTE_NM", "amount", "terminal_type"]),
+        "whale_donor_counts": (summaries.whale_counts(g.contributed, g.donors).withColumnRenamed("cmte_id", "CMTE_ID"), ["whale_tier", "n_edges", "n_donors"]),
+    }
+    whole = summaries.funding_documents(summaries.committee_summary(g.committees, g.contributed, g.transferred), "CMTE_ID", lists)
+    return whole.select("CMTE_ID", *[F.to_json(F.col(n)).alias(n) for n in lists])
+
+
+def members_table(g: Graph) -> DataFrame:
+    """Members of a legislature in the shape of their file, made from candidates: each names its own id and one that no file knows."""
+    k = F.substring("CAND_ID", 2, 8).cast("int")
+    term = lambda y, kind: F.struct(F.lit(kind).alias("type"), F.lpad((k % 50).cast("string"), 2, "0").alias("state"), F.col("CAND_PTY_AFFILIATION").alias("party"), F.lit(y).alias("start"), (k % 9).alias("district"))
+    return g.raw.cn.select(
+        F.concat(F.lit("B"), F.substring("CAND_ID", 2, 8)).alias("bioguide"),
+        F.struct(F.concat(F.lit("First"), (k % 5).cast("string")).alias("first"), F.concat(F.lit("Last"), k.cast("string")).alias("last")).alias("name"),
+        F.when(k % 4 == 3, F.array().cast("array<string>")).otherwise(F.array("CAND_ID", F.lit("S99999999"))).alias("fec"),
+        F.array(term("2015", "rep"), F.when(k % 2 == 0, term("2021", "sen")).otherwise(term("2021", "rep"))).alias("terms"),
+    )
+
+
+def member_mapping(g: Graph) -> DataFrame:
+    found = analysis.member_mapping(members_table(g), g.raw.cn, g.raw.ccl)
+    return found.select("bioguide", F.col("name.last").alias("last"), "candidate_ids", "committee_ids", F.col("congress.chamber").alias("chamber"), F.col("congress.state").alias("state"), F.col("congress.party").alias("party"))
+
+
+def list_members(g: Graph) -> DataFrame:
+    return analysis.list_members(analysis.member_mapping(members_table(g), g.raw.cn, g.raw.ccl))
+
+
+def member_totals(g: Graph) -> DataFrame:
+    """Funding totals where the committees that members' records name are united with the affiliated ones."""
+    members = analysis.member_mapping(members_table(g), g.raw.cn, g.raw.ccl)
+    return analysis.funding_totals(analysis.with_known(g.all_starts, members), g.contributed, g.transferred, g.spent)
+
+
+def resolve_member(g: Graph) -> DataFrame:
+    members = analysis.member_mapping(members_table(g), g.raw.cn, g.raw.ccl)
+    return analysis.resolve_candidate(g.raw.cn, name="first1 last1", members=members)
+
+
+def committee_merge(g: Graph) -> DataFrame:
+    """Committee records of several cycles, the later one's fields over the earlier one's."""
+    cycles = g.affiliated.select(F.col("cmte_id").alias("CMTE_ID"), "cycle").distinct()
+    rows = g.raw.cm.join(cycles, "CMTE_ID").withColumn("CMTE_NM", F.concat("CMTE_NM", F.lit(" "), "cycle"))
+    return fec.latest_fields(rows.select("CMTE_ID", "CMTE_NM", "CMTE_TP", "cycle"), "CMTE_ID")
+
+
+def raw_files(g: Graph) -> DataFrame:
+    """From pipe-delimited files to edges: the gifts written as such files, read back, typed, deduplicated and grouped."""
+    spark = g.raw.cm.sparkSession
+    rows = g.raw.indiv.withColumn("SUB_ID", F.monotonically_increasing_id().cast("string")).withColumn("TRANSACTION_AMT", F.col("TRANSACTION_AMT").cast("decimal(14,2)").cast("string"))
+    rows = rows.withColumn("EMPLOYER", F.coalesce("EMPLOYER", F.lit("")))
+    line = F.concat_ws("|", *[F.col(c) if c in rows.columns else F.lit("") for c in FIELDS["indiv"]])
+    path = stage_path(spark, "raw-indiv")
+    rows.select("cycle", line.alias("value")).write.partitionBy("cycle").text(path)
+    files = None
+    for cycle in sorted(r["cycle"] for r in rows.select("cycle").distinct().collect()):
+        one = fec.read_text(spark, "indiv", f"{path}/cycle={cycle}", cycle)
+        files = one if files is None else files.unionByName(one)
+    indiv = fec.load(files, "indiv")
+    return build.contributed_to(indiv, build.donors(indiv), g.raw.cm)
+
+
 def _sums(df: DataFrame, *by: str) -> DataFrame:
     return df.groupBy(*by).agg(F.sum("total_amount").alias("total_amount"), F.sum("transaction_count").alias("transaction_count"), F.count("*").alias("edges"))
 
@@ -120,6 +177,10 @@ def _side(g: Graph, side: str) -> DataFrame:
     return _rounded(analysis.ie_funding(g.spent, side, g.committees, g.transferred, g.contributed, g.donors), "amount")
 
 
+def _corporate(g: Graph) -> DataFrame:
+    return _rounded(analysis.corporate_influence(g.starts, g.typed, g.transferred, g.contributed, g.donors), "pac", "employees", "total")
+
+
 def _stats(g: Graph) -> DataFrame:
     return analysis.graph_stats({
         "donors": g.base_donors, "employers": g.employers, "committees": g.raw.cm, "candidates": g.raw.cn, "contributed_to": g.contributed,
@@ -127,10 +188,6 @@ def _stats(g: Graph) -> DataFrame:
     })
 
 
-def _transfer_flow(g: Graph) -> DataFrame:
-    return g.transferred
-
-
 def _pies(g: Graph) -> DataFrame:
     sums = analysis.pie(_upstream(g))
     return _rounded(sums.select("start", "kind", "total", "pct", "sources"), "total")
@@ -154,48 +211,58 @@ PLANS = {
     "type_counts": donor_type_counts,
     "committee_financials": lambda g: g.committees.select("CMTE_ID", "total_receipts", "total_disbursed"),
     "financial_stats": lambda g: enrich.financial_stats(g.committees),
-    "committee_by_cycle": lambda g: summaries.by_cycle(g.contributed, "cmte_id", CYCLES),
-    "donor_by_cycle": lambda g: summaries.by_cycle(g.contributed, "donor_key", CYCLES),
-    "top_donors": lambda g: summaries.top_donors(g.contributed, g.base_donors),
+    "committee_by_cycle": lambda g: summaries.by_cycle({"individual": g.contributed, "committee": g.transferred.withColumnRenamed("dst", "cmte_id")}, "cmte_id", CYCLES),
+    "donor_by_cycle": lambda g: summaries.by_cycle({"total": g.contributed}, "donor_key", CYCLES),
+    "top_donors": lambda g: summaries.top_donors(g.contributed, g.donors),
+    "donor_top_committees": lambda g: summaries.donor_top_committees(g.contributed, g.typed),
+    "candidate_top_donors": lambda g: summaries.candidate_top_donors(g.all_starts, g.contributed, g.donors),
+    "candidate_top_committees": lambda g: summaries.candidate_top_committees(g.all_starts, g.transferred, g.typed),
+    "candidate_whale_counts": lambda g: summaries.candidate_whale_counts(g.all_starts, g.contributed, g.donors),
+    "committee_documents": committee_documents,
     "top_sources": lambda g: summaries.top_sources(g.transferred, g.typed),
     "top_recipients": lambda g: summaries.top_recipients(g.transferred, g.typed),
     "more_sources": lambda g: summaries.with_remainder(g.transferred.groupBy("dst", "src").agg(F.sum("total_amount").alias("amount")), "dst", "amount", "src"),
     "whale_counts": lambda g: summaries.whale_counts(g.contributed, g.donors),
     "donor_lean": lambda g: g.lean,
     "donor_top_candidates": lambda g: summaries.donor_top_candidates(g.contributed, g.affiliated, g.raw.cn),
-    "committee_summary": lambda g: summaries.committee_summary(g.committees, g.contributed, g.transferred, g.donors),
+    "committee_summary": lambda g: summaries.committee_summary(g.committees, g.contributed, g.transferred),
     "donor_summary": lambda g: summaries.donor_summary(g.donors, g.contributed, g.lean, DONOR_SUMMARY_THRESHOLD),
     "direct_committees": lambda g: traverse.direct_committees(g.affiliated, g.typed),
-    "upstream_unweighted": lambda g: traverse.upstream_unweighted(g.all_starts, g.transferred, g.contributed, g.donors, g.typed),
-    "upstream_summary": lambda g: _rounded(analysis.upstream_summary(traverse.upstream_unweighted(g.all_starts, g.transferred, g.contributed, g.donors, g.typed)), "total"),
+    "upstream_unweighted": _unweighted,
+    "upstream_summary": lambda g: analysis.upstream_summary(_unweighted(g)),
+    "upstream_top": lambda g: analysis.upstream_top(_unweighted(g)),
     "upstream_proportional": lambda g: _rounded(_upstream(g), "amount"),
+    "upstream_first_visit": lambda g: _rounded(_upstream(g, mode="first_visit"), "amount"),
+    "upstream_depth3": lambda g: _rounded(_upstream(g, False, mode="first_visit", levels=4, least=1e-3, dust=0.0), "amount"),
+    "upstream_cycle": lambda g: _rounded(_upstream(g.only(CYCLE)), "amount"),
+    "upstream_cycle_compat": lambda g: _rounded(_upstream(g.only(CYCLE, True)), "amount"),
     "funding_pies": _pies,
     "ie_support": lambda g: _side(g, "S"),
     "ie_oppose": lambda g: _side(g, "O"),
+    "ie_support_cycle": lambda g: _side(g.only(CYCLE), "S"),
     "ie_spenders": lambda g: analysis.ie_spenders(g.spent, g.raw.cm),
-    "corporate_influence": lambda g: _rounded(analysis.corporate_influence(g.starts, g.typed, g.transferred, g.contributed, g.donors), "pac", "employees", "total"),
-    "source_ratio": lambda g: _ratios(g).withColumns({n: F.round(F.col(n), 6) for n in ("i", "o", "h")}),
-    "candidate_summary": lambda g: _rounded(analysis.candidate_summary(g.starts, g.committees, _ratios(g)), "receipts"),
-    "funding_totals": lambda g: analysis.funding_totals(g.starts, g.contributed, g.transferred, g.spent),
+    "corporate_influence": lambda g: _corporate(g),
+    "corporate_influence_cycle": lambda g: _corporate(g.only(CYCLE)),
+    "source_ratio": lambda g: g.ratios.withColumns({n: F.round(F.col(n), 6) for n in ("i", "o", "h")}),
+    "candidate_summary": lambda g: _rounded(analysis.candidate_summary(g.all_starts, g.committees, g.ratios), "total_raised", "individual_total", "organization_total"),
+    "funding_totals": lambda g: analysis.funding_totals(g.all_starts, g.contributed, g.transferred, g.spent),
     "resolve_candidate": lambda g: analysis.resolve_candidate(g.raw.cn, name="nation"),
     "donor_paths": donor_paths,
     "employer_influence": employer_influence,
     "committee_inflow": committee_inflow,
-    "long_chains": lambda g: paths_text(traverse.paths(_forward(g), 4, 3)),
-    "shortest_hops": lambda g: traverse.shortest_hops(_sparse(g), 4).withColumn("hops", F.col("hops").cast("long")),
-    "committee_inflow_whole": committee_inflow_whole,
-    "shortest_hops_whole": shortest_hops_whole,
+    "long_chains": long_chains,
+    "shortest_hops": shortest_hops,
+    "member_totals": member_totals,
+    "member_mapping": member_mapping,
+    "list_members": list_members,
+    "resolve_member": resolve_member,
+    "committee_merge": committee_merge,
+    "raw_files": raw_files,
     "graph_stats": _stats,
-    "skipped_edges": lambda g: build_skipped(g),
+    "skipped_edges": lambda g: build.skipped_contributions(g.gift_groups, g.base_donors),
 }
 
 
-def build_skipped(g: Graph) -> DataFrame:
-    from ledgerflow.operators.build import skipped_contributions
-
-    return skipped_contributions(g.raw.indiv, g.base_donors)
-
-
 def queries() -> dict:
     def bound(plan):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,4 +270,6 @@ def queries() -> dict:
 
         return run
 
-    return {name: bound(plan) for name, plan in PLANS.items()}
+    out = {name: bound(plan) for name, plan in PLANS.items()}
+    out["event_windows"] = lambda spark, sf_dir: events.windowed(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return out

@@ -156,13 +156,64 @@ def test_financials_and_null_type(spark):
     typed = enrich.classified_committees(cm)
     out = {r["CMTE_ID"]: (float(r["total_receipts"]), float(r["total_disbursed"])) for r in enrich.financials(typed, _gifts(spark, [("d", "K", 4)]), _moves(spark, [("Z", "K", 6)])).collect()}
     assert out == {"K": (10.0, 0.0), "Z": (0.0, 6.0)}
-    s = summaries.committee_summary(enrich.financials(typed, _gifts(spark, [("d", "K", 4)]), _moves(spark, [("Z", "K", 6)])), _gifts(spark, [("d", "K", 4)]), _moves(spark, [("Z", "K", 6)]), _donors(spark, [("d", None)]), 1)
-    assert s.first()["individual_pct"] == 40.0  # a donor without a type is not a conduit
+    s = summaries.committee_summary(enrich.financials(typed, _gifts(spark, [("d", "K", 4)]), _moves(spark, [("Z", "K", 6)])), _gifts(spark, [("d", "K", 4)]), _moves(spark, [("Z", "K", 6)]), 1)
+    assert (s.first()["individual_pct"], s.first()["committee_pct"]) == (40.0, 60.0)
+    top = summaries.top_donors(_gifts(spark, [("d", "K", 4), ("e", "K", 9)]), _donors(spark, [("d", None), ("e", "conduit")]).withColumn("whale_tier", F.lit(None).cast("string")))
+    assert [r["donor_key"] for r in top.collect()] == ["d"]  # a donor without a type is not a conduit
+
+
+def test_other_cycles_are_reported(spark):
+    g = _gifts(spark, [("d", "K", 4)]).unionByName(_gifts(spark, [("d", "K", 5)]).withColumn("cycle", F.lit("1990")))
+    out = {(r["cmte_id"], r["cycle"]): (float(r["total"]), r["total_count"]) for r in summaries.by_cycle({"total": g}, "cmte_id", ["2018", "2020"]).collect()}
+    assert out == {("K", "2018"): (0.0, 0), ("K", "2020"): (4.0, 1), ("K", "other"): (5.0, 1)}
+
+
+def test_names_of_codes(spark):
+    df = spark.createDataFrame([("DEM", "Democrat", "H", "House"), ("XYZ", "XYZ", "Q", "Unknown"), (None, "Unknown", None, "Unknown"), ("", "Unknown", "P", "President")], "p string, want string, o string, office string")
+    assert df.filter((classify.party_name(F.col("p")) != F.col("want")) | (classify.office_name(F.col("o")) != F.col("office"))).count() == 0
+
+
+def test_independent_spending_sources(spark):
+    """A committee of any type is a source; the employer stands in the label unless it is a placeholder."""
+    c = _committees(spark, [("S", "super_pac_unclassified", 10.0), ("K", "campaign", 5.0)])
+    spent = spark.createDataFrame([("S", "cand", Decimal(5), 1, "O", "2020")], "cmte_id string, cand_id string, total_amount decimal(20,4), transaction_count long, support_oppose string, cycle string")
+    people = spark.createDataFrame(
+        [("a", "individual", "A", "SELF EMPLOYED"), ("b", "individual", "B", "homemaker"), ("c", None, "C", None), ("o", "organization", "O", "X")],
+        "donor_key string, donor_type string, canonical_name string, canonical_employer string",
+    )
+    gifts = _gifts(spark, [("a", "S", 1), ("b", "S", 1), ("c", "S", 1), ("o", "S", 1)])
+    out = {(r["kind"], r["label"]): float(r["amount"]) for r in analysis.ie_funding(spent, "O", c, _moves(spark, [("K", "S", 6)]), gifts, people).collect()}
+    assert out == {("individual", "A (SELF EMPLOYED)"): 0.5, ("individual", "B"): 0.5, ("individual", "C"): 0.5, ("dark_money", "O"): 0.5, ("campaign", "K"): 3.0}
+
+
+def test_upstream_categories(spark):
+    rows = [("c", t, t, t, Decimal(1), 1) for t in ("corporation", "trade_association", "labor_union", "ideological", "donor", "cooperative")]
+    found = spark.createDataFrame(rows, "start string, entity string, terminal_type string, name string, total_amount decimal(20,4), paths long")
+    assert {r["category"] for r in analysis.upstream_summary(found).collect()} == {"corporations", "trade_associations", "labor_unions", "ideological", "donors", "unresolved"}
+    assert analysis.upstream_top(found.unionByName(found.withColumn("entity", F.lit("z"))), 1).count() == 6
+
+
+def test_candidate_without_money_has_no_summary(spark):
+    starts = spark.createDataFrame([("a", "K"), ("b", "Z")], "start string, cmte_id string")
+    c = _committees(spark, [("K", "campaign", 10.0), ("Z", "campaign", 0.0)])
+    ratios = spark.createDataFrame([("K", 0.25, 0.75, 1.0), ("Z", 0.5, 0.5, 1.0)], "cmte_id string, i double, o double, h double")
+    out = analysis.candidate_summary(starts, c, ratios).collect()
+    assert [(r["start"], float(r["total_raised"]), float(r["individual_total"]), r["organization_pct"], r["funding_distance"]) for r in out] == [("a", 10.0, 2.5, 75.0, 2.0)]
+
+
+def test_known_committees_are_united(spark):
+    starts = spark.createDataFrame([("a", "K")], "start string, cmte_id string")
+    members = spark.createDataFrame([(["a"], ["K", "M"]), ([], ["N"])], "candidate_ids array<string>, committee_ids array<string>")
+    assert sorted(map(tuple, analysis.with_known(starts, members).collect())) == [("a", "K"), ("a", "M")]
 
 
 def test_paths_and_shortest(spark):
     e = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], "src string, dst string")
-    assert sorted(">".join(r["path"]) for r in traverse.paths(e).collect()) == sorted(["a>b", "b>c", "c>a", "a>b>c", "b>c>a", "c>a>b"])
+    starts = e.select(F.col("src").alias("origin"))
+    assert sorted(">".join(r["path"]) for r in traverse.paths(e, starts, least=1).collect()) == sorted(["a>b", "b>c", "c>a", "a>b>c", "b>c>a", "c>a>b"])
+    assert sorted(">".join(r["path"]) for r in traverse.paths(e, starts.limit(1), 1).collect()) == ["a", "a>b"]
+    links = spark.createDataFrame([("c", "X")], "cmte_id string, cand_id string")
+    assert sorted((r["origin"], r["hops"], int(r["walks"])) for r in traverse.chains(e.union(e), links, 4, 1).collect()) == [("a", 2, 1), ("b", 1, 1), ("b", 4, 1), ("c", 3, 1)]
     assert {(r["origin"], r["target"]): r["hops"] for r in traverse.shortest_hops(e).collect()}[("a", "c")] == 2
 
 

@@ -9,7 +9,7 @@ from ledgerflow.plans import oracles, queries
 
 DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events"
-NAMES = sorted(queries.PLANS)
+NAMES = sorted(oracles.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -20,13 +20,47 @@ def con():
     return c
 
 
+def test_sql_stands_on_its_own():
+    """The SQL takes no rule, list or code from the engine that it is to check."""
+    source = open(oracles.__file__).read()
+    assert "import ledgerflow" not in source and "from ledgerflow" not in source
+
+
+def test_documents_hold_the_lists(spark):
+    """The nested summaries against the flat queries."""
+    import json
+
+    found = {r["CMTE_ID"]: r.asDict() for r in queries.queries()["committee_documents"](spark, DIR).collect()}
+    flat = lambda name: queries.queries()[name](spark, DIR).collect()
+    assert set(found) == {r["CMTE_ID"] for r in flat("committee_summary")}
+    for name, query, key, value in (
+        ("top_individual_donors", "top_donors", "cmte_id", "canonical_name"), ("top_committee_sources", "top_sources", "dst", "src"), ("top_recipients", "top_recipients", "src", "dst"),
+    ):
+        want = {}
+        for r in sorted(flat(query), key=lambda r: r["rank"]):
+            want.setdefault(r[key], []).append((r["rank"], r[value], round(r["amount"], 4)))
+        got = {c: [(x["rank"], x[value], round(x["amount"], 4)) for x in json.loads(d[name])] for c, d in found.items() if d[name]}
+        assert got == {c: x for c, x in want.items() if c in found}
+    cycles = {(r["cmte_id"], r["cycle"]): (round(r["individual"], 4), r["committee_count"]) for r in flat("committee_by_cycle")}
+    assert all((round(x["individual"], 4), x["committee_count"]) == cycles[c, x["cycle"]] for c, d in found.items() for x in json.loads(d["funding_by_cycle"]))
+
+
+def test_stages_are_made_once(spark):
+    """Analysis queries read staged tables: no raw table is scanned again."""
+    run = queries.queries()
+    run["committee_summary"](spark, DIR).collect()
+    for name in ("committee_summary", "ie_support", "corporate_influence", "funding_totals", "top_donors"):
+        plan = run[name](spark, DIR)._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_extendedprice" not in plan and "l_suppkey" not in plan
+
+
 def rows(df, cols):
     df = df[cols].astype(object).where(df[cols].notna(), None)
     return sorted(map(repr, df.itertuples(index=False, name=None)))
 
 
 def test_all_have_sql():
-    assert set(oracles.oracle_sql()) == set(queries.queries())
+    assert set(oracles.oracle_sql()) == set(queries.queries()) - {"committee_documents"}
 
 
 @pytest.mark.skipif(not os.path.isdir(DIR), reason="test tables are absent")
