@@ -16,6 +16,12 @@ ORGANIZATION = [
 ]
 CONDUIT = [r"^WINRED", r"^ACTBLUE", r"EARMARK|CONDUIT"]
 PERSON = [r"\b(MR|MRS|MS|DR|MD|PHD|JR|SR|III|IV)\b", r"^[A-Z]+\s+[A-Z]+$", r",\s*[A-Z]+$"]
+OCCUPATION = [
+    r"\b(RETIRED|HOMEMAKER|ATTORNEY|LAWYER|PHYSICIAN|DOCTOR|PROFESSOR)\b",
+    r"\b(ENGINEER|CONSULTANT|EXECUTIVE|PRESIDENT|CEO|CFO|VP)\b",
+    r"\b(TEACHER|EDUCATOR|NURSE|ACCOUNTANT|DENTIST|PHARMACIST)\b",
+    r"\b(NOT EMPLOYED|UNEMPLOYED|STUDENT|SELF[\s-]EMPLOYED)\b",
+]
 SELF_EMPLOYER = r"\b(SELF[\s-]EMPLOYED|RETIRED|NOT EMPLOYED|UNEMPLOYED|N/A|NONE)\b"
 
 
@@ -28,12 +34,13 @@ def terminal_type(cmte_tp: Column, org_tp: Column) -> Column:
     return out.when(tp.isin("O", "U"), "super_pac_unclassified").when(tp.isin("N", "Q", "W"), "passthrough").otherwise("unknown")
 
 
-def donor_type(name: Column, employer: Column) -> Column:
+def donor_type(name: Column, employer: Column, occupation: Column | None = None) -> Column:
     n, e = F.upper(F.coalesce(name, F.lit(""))), F.upper(F.coalesce(employer, F.lit("")))
+    job = F.lit("") if occupation is None else F.upper(F.coalesce(occupation, F.lit("")))
     some = lambda c, patterns: c.rlike("|".join(f"(?:{p})" for p in patterns))
     return (
         F.when(n == "", "unclear").when(some(n, CONDUIT), "conduit").when(some(n, ORGANIZATION), "organization")
-        .when(some(n, PERSON) | e.rlike(SELF_EMPLOYER), "individual")
+        .when(some(n, PERSON) | some(job, OCCUPATION) | e.rlike(SELF_EMPLOYER), "individual")
         .when(n.contains(",") | (F.size(F.split(n, " ")) >= 2), "likely_individual").otherwise("unclear")
     )
 

@@ -48,6 +48,16 @@ def conduit_name(c: Column) -> Column:
     return F.coalesce(F.upper(c).rlike("|".join(CONDUIT_NAMES)), F.lit(False))
 
 
+def identifier_key(c: Column) -> Column:
+    """The key in an identifier like committees/C1; a bare key stands for itself."""
+    return F.element_at(F.split(c, "/"), -1)
+
+
+def identifier_collection(c: Column) -> Column:
+    """The collection in such an identifier, null for a bare key."""
+    return F.when(c.contains("/"), F.element_at(F.split(c, "/"), 1))
+
+
 def part_of(amount_: Column, factor: Column) -> Column:
     """A share of an amount, as a decimal, so that sums of shares do not depend on their order."""
     return amount_.cast(PART) * F.round(factor, 12).cast(FACTOR)

@@ -134,6 +134,12 @@ def resolve_candidate(candidates: DataFrame, name: str | None = None, fec_id: st
     return hits.orderBy("o", "k").limit(1).drop("o", "k")
 
 
+def pie_top(df: DataFrame, n: int = 10) -> DataFrame:
+    """start, kind, rank, entity, amount: the largest sources of each slice."""
+    best = Window.partitionBy("start", "kind").orderBy(F.desc("amount"), "entity")
+    return df.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= n).select("start", "kind", "rank", "entity", "amount")
+
+
 def graph_stats(tables: dict[str, DataFrame]) -> DataFrame:
     out = None
     for name, df in tables.items():
@@ -149,12 +155,15 @@ def member_mapping(members: DataFrame, candidates: DataFrame, ccl: DataFrame) ->
     cands = known.groupBy("bioguide").agg(F.array_sort(F.collect_set("CAND_ID")).alias("candidate_ids"))
     cmtes = known.join(ccl.select("CAND_ID", "CMTE_ID").distinct(), "CAND_ID").groupBy("bioguide").agg(F.array_sort(F.collect_set("CMTE_ID")).alias("committee_ids"))
     term = F.try_element_at("terms", F.lit(-1))
+    names = members.schema["terms"].dataType.elementType.names
+    field = lambda n, out: (term[n] if n in names else F.lit(None).cast("string")).alias(out)
     chamber = F.when(term["type"] == "sen", "senate").otherwise("house")
+    rest = (("state", "state"), ("party", "party"), ("class", "class"), ("district", "district"), ("start", "term_start"), ("end", "term_end"), ("state_rank", "state_rank"))
     empty = F.array().cast("array<string>")
     joined = members.join(cands, "bioguide", "left").join(cmtes, "bioguide", "left")
     return joined.select(
         "bioguide", "name", F.coalesce("candidate_ids", empty).alias("candidate_ids"), F.coalesce("committee_ids", empty).alias("committee_ids"),
-        F.struct(chamber.alias("chamber"), term["state"].alias("state"), term["party"].alias("party"), term["district"].alias("district")).alias("congress"),
+        F.struct(chamber.alias("chamber"), *[field(n, out) for n, out in rest]).alias("congress"),
     )
 
 

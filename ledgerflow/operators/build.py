@@ -13,6 +13,11 @@ def _sums() -> list:
     return [F.sum("TRANSACTION_AMT").cast(SUM).alias("total_amount"), F.count("*").alias("transaction_count")]
 
 
+def without_memos(rows: DataFrame) -> DataFrame:
+    """Rows whose amounts belong to totals: a memo of X marks one that is reported elsewhere. Off by default."""
+    return rows.filter(~F.col("MEMO_CD").eqNullSafe("X"))
+
+
 def gifts(indiv: DataFrame) -> DataFrame:
     """Usable rows of individual gifts: a name, an amount; employer with its default."""
     usable = indiv.filter("NAME IS NOT NULL AND NAME <> '' AND TRANSACTION_AMT IS NOT NULL")

@@ -13,8 +13,15 @@ def classified_committees(committees: DataFrame) -> DataFrame:
     return committees.withColumn("terminal_type", classify.terminal_type(F.col("CMTE_TP"), F.col("ORG_TP")))
 
 
+def largest(committees: DataFrame, n: int = 5) -> DataFrame:
+    """The committees with the largest receipts of all."""
+    return committees.orderBy(F.desc("total_receipts"), "CMTE_ID").limit(n)
+
+
 def classified_donors(donors: DataFrame) -> DataFrame:
-    kind = classify.donor_type(F.col("canonical_name"), F.col("canonical_employer"))
+    """The occupation counts where the donors carry one."""
+    occupation = F.col("occupation") if "occupation" in donors.columns else None
+    kind = classify.donor_type(F.col("canonical_name"), F.col("canonical_employer"), occupation)
     return donors.withColumn("donor_type", kind).withColumn("whale_tier", classify.whale_tier(F.col("total_amount")))
 
 

@@ -289,6 +289,7 @@ BODIES = {
     "whale_tier": "SELECT donor_key, CAST(total_amount AS DOUBLE) AS total_amount, whale_tier FROM donors",
     "type_counts": "SELECT donor_type, whale_tier, count(*) AS n FROM donors GROUP BY ALL",
     "committee_financials": "SELECT CMTE_ID, CAST(total_receipts AS DOUBLE) AS total_receipts, CAST(total_disbursed AS DOUBLE) AS total_disbursed FROM committees",
+    "largest_committees": "SELECT CMTE_ID, CMTE_NM, CAST(total_receipts AS DOUBLE) AS total_receipts FROM committees ORDER BY committees.total_receipts DESC, CMTE_ID LIMIT 5",
     "financial_stats": "SELECT count(*) AS committees, count(*) FILTER (total_receipts > 0) AS with_receipts, count(*) FILTER (total_disbursed > 0) AS with_disbursed, count(*) FILTER (total_receipts > 0 AND total_disbursed > 0) AS with_both FROM committees",
     "committee_by_cycle": _by_cycle("cmte_id", {"individual": "SELECT cmte_id AS e, cycle, total_amount FROM contributed", "committee": "SELECT dst AS e, cycle, total_amount FROM transferred"}),
     "donor_by_cycle": _by_cycle("donor_key", {"total": "SELECT donor_key AS e, cycle, total_amount FROM contributed"}),
@@ -344,6 +345,9 @@ BODIES = {
     "funding_pies": f"""
         SELECT start, kind, {_cents('total')} AS total, round(CAST(total AS DOUBLE) / CAST(sum(total) OVER (PARTITION BY start) AS DOUBLE) * 100, 1) AS pct, sources
         FROM (SELECT start, kind, sum(amount) AS total, count(*) AS sources FROM attributed GROUP BY start, kind)""",
+    "pie_top": f"""
+        SELECT start, kind, CAST(rank AS INTEGER) AS rank, entity, {_cents('amount')} AS amount
+        FROM (SELECT *, row_number() OVER (PARTITION BY start, kind ORDER BY amount DESC, entity) AS rank FROM attributed) WHERE rank <= 10""",
     "ie_support": _ie("S"),
     "ie_oppose": _ie("O"),
     "ie_spenders": "SELECT cand_id, support_oppose, cmte_id, CMTE_NM, CAST(sum(total_amount) AS DOUBLE) AS amount FROM spent JOIN cm USING (CMTE_ID) GROUP BY ALL",

@@ -210,6 +210,7 @@ PLANS = {
     "whale_tier": lambda g: g.donors.select("donor_key", "total_amount", "whale_tier"),
     "type_counts": donor_type_counts,
     "committee_financials": lambda g: g.committees.select("CMTE_ID", "total_receipts", "total_disbursed"),
+    "largest_committees": lambda g: enrich.largest(g.committees).select("CMTE_ID", "CMTE_NM", "total_receipts"),
     "financial_stats": lambda g: enrich.financial_stats(g.committees),
     "committee_by_cycle": lambda g: summaries.by_cycle({"individual": g.contributed, "committee": g.transferred.withColumnRenamed("dst", "cmte_id")}, "cmte_id", CYCLES),
     "donor_by_cycle": lambda g: summaries.by_cycle({"total": g.contributed}, "donor_key", CYCLES),
@@ -237,6 +238,7 @@ PLANS = {
     "upstream_cycle": lambda g: _rounded(_upstream(g.only(CYCLE)), "amount"),
     "upstream_cycle_compat": lambda g: _rounded(_upstream(g.only(CYCLE, True)), "amount"),
     "funding_pies": _pies,
+    "pie_top": lambda g: _rounded(analysis.pie_top(_upstream(g)), "amount"),
     "ie_support": lambda g: _side(g, "S"),
     "ie_oppose": lambda g: _side(g, "O"),
     "ie_support_cycle": lambda g: _side(g.only(CYCLE), "S"),

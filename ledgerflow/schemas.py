@@ -60,6 +60,16 @@ OFFICES = {"H": "House", "S": "Senate", "P": "President"}
 PARTIES = {"DEM": "Democrat", "REP": "Republican", "IND": "Independent", "LIB": "Libertarian", "GRE": "Green"}
 
 
+#: What a field holds where its name does not say it.
+COMMENTS = {"TRANSACTION_AMT": "number(14,2)", "TRANSACTION_DT": "MMDDYYYY", "CAND_ELECTION_YR": "year", "SUB_ID": "key of a row", "MEMO_CD": "X: not part of totals"}
+
+
 def raw_schema(kind: str) -> T.StructType:
     """Every field is a string, as in the files."""
-    return T.StructType([T.StructField(f, T.StringType()) for f in FIELDS[kind]])
+    return T.StructType([T.StructField(f, T.StringType(), True, {"comment": COMMENTS[f]} if f in COMMENTS else None) for f in FIELDS[kind]])
+
+
+def ddl(kind: str, table: str) -> str:
+    """The file type as a CREATE TABLE statement with its comments."""
+    cols = ",\n  ".join(f.name + " STRING" + (f" COMMENT '{COMMENTS[f.name]}'" if f.name in COMMENTS else "") for f in raw_schema(kind))
+    return f"CREATE TABLE {table} (\n  {cols}\n) USING parquet"

@@ -76,6 +76,21 @@ def fingerprint(spark: SparkSession, *paths: str) -> tuple:
     return tuple(out)
 
 
+def stats(spark: SparkSession, root: str) -> list[dict]:
+    """Each folder below root that holds files: their number, bytes and the last modification."""
+    p, fs = _fs(spark, root)
+    out: dict[str, dict] = {}
+    if fs.exists(p):
+        files = fs.listFiles(p, True)
+        while files.hasNext():
+            f = files.next()
+            one = out.setdefault(f.getPath().getParent().toString(), {"files": 0, "bytes": 0, "modified": 0})
+            one["files"] += 1
+            one["bytes"] += f.getLen()
+            one["modified"] = max(one["modified"], f.getModificationTime())
+    return [{"folder": k} | v for k, v in sorted(out.items())]
+
+
 def dump(df: DataFrame, root: str, database: str, collection: str) -> None:
     """A gzip JSON dump and its entry in the manifest (one file for each dump, so that writers do not meet)."""
     df.write.mode("overwrite").json(f"{root}/{database}/{collection}", compression="gzip")

@@ -249,3 +249,27 @@ def test_members(spark):
     assert analysis.resolve_candidate(cn, fec_id="H77").first()["name"] == "H77"
     assert analysis.resolve_candidate(cn, name="poe").first()["candidate_ids"] == ["H2"]
     assert analysis.resolve_candidate(cn, bioguide="B1", members=got).first()["name"] == "Ann Lee"
+
+
+def test_options(spark):
+    """Memos may be left out, an occupation may tell a person, identifiers fall apart."""
+    rows = spark.createDataFrame([("X", 1), ("", 2), (None, 3)], "MEMO_CD string, n int")
+    assert sorted(r["n"] for r in build.without_memos(rows).collect()) == [2, 3]
+    donors = spark.createDataFrame([("CHER9", "Y", "attorney", 1.0), ("CHER9", "Y", "singer", 1.0)], "canonical_name string, canonical_employer string, occupation string, total_amount double")
+    assert [r["donor_type"] for r in enrich.classified_donors(donors).collect()] == ["individual", "unclear"]
+    ids = spark.createDataFrame([("committees/C1", "C1", "committees"), ("C2", "C2", None)], "id string, k string, c string")
+    wrong = ~normalize.identifier_key(F.col("id")).eqNullSafe(F.col("k")) | ~normalize.identifier_collection(F.col("id")).eqNullSafe(F.col("c"))
+    assert ids.filter(wrong).count() == 0
+
+
+def test_command(spark, capsys):
+    from ledgerflow.__main__ import main
+
+    d = "/root/testdata/sf0.001"
+    assert main([d, "--list-members"], spark) == 0
+    assert capsys.readouterr().out.count("First") == 25
+    assert main([d, "--candidate", "last15", "--summary", "--pies"], spark) == 0
+    out = capsys.readouterr().out
+    assert "PIES 1 AND 2" in out and "PIE 5" in out and "direct" in out
+    assert main([d, "--candidate", "nobody at all"], spark) == 1
+    assert main([d, "--fec", "H00000015", "--cycle", "1998", "--depth", "2"], spark) == 0

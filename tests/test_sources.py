@@ -113,3 +113,40 @@ def test_stream_equals_batch(spark):
     q.processAllAvailable()
     q.stop()
     assert sorted(map(tuple, spark.table("ev").collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_members_file(spark, tmp_path):
+    """JSON and YAML give the same members, and the last term is the current one."""
+    import json
+
+    from ledgerflow.operators import analysis
+    from ledgerflow.sources.members import read_members
+
+    records = [
+        {"id": {"bioguide": "B1", "fec": ["H1", "S9"]}, "name": {"first": "Ann", "last": "Lee"}, "bio": {"birthday": "1950-01-02"},
+         "terms": [{"type": "rep", "state": "NY", "party": "D", "district": 3, "start": "2001-01-03", "end": "2003-01-03"},
+                   {"type": "sen", "state": "NY", "party": "D", "class": 1, "start": "2003-01-03", "end": "2009-01-03", "state_rank": "junior"}]},
+        {"id": {"bioguide": "B2"}, "name": {"first": "Bob", "last": "Ray"}, "terms": []},
+    ]
+    (tmp_path / "m.json").write_text(json.dumps(records))
+    got = read_members(spark, str(tmp_path / "m.json"))
+    assert [(r["bioguide"], r["fec"], len(r["terms"])) for r in got.orderBy("bioguide").collect()] == [("B1", ["H1", "S9"], 2), ("B2", [], 0)]
+    cn = spark.createDataFrame([("H1",)], "CAND_ID string")
+    one = analysis.member_mapping(got, cn, spark.createDataFrame([("H1", "C1")], "CAND_ID string, CMTE_ID string")).filter("bioguide = 'B1'").first()
+    assert (one["congress"]["chamber"], one["congress"]["class"], one["congress"]["term_start"], one["congress"]["state_rank"]) == ("senate", 1, "2003-01-03", "junior")
+    pytest.importorskip("yaml")
+    import yaml
+
+    (tmp_path / "m.yaml").write_text(yaml.safe_dump(records))
+    assert sorted(map(str, read_members(spark, str(tmp_path / "m.yaml")).collect())) == sorted(map(str, got.collect()))
+
+
+def test_schema_statement_and_stats(spark, tmp_path):
+    from ledgerflow.schemas import ddl
+
+    text = ddl("pas2", "t")
+    assert text.count(" STRING") == 22 and "TRANSACTION_AMT STRING COMMENT 'number(14,2)'" in text
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.txt").write_text("12345")
+    assert [(s["files"], s["bytes"]) for s in store.stats(spark, str(tmp_path / "a"))] == [(1, 5)]
+    assert store.stats(spark, str(tmp_path / "none")) == []
