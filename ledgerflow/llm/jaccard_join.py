@@ -13,10 +13,11 @@ in the last one it keeps its empty signatures. Of two similar sets either one is
 or both keep the empty ones: no pair is lost.
 
 Equal sets are one entity throughout. Signatures travel as packed arrays by hash bucket, those that a batch
-shares being sent once. Where several sets share one, each is held against the earliest of them, and in a second
-round against the sets of other components that share a signature with it. Of such pairs only those go on whose
-sizes and parity sketches allow the similarity (a bound that no similar pair fails); these are checked exactly. Components are found by
-alternating large-star and small-star steps. All pairs of a group are never emitted.
+shares being sent once. Where several sets share one, each is held against one of them, and in a second round against
+the sets of other components that share a signature with it. Of such pairs only those go on whose sizes and parity
+sketches allow the similarity (a bound that no similar pair fails); these are checked exactly. Copies are in one
+component after the first round, so they make no pairs; sets that share a passage and are not similar do make pairs in
+the second, which the sketches then reject. Components are found by alternating large-star and small-star steps.
 
 Defined results: a null or blank text has the empty set and is linked with nothing; repeated rows have equal
 sets, so they are linked; empty input gives an empty result; a null doc_id stands last, and a component of
@@ -25,6 +26,7 @@ such rows alone has a null id; other columns are not read. Sets are compared by
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -35,11 +37,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerflow.llm.common import WORD, materialize, packed, table, unpacked
+from ledgerflow.llm.common import WORD, discard, materialize, packed, release, table, tie, unpacked
 from ledgerflow.llm.shingles import mix64, shingle_set
 
-SHINGLE, PERCENT, BAND, SEEDS = 4, 85, 1.5, 8
-BUCKET_ROWS = 1_000_000
+SHINGLE, PERCENT, BAND, SEEDS = 4, 85, 1.25, 8
+BUCKET_ROWS = 500_000
+#: Shingles that a subset should hold.
+HOLDS = 3
 
 
 def fingerprint(s: np.ndarray) -> int:
@@ -65,33 +69,71 @@ def band_of(n: int) -> int:
     return band
 
 
+def _over(n: int, p: float, most: int) -> float:
+    """The probability that more than `most` of n independent events of probability p happen."""
+    if p <= 0 or most >= n:
+        return 0.0
+    mean = n * p
+    if mean > 60:
+        return 0.5 * math.erfc((most + 0.5 - mean) / math.sqrt(2 * mean * (1 - p)))
+    term, total = (1 - p) ** n, 0.0
+    for i in range(most + 1):
+        total += term
+        term *= (n - i) / (i + 1) * p / (1 - p)
+    return max(0.0, 1 - total)
+
+
+def _empty_subset(n: int, n1: int, n2: int, k2: int) -> float:
+    """The probability that one of n1 groups of n2 partitions has a subset of n2 - k2 partitions without any of n shingles."""
+    e = math.exp(-n / (n1 * n2))
+    return sum(math.comb(n2, i) * e**i * (1 - e) ** (n2 - i) for i in range(n2 - k2, n2 + 1))
+
+
 _SCHEMES: dict[tuple[int, int], tuple[int, int, np.ndarray, int] | None] = {}
 
 
 def scheme(band: int, percent: int = PERCENT) -> tuple[int, int, np.ndarray, int] | None:
-    """n1, n2, subsets as rows of 0 and 1, slack; None where only equal sets can link."""
+    """_scheme(), once for each worker."""
     if (band, percent) not in _SCHEMES:
         _SCHEMES[band, percent] = _scheme(band, percent)
     return _SCHEMES[band, percent]
 
 
 def _scheme(band: int, percent: int) -> tuple[int, int, np.ndarray, int] | None:
-    k = band_limits(band)[1] * (100 - percent) // percent
+    """n1, n2, subsets as rows of 0 and 1, slack; None where only equal sets can link.
+
+    Of all n2, k2 the ones with the fewest signatures are taken, those counting more whose subsets hold fewer than HOLDS
+    shingles (they are shared too easily) or are often empty (sets then need another hash). The slack is the number of
+    groups with an empty subset that a set of the band's least size rarely exceeds.
+    """
+    least, most = band_limits(band)
+    k = most * (100 - percent) // percent
     if k == 0:
         return None
-    if k <= 3:
-        k2, n2, need = k, {1: 4, 2: 6, 3: 7}[k], 1
-        slack = 0
-    else:
-        k2, n2 = (3, 6) if k <= 11 else (1, 3)
+    best = None
+    for k2 in range(1, min(k, 6) + 1):
         need = k // (k2 + 1) + 1
-        slack = 1 + int(0.03 * need)
-    subsets = np.zeros((0, n2))
-    for kept in combinations(range(n2), n2 - k2):
-        row = np.zeros((1, n2))
-        row[0, list(kept)] = 1
-        subsets = np.concatenate([subsets, row])
-    return need + slack, n2, subsets, slack
+        for n2 in range(k2 + 1, k2 + 5):
+            if math.comb(n2, k2) > 84:
+                continue
+            for slack in range(need + 3):
+                n1 = need + slack
+                rare = _over(n1, min(1.0, _empty_subset(least, n1, n2, k2)), slack)
+                if rare > 0.9:
+                    continue
+                holds = least * (n2 - k2) / (n1 * n2)
+                cost = n1 * math.comb(n2, k2) * (1 + (HOLDS / holds) ** 4) * (1 + rare / (1 - rare))
+                if best is None or cost < best[0]:
+                    best = cost, n1, n2, k2, slack
+                if rare < 0.001:
+                    break
+    if best is None:
+        best = 0.0, k + 1, 2, 1, 0  # sets this small keep their empty signatures
+    _, n1, n2, k2, slack = best
+    subsets = np.zeros((math.comb(n2, k2), n2))
+    for row, kept in zip(subsets, combinations(range(n2), n2 - k2), strict=True):
+        row[list(kept)] = 1
+    return n1, n2, subsets, slack
 
 
 def signatures(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -149,6 +191,7 @@ def sizes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             cols = list(zip(*made, strict=True)) or [[]] * (2 + SKETCH)
             names = ["doc_id", "n", "fp", *(f"k{i}" for i in range(SKETCH))]
             yield _arrow(names, [pa.int64()] * len(names), [batch.column("doc_id").to_pylist(), *cols])
+        release()
 
     extra = "".join(f", k{i} long" for i in range(SKETCH))
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, n long, fp long{extra}")
@@ -162,17 +205,19 @@ def may_be_similar(a: str, b: str, percent: int = PERCENT):
     return ((100 + percent) * F.abs(F.col(f"{a}n") - F.col(f"{b}n")) <= limit) & ((100 + percent) * apart <= limit)
 
 
-#: A record: a signature, and the set that has it. Extra sets of a batch's own group are marked by their bucket.
-RECORD = np.dtype([("sig", "<u8"), ("fp", "<i8"), ("doc", "<i8"), ("shared", "?")])
+#: A record: a signature and the set that has it. The signature's lowest bit says that several sets of a batch share it.
+RECORD = np.dtype([("sig", "<u8"), ("fp", "<i8")])
+SHARED = np.uint64(1)
 
 
 def _records(buckets: int, shingle: int, percent: int):
-    """Packed records by bucket. Within a batch only the earliest set of a signature goes to the signature's bucket;
+    """Packed records by bucket. Within a batch only one set of a signature goes to the signature's bucket;
     the others go, spread by set, to buckets that pass them on unchanged."""
 
-    def send(sig: np.ndarray, fp: np.ndarray, doc: np.ndarray) -> Iterator[pa.RecordBatch]:
-        order = np.lexsort((fp, doc, sig))
-        sig, fp, doc = sig[order], fp[order], doc[order]
+    def send(sig: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
+        sig = sig & ~SHARED
+        order = np.lexsort((fp, sig))
+        sig, fp = sig[order], fp[order]
         first = np.ones(len(sig), bool)
         first[1:] = sig[1:] != sig[:-1]
         group = np.cumsum(first) - 1
@@ -180,7 +225,7 @@ def _records(buckets: int, shingle: int, percent: int):
         shared = np.zeros(int(first.sum()), bool)
         shared[group[~same]] = True
         rec = np.zeros(len(sig), RECORD)
-        rec["sig"], rec["fp"], rec["doc"], rec["shared"] = sig, fp, doc, shared[group]
+        rec["sig"], rec["fp"] = sig | shared[group].astype(np.uint64), fp
         where = np.where(first, (sig >> np.uint64(17)) % np.uint64(buckets), np.uint64(buckets) + mix64(fp.view(np.uint64)) % np.uint64(buckets))
         keep = first | ~same
         rec, where = rec[keep], where[keep].astype(np.int64)
@@ -191,15 +236,14 @@ def _records(buckets: int, shingle: int, percent: int):
         yield _arrow(["bucket", "blob"], [pa.int32(), pa.binary()], [ids.tolist(), [rec[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sigs, fps, docs, held = [], [], [], 0
+        sigs, fps, held = [], [], 0
         seen: set[int] = set()
 
         def flush():
-            counts = [len(s) for s in sigs]
-            return send(np.concatenate(sigs), np.repeat(np.array(fps, np.int64), counts), np.repeat(np.array(docs, np.int64), counts))
+            return send(np.concatenate(sigs), np.repeat(np.array(fps, np.int64), [len(s) for s in sigs]))
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+            for text in batch.column("text"):
                 s = shingle_set(text.as_py(), shingle)
                 fp = fingerprint(s)
                 if fp in seen:
@@ -207,17 +251,17 @@ def _records(buckets: int, shingle: int, percent: int):
                 made = signatures(s, percent)
                 if len(made):
                     seen.add(fp)
-                    doc = doc_id.as_py()
                     sigs.append(made)
                     fps.append(fp)
-                    docs.append(np.iinfo(np.int64).max if doc is None else doc)
                     held += len(made)
                 if held >= BUCKET_ROWS:
                     yield from flush()
-                    sigs, fps, docs, held = [], [], [], 0
+                    sigs, fps, held = [], [], 0
                     seen = set()
         if held:
             yield from flush()
+        del sigs, fps, seen
+        release()
 
     return run
 
@@ -225,25 +269,26 @@ def _records(buckets: int, shingle: int, percent: int):
 def _members(pdf: pd.DataFrame) -> pd.DataFrame:
     """The sets of signatures that several different sets share."""
     rec = np.concatenate([np.frombuffer(b, RECORD) for b in pdf["blob"]])
-    if pdf["passed"].iloc[0]:
-        keep = rec
-    else:
-        rec = rec[np.lexsort((rec["fp"], rec["sig"]))]
-        first = np.ones(len(rec), bool)
-        first[1:] = rec["sig"][1:] != rec["sig"][:-1]
+    sig, fp, shared = rec["sig"] & ~SHARED, rec["fp"], (rec["sig"] & SHARED) > 0
+    if not pdf["passed"].iloc[0]:
+        order = np.lexsort((fp, sig))
+        sig, fp, shared = sig[order], fp[order], shared[order]
+        first = np.ones(len(sig), bool)
+        first[1:] = sig[1:] != sig[:-1]
         group = np.cumsum(first) - 1
         several = np.zeros(int(first.sum()), bool)
-        several[group[rec["shared"] | (rec["fp"] != rec["fp"][first][group])]] = True
-        again = np.zeros(len(rec), bool)
-        again[1:] = (rec["sig"][1:] == rec["sig"][:-1]) & (rec["fp"][1:] == rec["fp"][:-1])
-        keep = rec[several[group] & ~again]
-    return pd.DataFrame({"sig": keep["sig"].astype(np.int64), "fp": keep["fp"], "doc": keep["doc"]})
+        several[group[shared | (fp != fp[first][group])]] = True
+        again = np.zeros(len(sig), bool)
+        again[1:] = (sig[1:] == sig[:-1]) & (fp[1:] == fp[:-1])
+        keep = several[group] & ~again
+        sig, fp = sig[keep], fp[keep]
+    return pd.DataFrame({"sig": sig.astype(np.int64), "fp": fp})
 
 
 def members(docs: DataFrame, buckets: int, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    packed = docs.select("doc_id", "text").mapInArrow(_records(buckets, shingle, percent), "bucket int, blob binary")
+    packed = docs.select("text").mapInArrow(_records(buckets, shingle, percent), "bucket int, blob binary")
     packed = packed.withColumn("passed", F.col("bucket") >= buckets)
-    return packed.groupBy("bucket").applyInPandas(_members, "sig long, fp long, doc long")
+    return packed.groupBy("bucket").applyInPandas(_members, "sig long, fp long")
 
 
 def _set_rows(shingle: int):
@@ -251,6 +296,7 @@ def _set_rows(shingle: int):
         for batch in batches:
             made = [shingle_set(t.as_py(), shingle) for t in batch.column("text")]
             yield _arrow(["fp", "s"], [pa.int64(), pa.binary()], [[fingerprint(s) for s in made], [s.tobytes() for s in made]])
+        release()
 
     return run
 
@@ -286,7 +332,9 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(down, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         small = materialize(small.filter("u <> v").distinct())
         same = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if same(small) == same(edges):
+        still = same(small) == same(edges)
+        discard(edges, large)
+        if still:
             return small.groupBy(F.col("u").alias("fp")).agg(F.min("v").alias("label"))
         edges = small
 
@@ -299,29 +347,28 @@ def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> Dat
     shared = materialize(members(docs, buckets, shingle, percent))
     attrs = materialize(slim.groupBy("fp").agg(*[F.max(c).alias(c) for c in ("n", *(f"k{i}" for i in range(SKETCH)))]))
     pre = lambda df, p, *keys: df.select(*[F.col(c).alias(c if c in keys else p + c) for c in df.columns])
-    # the earliest set of each signature against the others
-    centre = shared.groupBy("sig").agg(F.min_by("fp", "doc").alias("fp")).join(attrs, "fp")
+    # one set of each signature against the others
+    centre = shared.groupBy("sig").agg(F.min("fp").alias("fp")).join(attrs, "fp")
     others = shared.select("sig", "fp").join(attrs, "fp")
     star = pre(others, "x", "sig").join(pre(centre, "y", "sig"), "sig").filter((F.col("xfp") != F.col("yfp")) & may_be_similar("x", "y", percent))
     tested = materialize(star.select(F.least("xfp", "yfp").alias("a"), F.greatest("xfp", "yfp").alias("b")).distinct())
-    null_id = F.when(F.col("doc") != np.iinfo(np.int64).max, F.col("doc"))
-    wanted = shared.groupBy("fp").agg(F.min("doc").alias("doc")).select("fp", null_id.alias("doc"))
+    wanted = slim.join(shared.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.min("doc_id").alias("doc"))
     texts = docs.select("doc_id", "text").join(wanted.select("doc"), F.col("doc_id").eqNullSafe(F.col("doc")), "left_semi")
     sets = texts.mapInArrow(_set_rows(shingle), "fp long, s binary").dropDuplicates(["fp"])
     sets = materialize(sets.join(wanted.select("fp"), "fp", "left_semi"))
     links = materialize(verify(tested, sets, percent))
     labels = components(links)
     # what shares a signature and still stands in another component
-    labelled = shared.select("sig", "fp").join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+    labelled = shared.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     several = labelled.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("sig")
-    open_ = materialize(labelled.join(several, "sig", "left_semi").distinct().join(attrs, "fp"))
+    open_ = materialize(labelled.join(several, "sig", "left_semi").join(attrs, "fp"))
     met = pre(open_, "x", "sig").join(pre(open_, "y", "sig"), "sig")
     cross = met.filter((F.col("xfp") < F.col("yfp")) & (F.col("xlabel") != F.col("ylabel")) & may_be_similar("x", "y", percent))
     cross = cross.select(F.col("xfp").alias("a"), F.col("yfp").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-    links = links.unionByName(verify(cross, sets, percent))
-    labels = materialize(components(links))
+    labels = materialize(components(links.unionByName(verify(cross, sets, percent))))
     named = slim.select("doc_id", "n", "fp").join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     named = materialize(named)
+    discard(slim, shared, attrs, tested, sets, links, open_, labels)
     ids = named.filter("n > 0").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     out = named.filter("n > 0").join(ids, "label").select("doc_id", "n", "component_id")
     alone = named.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
@@ -338,7 +385,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) ->
     kept = keyed.join(stay, "_d", "left_semi")
     blank = ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
     # rows that repeat a document: one of them
-    kept = kept.withColumn("_rn", F.row_number().over(Window.partitionBy("_d", "_th").orderBy(F.lit(0))))
+    kept = kept.withColumn("_rn", F.row_number().over(Window.partitionBy("_d", "_th").orderBy(tie(kept))))
     return kept.filter((F.col("_rn") == 1) | blank).select(unpacked(kept, docs, "doc_id", "text"))
 
 
