@@ -1,16 +1,21 @@
-"""Main text of web pages: marked regions first, and a suffix array per host for what no mark decides.
+"""Main text of web pages: structure, and a suffix array per host for what repeats across its pages.
 
 A page is cut into blocks in page order. Blocks inside an article (or main) element are the article; blocks in
 menus, headers, footers, sidebars, notices, adverts, forms and reader comments go by their element, role, class
-or id. All text outside articles forms the page's token stream. The streams of a host are joined, their suffixes
-are sorted to the depth RUN by prefix doubling, and neighbours that agree to that depth on distinct pages are
-repeated strings: the tokens they cover are boilerplate. A page without an article element keeps the unique
-runs of its blocks that no mark excludes. Article text itself is never cut by repetition, since the result must hold
-the whole article, and articles share passages.
+or id. A class or id counts where all its words are of that kind ("comment-list", not "social-science").
 
-A host's streams are dealt into chunks by their hash, so a host with a third of all pages is spread over many
-tasks; a chunk sends each repeated or single string once, and the chunks' page counts are added up, which
-makes the result that of one suffix array. Equal streams count as one page, so copies of a page keep their text.
+All text outside articles forms the page's token stream, in which each block of an article stands as one token. The
+streams of a host are joined, their suffixes are sorted to the depth RUN by prefix doubling, and each group of
+neighbours that agree to that depth is one string with the number of its distinct pages; an article block is a string of
+its own. A string is boilerplate where at least SHARE of the host's pages have it, and MIN_PAGES of them at least:
+articles of one host do share passages (here a line stands on up to an eighth of a host's pages), so a lower share would
+cut articles. An article loses its boilerplate blocks; a page without an article element keeps the unique runs of its
+blocks that no mark excludes. Pages with the same article, or the same unmarked text where there is none, count as one
+page, whatever menu stands around them, so copies of a page keep their text.
+
+A host's streams are dealt into chunks of bounded bytes by their hash, so a host with a third of all pages is spread
+over many tasks; a chunk sends each string once with its pages, and the chunks' page counts are added up, which
+makes the result that of one suffix array.
 
 Defined results: null html or a page without text gives an empty text; pages with a null or odd url share one
 host; repeated rows are treated alike; an empty table gives an empty result; other columns are not read.
@@ -30,10 +35,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerflow.llm.common import materialize, table
+from ledgerflow.llm.common import materialize, release, table
 from ledgerflow.llm.shingles import mix64, word_hashes
 
-RUN, CHUNK_PAGES = 8, 5000
+RUN, CHUNK_BYTES = 8, 1 << 22
+#: A string is boilerplate on this share of a host's distinct pages, and on so many of them at least.
+SHARE, MIN_PAGES = 0.5, 3
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+>|[^>]*+(?:>|\Z))|<[!?/][^>]*+(?:>|\Z)", re.DOTALL
@@ -58,6 +65,15 @@ WORDS = {
     "recommended", "share", "sharing", "social", "comment", "comments", "disqus", "respond", "replies", "toolbar", "pagination", "pager",
 }
 HEADER_WORDS = {"header", "topbar"}
+#: Words that say nothing about what a block holds.
+NEUTRAL = {
+    "list", "area", "box", "section", "container", "wrapper", "wrap", "block", "button", "buttons", "bar", "link", "links", "item", "items",
+    "widget", "inner", "outer", "slot", "unit", "top", "bottom", "left", "right", "site", "page", "main", "global", "primary", "secondary",
+    "post", "posts", "article", "articles", "form", "thread", "media", "icons", "text", "js", "id", "col", "row", "panel", "message", "policy",
+    "collapse", "toggle", "dropdown", "mobile", "desktop", "fixed", "sticky", "inline", "close", "count", "reply", "email", "network",
+    "networks", "tools", "meta", "header", "body", "title", "sub", "view", "feed", "content",
+}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 CONTENT = {"content", "article", "main", "post", "entry", "story", "articlebody"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
@@ -83,13 +99,14 @@ def _kind(name: str, attrs: str, in_article: bool) -> str:
         elif key == "itemprop":
             if value.lower() == "articlebody":
                 kind = "article"
-        else:
-            whole = {v.lower() for v in value.split()}
-            if whole & CONTENT:
-                continue
-            words = {w.lower() for w in _PARTS.findall(value)}
-            if words & WORDS or (not in_article and words & HEADER_WORDS):
-                return "chrome"
+        elif not (in_article and name in HEADINGS):  # ids of headings are made from their text
+            for part in value.split():
+                if part.lower() in CONTENT:
+                    break
+                words = {w.lower() for w in _PARTS.findall(part)}
+                marks = words & (WORDS if in_article else WORDS | HEADER_WORDS)
+                if marks and words <= marks | NEUTRAL:
+                    return "chrome"
     return kind
 
 
@@ -188,24 +205,38 @@ def _long(x: np.uint64) -> int:
     return int(np.uint64(x).astype(np.int64))
 
 
-PARSED = "page_id long, url string, host long, article string, texts array<string>, chrome array<boolean>, stream long"
+PARSED = "page_id long, url string, host long, article array<string>, marks array<long>, texts array<string>, chrome array<boolean>, page long"
+
+
+def _mixed(words: np.ndarray) -> np.uint64:
+    """One value for a sequence of hashes."""
+    return np.bitwise_xor.reduce(mix64(words + np.arange(1, len(words) + 1, dtype=np.uint64))) if len(words) else np.uint64(0)
+
+
+def _words(text: str) -> np.ndarray:
+    return word_hashes(text.encode("utf-8", "surrogatepass"))
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["page_id", "url", "host", "article", "texts", "chrome", "stream"]
-    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.list_(pa.string()), pa.list_(pa.bool_()), pa.int64()]
+    names = [x.split()[0] for x in PARSED.split(", ")]
+    longs, strings = pa.list_(pa.int64()), pa.list_(pa.string())
+    kinds = [pa.int64(), pa.string(), pa.int64(), strings, longs, strings, pa.list_(pa.bool_()), pa.int64()]
     for batch in batches:
         rows = []
         for page_id, url, page in zip(batch.column("page_id").to_pylist(), batch.column("url").to_pylist(), batch.column("html"), strict=True):
             found = blocks(page.as_py() or "")
             body = [t for k, t in found if k == "article"]
             rest = [(t, k == "chrome") for k, t in found if k != "article"]
-            host = word_hashes(b"h " + host_of(url).encode("utf-8", "surrogatepass"))
-            stream = word_hashes("\n".join(t for t, _ in rest).encode("utf-8", "surrogatepass"))
-            mixed = np.bitwise_xor.reduce(mix64(stream + np.arange(1, len(stream) + 1, dtype=np.uint64))) if len(stream) else np.uint64(0)
-            rows.append((page_id, url, _long(host[-1] + np.uint64(len(host))), "\n".join(body) if body else None, [t for t, _ in rest], [c for _, c in rest], _long(mixed)))
-        cols = list(zip(*rows, strict=True)) or [[]] * 7
+            host = _words("h " + host_of(url))
+            marks = np.array([_mixed(_words(t)) for t in body], np.uint64)
+            own = mix64(marks) if body else _words("\n".join(t for t, c in rest if not c))
+            rows.append((
+                page_id, url, _long(host[-1] + np.uint64(len(host))), body or None, marks.astype(np.int64).tolist(),
+                [t for t, _ in rest], [c for _, c in rest], _long(_mixed(own) + np.uint64(bool(body))),
+            ))
+        cols = list(zip(*rows, strict=True)) or [[]] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
+        release()
 
 
 def suffix_ranks(tokens: np.ndarray, depth: int) -> np.ndarray:
@@ -231,36 +262,40 @@ def _grams(words: np.ndarray, n: int = RUN) -> np.ndarray:
 
 
 def _host_array(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The suffix array of a chunk of a host: each string of RUN tokens with the number of its pages (2 for more)."""
-    pages = [word_hashes("\n".join(t).encode("utf-8", "surrogatepass")) for t in pdf["texts"]]
-    parts, owner, grams = [], [], []
-    for k, words in enumerate(pages):
+    """The suffix array of a chunk of a host: each string, of RUN tokens or an article's block, with the number of its pages."""
+    parts, owner, grams, length = [], [], [], []
+    for k, (texts, marks) in enumerate(zip(pdf["texts"], pdf["marks"], strict=True)):
+        words, blocks_ = _words("\n".join(texts)), np.asarray(marks, np.int64).view(np.uint64)
         g = _grams(words)
         end = np.array([k], np.uint64) ^ np.uint64(1 << 63)  # no string crosses a page's end
-        parts += [words, end]
-        owner += [np.full(len(words) + 1, k)]
-        grams += [g, np.zeros(len(words) + 1 - len(g), np.uint64)]
-    tokens, owner, grams = np.concatenate(parts), np.concatenate(owner), np.concatenate(grams)
-    whole = np.concatenate([np.arange(len(w) + 1) < len(w) - RUN + 1 for w in pages])
-    rank = suffix_ranks(tokens, RUN)[whole]
-    owner, grams = owner[whole], grams[whole]
-    order = np.lexsort((owner, rank))
-    rank, owner, grams = rank[order], owner[order], grams[order]
-    if not len(rank):
-        return pd.DataFrame({"host": [], "gram": [], "n": []}, dtype="int64")
-    starts = np.flatnonzero(np.concatenate([[True], rank[1:] != rank[:-1]]))
-    ends = np.concatenate([starts[1:], [len(rank)]]) - 1
-    n = 1 + (owner[starts] != owner[ends])
-    return pd.DataFrame({"host": pdf["host"].iloc[0], "gram": grams[starts].astype(np.int64), "n": n})
+        parts += [words, end, blocks_]
+        owner.append(np.full(len(words) + 1 + len(blocks_), k))
+        grams += [g, np.zeros(len(words) + 1 - len(g), np.uint64), blocks_]
+        length += [np.full(len(g), RUN), np.zeros(len(words) + 1 - len(g), np.int64), np.ones(len(blocks_), np.int64)]
+    tokens, owner, grams, length = np.concatenate(parts), np.concatenate(owner), np.concatenate(grams), np.concatenate(length)
+    out = []
+    for depth in (RUN, 1):
+        starts_here = length == depth
+        rank, own, gram = suffix_ranks(tokens, depth)[starts_here], owner[starts_here], grams[starts_here]
+        order = np.lexsort((own, rank))
+        rank, own, gram = rank[order], own[order], gram[order]
+        if len(rank):
+            new = np.concatenate([[True], rank[1:] != rank[:-1]])
+            page = new | np.concatenate([[True], own[1:] != own[:-1]])
+            starts = np.flatnonzero(new)
+            out.append(pd.DataFrame({"gram": gram[starts].astype(np.int64), "n": np.add.reduceat(page.astype(np.int64), starts)}))
+    found = pd.concat(out) if out else pd.DataFrame({"gram": [], "n": []}, dtype="int64")
+    found.insert(0, "host", pdf["host"].iloc[0])
+    return found
 
 
 def _page_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         out = []
-        for host, stream, texts in zip(pdf["host"], pdf["stream"], pdf["texts"], strict=True):
-            g = _grams(word_hashes("\n".join(texts).encode("utf-8", "surrogatepass")))
-            out.append(pd.DataFrame({"host": host, "stream": stream, "at": np.arange(len(g)), "gram": g.astype(np.int64)}))
-        yield pd.concat(out) if out else pd.DataFrame({"host": [], "stream": [], "at": [], "gram": []})
+        for host, key, texts in zip(pdf["host"], pdf["key"], pdf["texts"], strict=True):
+            g = _grams(_words("\n".join(texts)))
+            out.append(pd.DataFrame({"host": host, "key": key, "at": np.arange(len(g)), "gram": g.astype(np.int64)}))
+        yield pd.concat(out) if out else pd.DataFrame({"host": [], "key": [], "at": [], "gram": []}, dtype="int64")
 
 
 @F.pandas_udf(T.StringType())
@@ -285,21 +320,35 @@ def _unique_runs(texts: pd.Series, chrome: pd.Series, repeated: pd.Series) -> pd
     return pd.Series(out)
 
 
-def extract(pages: DataFrame, chunk_pages: int = CHUNK_PAGES) -> DataFrame:
+def extract(pages: DataFrame, chunk_bytes: int = CHUNK_BYTES, share: float = SHARE, min_pages: int = MIN_PAGES) -> DataFrame:
     """page_id, url, text."""
     parsed = pages.select("page_id", "url", "html").mapInArrow(_parse, PARSED)
     parsed = materialize(parsed)
-    marked = parsed.filter("article IS NOT NULL").select("page_id", "url", F.col("article").alias("text"))
-    chunks = 1 + parsed.count() // chunk_pages
-    streams = parsed.filter(F.size("texts") > 0).select("host", "stream", "texts").dropDuplicates(["host", "stream"])
-    streams = streams.withColumn("chunk", F.pmod("stream", F.lit(chunks)))
-    counts = streams.groupBy("host", "chunk").applyInPandas(_host_array, "host long, gram long, n long")
-    repeated = materialize(counts.groupBy("host", "gram").agg(F.sum("n").alias("n")).filter("n > 1").select("host", "gram"))
-    loose = parsed.filter("article IS NULL")
-    open_ = loose.select("host", "stream", "texts").dropDuplicates(["host", "stream"])
-    found = open_.mapInPandas(_page_grams, "host long, stream long, at long, gram long").join(repeated, ["host", "gram"])
-    found = found.groupBy("host", "stream").agg(F.collect_list("at").alias("repeated"))
-    rest = loose.join(found, ["host", "stream"], "left")
+    # one of the pages with the same text of their own, the same one in every run
+    size = F.aggregate("texts", F.lit(0).cast("long"), lambda a, t: a + F.octet_length(t))
+    one = parsed.select("host", "page", "texts", "marks", size.alias("bytes"), F.xxhash64("texts").alias("h"))
+    one = one.groupBy("host", "page").agg(F.min_by(F.struct("texts", "marks", "bytes"), "h").alias("one")).select("host", "page", "one.*")
+    hosts = one.groupBy("host").agg(F.count("*").alias("n_pages"), F.sum("bytes").alias("bytes"))
+    hosts = hosts.select("host", "n_pages", (1 + F.floor(F.col("bytes") / chunk_bytes)).alias("chunks"))
+    hosts = materialize(hosts)
+    streams = one.join(hosts, "host").withColumn("chunk", F.pmod(F.xxhash64("page"), F.col("chunks")))
+    counts = streams.select("host", "chunk", "texts", "marks").groupBy("host", "chunk").applyInPandas(_host_array, "host long, gram long, n long")
+    counts = counts.groupBy("host", "gram").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_pages)
+    repeated = materialize(counts.join(hosts, "host").filter(F.col("n") >= share * F.col("n_pages")).select("host", "gram"))
+
+    marked = parsed.filter("article IS NOT NULL")
+    hit = marked.select("host", "page", F.explode("marks").alias("gram")).distinct().join(repeated, ["host", "gram"])
+    hit = materialize(hit.groupBy("host", "page").agg(F.collect_set("gram").alias("gone")))
+    marked = marked.select("page_id", "url", "host", "page", "article", "marks").join(hit, ["host", "page"], "left")
+    kept = F.filter(F.arrays_zip("article", "marks"), lambda b: ~F.array_contains("gone", b["marks"]))
+    kept = F.when(F.col("gone").isNull(), F.col("article")).otherwise(F.transform(kept, lambda b: b["article"]))
+    marked = marked.select("page_id", "url", F.array_join(kept, "\n").alias("text"))
+
+    loose = parsed.filter("article IS NULL").withColumn("key", F.xxhash64("texts"))
+    open_ = loose.select("host", "key", "texts").dropDuplicates(["host", "key"])
+    found = open_.mapInPandas(_page_grams, "host long, key long, at long, gram long").join(repeated, ["host", "gram"])
+    found = found.groupBy("host", "key").agg(F.collect_list("at").alias("repeated"))
+    rest = loose.join(found, ["host", "key"], "left")
     rest = rest.select("page_id", "url", _unique_runs("texts", "chrome", "repeated").alias("text"))
     return marked.unionByName(rest)
 
