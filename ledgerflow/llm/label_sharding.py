@@ -1,11 +1,16 @@
 """Sharding by balanced label propagation, in DataFrame operations only.
 
-Documents with equal texts are linked. Each starts in a shard by the hash of its id; in each round a group of
-linked documents moves towards the shard where most of it stands, as far as the shards' quotas allow, until
-nothing moves. Quotas are exact: candidates to enter a shard are taken in hash order up to the places that those
-who stay leave free. What still stands over a quota after the last round is dealt out like unlinked documents.
-Copies are counted by (group, salt, shard), so the rounds run over these counts, not over documents, and a group
-with a third of all rows is spread over many tasks; a group that no shard can hold is divided among few.
+Documents with equal texts are linked. Each starts in a shard by the hash of its id; in each round every group of linked
+documents that has no place yet takes the label of the shard where most of its members stand, of those shards
+that can still hold all of it (the other shards count as having none of its members). Quotas are exact: the groups
+that want a shard enter in order, largest size class first and by hash inside a class, as far as its free places
+reach; the others try again in the next round, with what is left. The groups of more than a sixteenth of a shard,
+which are 16 for each shard at most, are placed before the rounds, largest first, each where it fills a shard best. Only groups that fit no shard, because they are larger than
+what any has left, are divided, and then among as few shards as can be: their documents fill the free places shard
+by shard, the emptiest shard first.
+
+Members are counted by (group, salt) before anything else, so the rounds run over one row for each group, and a group
+with a third of all rows meets its label in many tasks.
 
 The law is `rows`: the shards' document counts differ by one at most. Documents without a link fill the places
 that are left, longest first, dealt in turn, which keeps the bytes even too.
@@ -22,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.llm.common import materialize, table, zip_index
 
-SHARDS, ROUNDS, SALTS, BUCKETS = 8, 6, 64, 4096
+SHARDS, ROUNDS, SALTS, BUCKETS, LARGE = 8, 24, 64, 512, 16
 
 
 def _pick(values: list, at: Column) -> Column:
@@ -30,40 +35,48 @@ def _pick(values: list, at: Column) -> Column:
     return F.element_at(F.array(*[F.lit(int(v)) for v in values]), (at + 1).cast("int"))
 
 
-def _quota_rounds(cells: DataFrame, quota: list[int], rounds: int) -> DataFrame:
-    """cells: grp, salt, start, cnt (equal documents that began in one shard) -> the same with shard."""
+def _rounds(groups: DataFrame, quota: list[int], rounds: int) -> tuple[DataFrame, list[int]]:
+    """grp with its shard, null where no shard can hold all of it, and the places that are left.
+
+    groups: grp, size, near (how many of its members began in each shard).
+    """
     k = len(quota)
-    state = cells.withColumn("shard", F.col("start"))
     spare = list(quota)
+    open_ = groups.select("grp", "size", "near")
+    settled: list[DataFrame] = []
     for step in range(rounds):
-        # how much of each group stands in each shard: k rows for a group at most after this aggregation
-        held = state.groupBy("grp", "shard").agg(F.sum("cnt").alias("n"))
-        room = (_pick(spare, F.col("shard")) > 0).cast("int")
-        rank = F.struct(room, "n", F.xxhash64("grp", "shard", F.lit(step)), "shard")
-        label = held.groupBy("grp").agg(F.max(rank)["shard"].alias("label"), F.sum("n").alias("size"))
-        # one row for each salt of a group, so that a large group's cells meet it in many tasks
-        salts = cells.select("grp", "salt").distinct()
-        label = salts.join(label, "grp")
-        moving = state.join(label, ["grp", "salt"]).withColumn("_go", F.col("shard") != F.col("label"))
-        # small groups enter whole, one bucket each; large ones cell by cell
-        whole = F.col("size") * 16 <= max(1, min(quota, default=1))
-        key = F.when(whole, F.xxhash64("grp")).otherwise(F.xxhash64("grp", "salt", "start"))
-        moving = materialize(moving.withColumn("_bucket", F.pmod(key, F.lit(BUCKETS))))
-        # those on the move leave their places, so documents change places between full shards, too
-        stay = {r["label"]: r["n"] for r in moving.filter("NOT _go").groupBy("label").agg(F.sum("cnt").alias("n")).collect()}
-        spare = [max(0, quota[s] - stay.get(s, 0)) for s in range(k)]
-        wish = moving.filter("_go").groupBy("label", "_bucket").agg(F.sum("cnt").alias("n"))  # k * BUCKETS rows at most
-        upto = Window.partitionBy("label").orderBy("_bucket")
-        wish = wish.withColumn("_sum", F.sum("n").over(upto)).withColumn("_fits", F.col("_sum") <= _pick(spare, F.col("label")))
-        taken = wish.groupBy("label").agg(F.max(F.when(F.col("_fits"), F.col("_bucket"))).alias("b"), F.max(F.when(F.col("_fits"), F.col("_sum"))).alias("n")).collect()
-        if not taken:
+        ranks = F.array(*[
+            F.struct((F.lit(int(spare[s])) >= F.col("size")).alias("fits"), F.col("near")[s].alias("n"), F.xxhash64("grp", F.lit(step), F.lit(s)).alias("h"), F.lit(s).alias("s"))
+            for s in range(k)
+        ])
+        wish = open_.withColumn("_best", F.array_max(ranks))
+        turn = (63 - F.floor(F.log2("size"))) * BUCKETS + F.pmod(F.xxhash64("grp", F.lit(step)), F.lit(BUCKETS))
+        wish = materialize(wish.select("grp", "size", "near", F.when(F.col("_best.fits"), F.col("_best.s")).alias("label"), turn.alias("turn")))
+        queue = wish.filter("label IS NOT NULL").groupBy("label", "turn").agg(F.sum("size").alias("n"))  # k * 64 * BUCKETS rows at most
+        upto = Window.partitionBy("label").orderBy("turn")
+        queue = queue.withColumn("_sum", F.sum("n").over(upto)).filter(F.col("_sum") <= _pick(spare, F.col("label")))
+        taken = {r["label"]: r for r in queue.groupBy("label").agg(F.max("turn").alias("turn"), F.max("_sum").alias("n")).collect()}
+        first = wish.filter("label IS NOT NULL").groupBy("label").agg(F.min("turn").alias("turn")).collect()
+        if not first:
+            open_ = wish
             break
-        last = {r["label"]: -1 if r["b"] is None else r["b"] for r in taken}
-        for r in taken:
-            spare[r["label"]] -= r["n"] or 0
-        enter = F.col("_go") & (F.col("_bucket") <= _pick([last.get(s, -1) for s in range(k)], F.col("label")))
-        state = moving.withColumn("shard", F.when(enter, F.col("label")).otherwise(F.col("shard"))).select(*cells.columns, "shard")
-    return state
+        # where not even the first turn fits, it holds several groups: one of them enters
+        alone = {r["label"]: r["turn"] for r in first if r["label"] not in taken}
+        enter = F.col("label").isNotNull() & (F.col("turn") <= _pick([taken[s]["turn"] if s in taken else -1 for s in range(k)], F.col("label")))
+        if alone:
+            stuck = F.col("label").isNotNull() & (F.col("turn") == _pick([alone.get(s, -1) for s in range(k)], F.col("label")))
+            one = [r["grp"] for r in wish.filter(stuck).groupBy("label").agg(F.min("grp").alias("grp")).collect()]  # k at most
+            for r in wish.filter(F.col("grp").isin(one)).select("label", "size").collect():
+                spare[r["label"]] -= r["size"]
+            enter = enter | F.col("grp").isin(one)
+        for s, r in taken.items():
+            spare[s] -= r["n"]
+        settled.append(wish.filter(enter).select("grp", F.col("label").alias("shard")))
+        open_ = wish.filter(~F.coalesce(enter, F.lit(False)))
+    out = open_.select("grp", F.lit(None).cast("int").alias("shard"))
+    for s in settled:
+        out = out.unionByName(s)
+    return out, spare
 
 
 def _deal(index: Column, left: list[int]) -> tuple[Column, Column]:
@@ -84,8 +97,19 @@ def _deal(index: Column, left: list[int]) -> tuple[Column, Column]:
     return shard, turn
 
 
+def _fill(start: int, end: int, spare: list[int]) -> list[tuple[int, int, int, int]]:
+    """(index, shard, place, count): the indices from start to end fill the shards' spare places, the emptiest shard first."""
+    out = []
+    for s in sorted(range(len(spare)), key=lambda s: (-spare[s], s)):
+        n = min(spare[s], end - start)
+        if n > 0:
+            out.append((start, s, 0, n))
+            start += n
+    return out
+
+
 def assign(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
-    """doc_id, size, text_crc32, shard, slot for all documents; groups of equal texts stay together within the quotas."""
+    """doc_id, size, text_crc32, shard, slot for all documents; groups of equal texts stay together where a shard can hold them."""
     text = F.coalesce("text", F.lit(""))
     slim = docs.select(
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
@@ -97,30 +121,58 @@ def assign(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataF
     total = slim.count()
     quota = [total // shards + (s < total % shards) for s in range(shards)]
 
-    cells = slim.groupBy("grp", "salt", "start").agg(F.count("*").alias("cnt"))
-    by_group = Window.partitionBy("grp")  # SALTS * shards rows at most
-    linked = materialize(cells.withColumn("_n", F.sum("cnt").over(by_group)).filter("_n > 1").drop("_n"))
-    state = _quota_rounds(linked, quota, rounds)
-
-    labelled = slim.join(state.select("grp", "salt", "start", "shard"), ["grp", "salt", "start"], "left")
-    order = [F.col("shard").asc_nulls_first(), F.col("grp"), F.col("doc_id")]
-    tied = zip_index(labelled.filter("shard IS NOT NULL").select("doc_id", "size", "text_crc32", "grp", "shard"), order, "_i")
-    counts = {r["shard"]: r["n"] for r in tied.groupBy("shard").agg(F.count("*").alias("n")).collect()}
-    starts, run = [], 0
-    for s in range(shards):
-        starts.append(run)
-        run += counts.get(s, 0)
-    tied = tied.withColumn("slot", F.col("_i") - _pick(starts, F.col("shard")))
-    fits = F.col("slot") < _pick(quota, F.col("shard"))  # only a first deal without rounds can leave more than that
+    cells = slim.groupBy("grp", "salt").agg(F.count("*").alias("cnt"), *[F.count_if(F.col("start") == s).alias(f"n{s}") for s in range(shards)])
+    groups = cells.groupBy("grp").agg(F.sum("cnt").alias("size"), F.array(*[F.sum(f"n{s}") for s in range(shards)]).alias("near"))
+    groups = materialize(groups.filter("size > 1"))
+    # groups of more than a LARGE-th of a shard are few, LARGE * shards at most; what is larger than a shard is divided first
+    large = groups.filter(F.col("size") * LARGE > max(quota)).orderBy(F.desc("size"), "grp").collect()
+    divided = [r["grp"] for r in large if r["size"] > max(quota)]
+    n_divided = sum(r["size"] for r in large if r["size"] > max(quota))
+    spans = _fill(0, n_divided, list(quota))
+    filled = [sum(n for _, s, _, n in spans if s == k) for k in range(shards)]
+    spare, placed = [quota[s] - filled[s] for s in range(shards)], []
+    for r in large:
+        fits = [s for s in range(shards) if spare[s] >= r["size"]]
+        if r["size"] <= max(quota):
+            # of the shards that hold all of it the one that it fills most, then the one where most of it stands
+            best = min(fits, key=lambda s: (spare[s], -r["near"][s], s), default=None)
+            placed.append((r["grp"], best))
+            if best is not None:
+                spare[best] -= r["size"]
+    small, spare = _rounds(groups.filter(F.col("size") * LARGE <= max(quota)), spare, rounds)
+    homes = small.unionByName(docs.sparkSession.createDataFrame(placed + [(g, None) for g in divided], "grp string, shard int"))
+    homes = materialize(homes)
+
+    # a row for each salt that a group has, so that a large group's documents meet it in many tasks
+    salts = slim.select("grp", "salt").distinct().join(homes, "grp").withColumn("linked", F.lit(True))
+    labelled = slim.drop("start").join(salts, ["grp", "salt"], "left").drop("salt")
+    labelled = materialize(labelled.withColumn("linked", F.coalesce("linked", F.lit(False))))
     out = ["doc_id", "size", "text_crc32", "shard", "slot"]
-    kept = tied.filter(fits).select(out)
-    free = labelled.filter("shard IS NULL").select("doc_id", "size", "text_crc32", "grp")
-    free = free.unionByName(tied.filter(~fits).select("doc_id", "size", "text_crc32", "grp"))
+
+    # whole groups, shard by shard
+    tied = zip_index(labelled.filter("shard IS NOT NULL").drop("linked"), [F.col("shard"), F.col("grp"), F.col("doc_id")], "_i")
+    used = [quota[s] - filled[s] - spare[s] for s in range(shards)]
+    starts = [sum(used[:s]) - filled[s] for s in range(shards)]
+    tied = tied.withColumn("slot", F.col("_i") - _pick(starts, F.col("shard")))
+    filled = [filled[s] + used[s] for s in range(shards)]
+
+    # groups that no shard could hold, the large ones first
+    parts = labelled.filter("linked AND shard IS NULL").select("doc_id", "size", "text_crc32", "grp")
+    parts = zip_index(parts, [~F.col("grp").isin(divided), F.col("grp"), F.col("doc_id")], "_i")
+    spans += [(i, s, filled[s] + at, n) for i, s, at, n in _fill(n_divided, parts.count(), spare)]
+    shard, slot = F.lit(None).cast("int"), F.lit(None).cast("long")
+    for i, s, at, n in spans:
+        here = (F.col("_i") >= i) & (F.col("_i") < i + n)
+        shard, slot = F.when(here, F.lit(s)).otherwise(shard), F.when(here, F.col("_i") - F.lit(i) + F.lit(at)).otherwise(slot)
+        spare[s] -= n if i >= n_divided else 0
+    parts = parts.withColumn("shard", shard).withColumn("slot", slot)
+    left = spare
+
+    free = labelled.filter("NOT linked").drop("linked", "shard")
     free = zip_index(free, [F.col("size").desc(), F.col("grp"), F.col("doc_id")], "_i")
-    left = [quota[s] - min(quota[s], counts.get(s, 0)) for s in range(shards)]
     shard, turn = _deal(F.col("_i"), left)
     free = free.withColumn("shard", shard).withColumn("slot", turn + _pick([quota[s] - left[s] for s in range(shards)], F.col("shard")))
-    return kept.unionByName(free.select(out))
+    return tied.select(out).unionByName(parts.select(out)).unionByName(free.select(out))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
