@@ -2,15 +2,17 @@
 
 Every document of a source has the same expected number of copies, the source's target over its size. The
 documents of a source stand in a line, longest first; the expected copies are summed along it, one random
-offset is added, and a document is emitted once for each integer boundary that its stretch crosses. With the
-line ordered by length the sample is spread over all lengths, so the words taken come near the target. Of a
-few seeded offsets the one whose words come nearest to the target is used.
+offset is added, and a document is emitted once for each integer boundary that its stretch crosses. The expected
+copies being equal, their sum up to a place is the rate times the place. With the line ordered by length the sample is
+spread over all lengths: a running sum of copies is less than one off the expected one, so (summation by parts over falling
+lengths) the words taken are off the target by less than the source's longest document.
 
 Targets: sources in code point order (null last) weigh 3, 1, 2, repeating, and share 150 % of all words; a
 target stops at twice its source's words, the excess being shared again by weight until none is above.
 
 The line is indexed by range partitioning (no window over a source), so a source with a third of all rows is
-spread over many tasks. Only a row for each source and partition count is ever gathered.
+spread over many tasks. Only a row for each source and partition count is ever gathered: the windows over sources
+stand in one task, which suits thousands of sources, not a source for each document.
 
 Defined results: a null text has size 0, so its copies add nothing; rows with a null source form the last
 source; ties in length go by doc_id (null first), and repeated rows are separate documents; a source without words
@@ -22,9 +24,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import WORD, materialize, packed, table, unpacked, zip_index
+from ledgerflow.llm.common import WORD, materialize, packed, table, tie, unpacked, zip_index
 
-WEIGHTS, SHARE, CAP, SEED, OFFSETS = (3, 1, 2), 1.5, 2.0, 17, 8
+WEIGHTS, SHARE, CAP, SEED = (3, 1, 2), 1.5, 2.0, 17
 
 
 def n_words(text: Column) -> Column:
@@ -55,14 +57,13 @@ def targets(sources: DataFrame, share: float = SHARE, cap: float = CAP, weights:
     return filled.select("source", "source_size", target.otherwise(F.col("_w") * F.col("_level")).alias("target"))
 
 
-def offsets(source: Column, seed: int = SEED, n: int = OFFSETS) -> Column:
-    """n offsets in [0, 1) that follow from the seed and the source alone."""
+def offset(source: Column, seed: int = SEED) -> Column:
+    """The random offset of a source in [0, 1); it follows from the seed and the source alone, so reruns agree."""
     name = F.coalesce(F.concat(F.lit("s"), source), F.lit("null"))
-    one = lambda k: F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}/{k}/"), name)), 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
-    return F.array(*[one(k) for k in range(n)])
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}/"), name)), 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
 
 
-def mix(docs: DataFrame, seed: int = SEED, n_offsets: int = OFFSETS, carry: tuple[str, ...] = ()) -> DataFrame:
+def mix(docs: DataFrame, seed: int = SEED, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, source, size, source_size, target, copies (how often the mix emits the row) and the columns to carry."""
     slim = materialize(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), *carry))
     totals = slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_n"))
@@ -72,32 +73,26 @@ def mix(docs: DataFrame, seed: int = SEED, n_offsets: int = OFFSETS, carry: tupl
     counted = counted.withColumn("_first", F.coalesce(F.sum("_n").over(first), F.lit(0)))
     plan = counted.join(aims, F.col("source").eqNullSafe(F.col("_s"))).drop("_s", "_n")
     plan = plan.withColumn("_rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)))
-    plan = materialize(plan.withColumn("_offsets", offsets(F.col("source"), seed, n_offsets)))
+    plan = materialize(plan.withColumn("_offset", offset(F.col("source"), seed)))
 
-    order = [F.col("source").isNull(), F.col("source"), F.col("size").desc(), F.col("doc_id")]
+    order = [F.col("source").isNull(), F.col("source"), F.col("size").desc(), F.col("doc_id"), *[F.col(c) for c in carry]]
     line = zip_index(slim, order, "_i").withColumnRenamed("source", "_src")
     placed = line.join(plan, F.col("_src").eqNullSafe(F.col("source"))).drop("_src")
     at = (F.col("_i") - F.col("_first")).cast("double")
-    copies = F.transform("_offsets", lambda u: F.floor(F.col("_rate") * (at + 1) + u) - F.floor(F.col("_rate") * at + u))
-    placed = placed.withColumn("_copies", copies)
+    rate, u = F.col("_rate"), F.col("_offset")
+    copies = F.floor(rate * (at + 1) + u) - F.floor(rate * at + u)
+    return placed.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), *carry)
 
-    words = [F.sum(F.col("_copies")[k] * F.col("size")).alias(f"w{k}") for k in range(n_offsets)]
-    taken = placed.groupBy("source", "target").agg(*words)
-    miss = [F.struct(F.abs(F.col(f"w{k}") - F.col("target")).alias("miss"), F.lit(k).alias("k")) for k in range(n_offsets)]
-    best = taken.select(F.col("source").alias("_s"), F.array_min(F.array(*miss))["k"].alias("_k"))
-    chosen = placed.join(best, F.col("source").eqNullSafe(F.col("_s")))
-    return chosen.select("doc_id", "source", "size", "source_size", "target", F.col("_copies")[F.col("_k")].alias("copies"), *carry)
 
-
-def emit(docs: DataFrame, seed: int = SEED, n_offsets: int = OFFSETS) -> DataFrame:
+def emit(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """The mix itself: each document as often as the mix takes it, with all its columns."""
     own = ("doc_id", "text", "source")
     keyed = packed(docs, *own).withColumn("_d", F.coalesce("doc_id", F.lit((1 << 63) - 1))).withColumn("_th", F.xxhash64("text", "source"))
-    copies = mix(keyed, seed, n_offsets, ("_d", "_th")).groupBy("_d", "_th").agg(F.sum("copies").alias("_all"))
+    copies = mix(keyed, seed, ("_d", "_th")).groupBy("_d", "_th").agg(F.sum("copies").alias("_all"))
     # equal rows share what the mix takes of them
     equal = Window.partitionBy("_d", "_th")
     joined = keyed.join(copies, ["_d", "_th"])
-    joined = joined.withColumn("_k", F.count("*").over(equal)).withColumn("_rn", F.row_number().over(equal.orderBy(F.lit(0))))
+    joined = joined.withColumn("_k", F.count("*").over(equal)).withColumn("_rn", F.row_number().over(equal.orderBy(tie(joined))))
     joined = joined.withColumn("_own", F.floor(F.col("_all") / F.col("_k")) + (F.col("_rn") <= F.col("_all") % F.col("_k")).cast("int"))
     times = F.explode(F.array_repeat(F.lit(0), F.col("_own").cast("int"))).alias("_times")
     joined = joined.select(*own, "_rest", times)
@@ -133,16 +128,7 @@ WITH slim AS (
     CAST(row_number() OVER (PARTITION BY s.source ORDER BY s.size DESC, s.doc_id NULLS FIRST) - 1 AS DOUBLE) AS i
   FROM slim s JOIN aims a ON s.source IS NOT DISTINCT FROM a.source
 ), tried AS (
-  SELECT l.*, k,
-    CAST(('0x' || substr(md5('17/' || k || '/' || coalesce('s' || source, 'null')), 1, 8)) AS BIGINT)::DOUBLE / 4294967296.0::DOUBLE AS u
-  FROM line l, range(8) r(k)
-), copied AS (
-  SELECT *, CAST(floor(rate * (i + 1) + u) - floor(rate * i + u) AS BIGINT) AS copies FROM tried
-), best AS (
-  SELECT source, arg_min(k, (miss, k)) AS k
-  FROM (SELECT source, k, abs(sum(copies * size) - any_value(target)) AS miss FROM copied GROUP BY source, k)
-  GROUP BY source
+  SELECT *, CAST(('0x' || substr(md5('17/' || coalesce('s' || source, 'null')), 1, 8)) AS BIGINT)::DOUBLE / 4294967296.0::DOUBLE AS u FROM line
 )
-SELECT c.doc_id, c.size, c.source_size, c.target, c.copies * c.size AS taken
-FROM copied c JOIN best b ON c.source IS NOT DISTINCT FROM b.source AND c.k = b.k
+SELECT doc_id, size, source_size, target, CAST(floor(rate * (i + 1) + u) - floor(rate * i + u) AS BIGINT) * size AS taken FROM tried
 """
