@@ -1,15 +1,17 @@
 """Exact top-k inner-product search: a ball tree per shard, searched by branch and bound.
 
-The rows are dealt by hash into shards of bounded size; each shard builds a ball tree over its vectors. Nodes
-are taken in the order of their upper bound for the inner product, q.c + |q| r, and a node whose bound is below
-a query's current k-th score is left out for that query. The k-th score is shared between shards: a first pass
-searches each query in one shard only, and the second pass starts every other shard from the score found
-there. Queries are a stated set; they meet the shards in blocks of bounded size, so no task holds all of them.
+The rows are dealt by hash into shards of bounded size; each shard builds a ball tree over its vectors, once for all
+queries. Nodes are taken in the order of their upper bound for the inner product, q.c + |q| r, and a node whose bound
+is below a query's current k-th score is left out for that query. The k-th score is shared between shards: a first
+pass searches each query in one shard only, and the second pass starts every other shard from the score found
+there. A shard's vectors come first in its part of the stream and its queries after them in batches, so a task holds one
+shard and one batch, however many queries there are, and every vector moves once for a pass.
 
 Defined results: vectors that are null or hold a null or non-finite component take no part, as queries or as
 candidates; a missing component at the end counts as 0; rows with the query's own vec_id are not its
-candidates; repeated rows are candidates of their own; ties go to the smaller vec_id, a null vec_id last; a
-score beyond 64 bits stands at the limit; an empty table gives no rows; other columns are not read.
+candidates; repeated rows are candidates of their own; different vectors under one vec_id are queries of their own, each
+with its ranks, and equal ones are one query; ties go to the smaller vec_id, a null vec_id last; a score beyond 64
+bits stands at the limit; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,8 +27,8 @@ from pyspark.sql import functions as F
 from ledgerflow.llm.common import materialize, table
 
 K, EVERY, SCALE = 10, 100, 1024
-SHARD_ROWS, BLOCK_ROWS, LEAF_ROWS = 4096, 1024, 48
-FOUND = "query_id long, vec_id long, score long"
+SHARD_ROWS, LEAF_ROWS = 16384, 48
+FOUND = "query_id long, qk long, vec_id long, score long"
 NULL_ID = np.iinfo(np.int64).max
 
 
@@ -47,11 +49,12 @@ def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"vec_id": pdf["vec_id"][keep], "asks": pdf["asks"][keep], "v": [m.tobytes() for m in made if m is not None]})
 
 
-def matrix(packed) -> np.ndarray:
+def matrix(packed, width: int | None = None) -> np.ndarray:
+    """Rows of one width; what lies beyond it meets only zeros."""
     parts = [np.frombuffer(b) for b in packed]
-    out = np.zeros((len(parts), max((len(p) for p in parts), default=0)))
+    out = np.zeros((len(parts), max((len(p) for p in parts), default=0) if width is None else width))
     for i, p in enumerate(parts):
-        out[i, : len(p)] = p
+        out[i, : len(p)] = p[: out.shape[1]]
     return out
 
 
@@ -143,46 +146,53 @@ def search(tree: BallTree, queries: np.ndarray, own: np.ndarray, least: np.ndarr
 
 
 def _searcher(k: int):
-    def run(shard: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        if not len(shard) or not len(block):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
-        all_vectors = matrix([*shard["v"], *block["q"]])
-        tree = BallTree(all_vectors[: len(shard)], shard["vec_id"].to_numpy(np.int64))
-        own = block["query_id"].to_numpy(np.int64)
-        least = block["least"].to_numpy(np.float64, na_value=-np.inf)
-        q, ids, scores = search(tree, all_vectors[len(shard) :], own, least, k)
-        return pd.DataFrame({"query_id": own[q], "vec_id": ids, "score": scores})
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shard, held, tree = None, [], None
+        for pdf in batches:
+            cuts = np.flatnonzero(np.diff(pdf["shard"].to_numpy(), prepend=-1)) if len(pdf) else []
+            for part in (pdf.iloc[a:b] for a, b in zip(cuts, [*cuts[1:], len(pdf)], strict=True)):
+                if part["shard"].iloc[0] != shard:
+                    shard, held, tree = part["shard"].iloc[0], [], None
+                asks = part["asks"].to_numpy(bool)
+                if not asks.all():
+                    held.append(part[~asks][["id", "v"]])
+                if not asks.any() or not held:
+                    continue
+                if tree is None:
+                    rows = pd.concat(held)
+                    tree = BallTree(matrix(rows["v"]), rows["id"].to_numpy(np.int64))
+                block = part[asks]
+                own, keys = block["id"].to_numpy(np.int64), block["qk"].to_numpy(np.int64)
+                q, ids, scores = search(tree, matrix(block["v"], tree.vectors.shape[1]), own, block["least"].to_numpy(np.float64, na_value=-np.inf), k)
+                yield pd.DataFrame({"query_id": own[q], "qk": keys[q], "vec_id": ids, "score": scores})
 
     return run
 
 
-def top_k(vectors: DataFrame, is_query, k: int = K, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def top_k(vectors: DataFrame, is_query, k: int = K, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the k best rows for each row where is_query holds."""
     asks = F.coalesce(is_query, F.lit(False)) & F.col("vec_id").isNotNull()
     # a null id would make pandas turn all ids into floating point
     rows = vectors.filter("embedding IS NOT NULL").select(F.coalesce("vec_id", F.lit(int(NULL_ID))).alias("vec_id"), asks.alias("asks"), "embedding")
     packed = materialize(rows.mapInPandas(_packed, "vec_id long, asks boolean, v binary"))
-    queries = packed.filter("asks").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")).dropDuplicates()
-    n_rows, n_queries = packed.count(), queries.count()
-    shards, blocks = max(1, -(-n_rows // shard_rows)), max(1, -(-n_queries // block_rows))
-    placed = packed.drop("asks").withColumn("shard", F.pmod(F.xxhash64("vec_id", "v", F.monotonically_increasing_id()), F.lit(shards)).cast("int"))
-    asked = queries.withColumn("block", F.pmod(F.xxhash64("q", "query_id"), F.lit(blocks)).cast("int"))
+    queries = packed.filter("asks").select("vec_id", "v").dropDuplicates().withColumn("qk", F.xxhash64("v"))
+    shards = max(1, -(-packed.count() // shard_rows))
+    place = F.pmod(F.xxhash64("vec_id", "v", F.monotonically_increasing_id()), F.lit(shards)).cast("int")
+    cols = ["shard", "asks", "id", "qk", "v", "least"]
+    none = F.lit(None).cast("double").alias("least")
+    placed = materialize(packed.select(place.alias("shard"), F.lit(False).alias("asks"), F.col("vec_id").alias("id"), F.lit(0).cast("long").alias("qk"), "v", none))
 
     def find(rows: DataFrame, ask: DataFrame) -> DataFrame:
-        return rows.groupBy("shard", "block").cogroup(ask.groupBy("shard", "block")).applyInPandas(_searcher(k), FOUND)
-
-    every_block = placed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    home = F.pmod(F.xxhash64("block", F.lit("home")), F.lit(shards)).cast("int")
-    first = asked.withColumn("shard", home).withColumn("least", F.lit(None).cast("double"))
-    homes = first.select("shard", "block").distinct()
-    # blocks x 1 pairs at most; only the home shards are read in the first pass
-    kth = find(every_block.join(homes, ["shard", "block"], "left_semi"), first)
-    kth = kth.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").cast("double").alias("least"))
-    kth = materialize(kth.filter(F.col("n") >= k).select("query_id", "least"))
-    bounded = asked.join(kth, "query_id", "left")
-    everywhere = bounded.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    found = find(every_block, everywhere)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        both = rows.select(cols).unionByName(ask.select(cols)).repartition("shard").sortWithinPartitions("shard", "asks")
+        return both.mapInPandas(_searcher(k), FOUND)
+
+    asked = queries.select(F.lit(True).alias("asks"), F.col("vec_id").alias("id"), "qk", "v")
+    first = asked.withColumn("shard", F.pmod(F.xxhash64("id", F.lit("home")), F.lit(shards)).cast("int")).withColumn("least", none)
+    kth = find(placed, first).groupBy("query_id", "qk").agg(F.count("*").alias("n"), F.min("score").cast("double").alias("least"))
+    kth = materialize(kth.filter(F.col("n") >= k).select(F.col("query_id").alias("id"), "qk", "least"))
+    everywhere = asked.join(kth, ["id", "qk"], "left").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    found = find(placed, everywhere)
+    best = Window.partitionBy("query_id", "qk").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     vec_id = F.when(F.col("vec_id") != int(NULL_ID), F.col("vec_id")).alias("vec_id")
     return ranked.select("query_id", "rank", vec_id, "score")
