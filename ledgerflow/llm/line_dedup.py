@@ -1,9 +1,9 @@
 """Line dedup by a deletion-neighbourhood join, in DataFrame operations only.
 
-A line is its words. A line of MIN_WORDS words or more is removed where an earlier line, by (doc_id, place),
-is equal to it or at most one word away (a word inserted, deleted or replaced), judged on the input; the earliest
-of each kind stays. Of shorter lines those of exact_words words or more go where an earlier line is equal; by default
-there are none such, and shorter lines stay.
+A line is its words. A line is removed where an earlier line, by (doc_id, place), is equal to it or, for lines of
+MIN_WORDS words or more, at most one word away (a word inserted, deleted or replaced), judged on the input; the
+earliest of each kind stays. Lines without words stay. One word is too much of a shorter line: it would make "Read more"
+and "Read this" one line.
 
 Lines are first reduced to distinct ones. Two lines within the bound share their first or their last half, so
 only lines that share a half with another go on. Each of these emits all its variants with one word left out,
@@ -13,7 +13,9 @@ what is to go, the edit distance is verified on the words, and no pairs inside a
 
 Defined results: a null text has no lines and stays null; rows that repeat a doc_id and its text keep the
 same lines; a null doc_id stands last; ties go by the text's hash; an empty table gives an empty result; other
-columns pass through. Lines are compared by 96-bit hashes before the words themselves.
+columns pass through. Lines are equal when 96 bits made of a 64-bit hash of their first and one of their last half are: of
+10^12 pairs of lines with one half in common one agrees by chance once in 10^7 runs, and of others one in 10^12 distinct
+lines once in 10^5. Lines one word apart are compared by the words themselves.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import discard, materialize, packed, table, unpacked
+from ledgerflow.llm.common import discard, hashed, materialize, packed, table, unpacked
 
 MIN_WORDS = 5
 LAST = (1 << 63) - 1
@@ -66,7 +68,8 @@ def occurrences(docs: DataFrame) -> DataFrame:
     words = lines.select("_d", "_th", "no", _words(F.col("line")).alias("w"))
     n = F.size("w")
     # no filter on n here: it would be pushed below and find the words twice
-    return words.select("_d", "_th", "no", F.xxhash64("w").alias("h"), F.hash("w").alias("h2"), n.alias("n"), *_halves(F.col("w"), n))
+    halves = words.select("_d", "_th", "no", n.alias("n"), *_halves(F.col("w"), n))
+    return halves.select("_d", "_th", "no", F.xxhash64("p0", "s0").alias("h"), F.hash("s0", "p0").alias("h2"), "n", *HALVES)
 
 
 def _within_one(a: Column, b: Column) -> Column:
@@ -87,12 +90,13 @@ def _within_one(a: Column, b: Column) -> Column:
 
 def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """h, h2 of distinct lines that have an earlier line within one word."""
+    rows = distinct.count()
     halves = distinct.select(*LINE, F.explode(F.array(*HALVES)).alias("k"))
     shared = halves.groupBy("k").agg(F.count("*").alias("c")).filter("c > 1").select("k")
-    wanted = halves.join(shared.hint("SHUFFLE_HASH"), "k", "left_semi").select(*LINE).distinct()
-    at = distinct.join(wanted.hint("SHUFFLE_HASH"), LINE, "left_semi").select(*LINE, "n", "place", "_d", "_th", "no")
+    wanted = halves.join(hashed(shared, rows), "k", "left_semi").select(*LINE).distinct()
+    at = distinct.join(hashed(wanted, rows), LINE, "left_semi").select(*LINE, "n", "place", "_d", "_th", "no")
     by_doc = at.groupBy(*DOC).agg(F.collect_list(F.struct("no", *LINE, "n", "place")).alias("at"))
-    texts = _keyed(docs.select("doc_id", "text")).select(*DOC, "text").join(by_doc.hint("SHUFFLE_HASH"), DOC)
+    texts = _keyed(docs.select("doc_id", "text")).select(*DOC, "text").join(hashed(by_doc, rows), DOC)
     texts = texts.select(F.split("text", "\n").alias("lines"), F.explode("at").alias("at"))
     found = texts.select("at.*", _words(F.element_at("lines", F.col("at.no") + 1)).alias("w"))
     found = materialize(found.drop("no").dropDuplicates(LINE))
@@ -129,23 +133,23 @@ def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     return near
 
 
-def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, exact_words: int | None = None) -> DataFrame:
+def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """_d, _th, gone: the places of the lines that go, by document."""
-    least = min_words if exact_words is None else min(exact_words, min_words)
-    occ = materialize(occurrences(docs)).filter(F.col("n") >= least).withColumn("place", _place())
+    occ = materialize(occurrences(docs)).filter("n > 0").withColumn("place", _place())
     # of lines of one place (rows that repeat a doc_id) any serves: they are equal
     where = [F.min("place").alias("place"), *[F.min_by(c, "place").alias(c) for c in ("_d", "_th", "no")]]
     distinct = materialize(occ.groupBy(*LINE).agg(*where, *[F.min(c).alias(c) for c in ("n", *HALVES)]))
     near = near_lines(docs, distinct.filter(F.col("n") >= min_words)).withColumn("near", F.lit(True))
     fate = distinct.select(*LINE, F.col("place").alias("first")).join(near, LINE, "left")
     gone = occ.select(*DOC, "no", "place", *LINE).join(fate, LINE).filter((F.col("first") < F.col("place")) | F.col("near"))
-    return gone.groupBy(*DOC).agg(F.sort_array(F.collect_set("no")).alias("gone"))
+    return materialize(gone.groupBy(*DOC).agg(F.sort_array(F.collect_set("no")).alias("gone")))
 
 
-def dedup(docs: DataFrame, min_words: int = MIN_WORDS, counts: tuple[str, str] | None = None, exact_words: int | None = None) -> DataFrame:
+def dedup(docs: DataFrame, min_words: int = MIN_WORDS, counts: tuple[str, str] | None = None) -> DataFrame:
     """The documents with their kept lines as text; counts names two more columns, for the lines and the removed ones."""
     own = packed(docs, "doc_id", "text")
-    joined = _keyed(own).join(removed_lines(own, min_words, exact_words), DOC, "left")
+    gone = removed_lines(own, min_words)
+    joined = _keyed(own).join(hashed(gone, gone.count()), DOC, "left")
     lines = F.split("text", "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
     kept = F.array_join(F.transform(stay, lambda i: F.element_at(lines, i + 1)), "\n")
@@ -158,8 +162,8 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS, counts: tuple[str, str] |
     return out.select(*unpacked(out, docs, "doc_id", "text"), *more)
 
 
-def query(spark: SparkSession, sf_dir: str, exact_words: int | None = None) -> DataFrame:
-    done = dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=("n_lines", "n_removed"), exact_words=exact_words)
+def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=("n_lines", "n_removed"))
     text = F.coalesce("text", F.lit(""))
     return done.select(
         "doc_id", "n_lines", "n_removed",
@@ -167,26 +171,21 @@ def query(spark: SparkSession, sf_dir: str, exact_words: int | None = None) -> D
     )
 
 
-def query_short(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As query(), and later copies of every line that has a word go too."""
-    return query(spark, sf_dir, exact_words=1)
-
-
 ORACLE_SQL = r"""
 WITH lines AS (
   SELECT doc_id, CAST(no - 1 AS INTEGER) AS no, line,
     list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM documents)
 ), uniq AS (
-  SELECT w, len(w) AS n, min((doc_id, no)) AS first FROM lines WHERE len(w) >= 5 GROUP BY w
+  SELECT w, len(w) AS n, min((doc_id, no)) AS first FROM lines WHERE len(w) >= 1 GROUP BY w
 ), variants AS (
-  SELECT w, n, first, i, list_concat(w[1:i - 1], w[i + 1:n]) AS v FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM uniq)
+  SELECT w, n, first, i, list_concat(w[1:i - 1], w[i + 1:n]) AS v FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM uniq WHERE n >= 5)
 ), near AS (
   SELECT w FROM (SELECT w, first, min(first) OVER (PARTITION BY v, i, n) AS e FROM variants) WHERE e < first
   UNION
-  SELECT y.w FROM variants y JOIN uniq x ON y.v = x.w WHERE x.first < y.first
+  SELECT y.w FROM variants y JOIN uniq x ON y.v = x.w WHERE x.n >= 5 AND x.first < y.first
   UNION
-  SELECT x.w FROM variants y JOIN uniq x ON y.v = x.w WHERE y.first < x.first
+  SELECT x.w FROM variants y JOIN uniq x ON y.v = x.w WHERE x.n >= 5 AND y.first < x.first
 ), judged AS (
   SELECT l.doc_id, l.no, l.line, coalesce(u.first < (l.doc_id, l.no), false) OR x.w IS NOT NULL AS gone
   FROM lines l LEFT JOIN uniq u ON u.w = l.w LEFT JOIN near x ON x.w = l.w
@@ -196,6 +195,3 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(gone AS INTEGER)) AS BIGINT) A
   sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
 """
-
-#: The word minimum holds for lines one word apart only.
-SHORT_SQL = ORACLE_SQL.replace("WHERE len(w) >= 5 GROUP BY w", "WHERE len(w) >= 1 GROUP BY w").replace("AS i FROM uniq)", "AS i FROM uniq WHERE n >= 5)").replace("JOIN uniq x ON y.v = x.w WHERE", "JOIN uniq x ON y.v = x.w WHERE x.n >= 5 AND")

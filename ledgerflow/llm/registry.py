@@ -15,7 +15,6 @@ QUERIES = {
     "op8_jaccard_join": jaccard_join.query,
     "op9_best_fit_packing": best_fit_packing.query,
     "op10_line_dedup": line_dedup.query,
-    "op10_line_dedup_short": line_dedup.query_short,
 }
 
 ORACLES = {
@@ -25,5 +24,4 @@ ORACLES = {
     "op7_quality_rules": quality_rules.ORACLE_SQL,
     "op8_jaccard_join": jaccard_join.ORACLE_SQL,
     "op10_line_dedup": line_dedup.ORACLE_SQL,
-    "op10_line_dedup_short": line_dedup.SHORT_SQL,
 }
