@@ -408,6 +408,9 @@ VARIANTS = {
     ),
     "ie_support_cycle": ("ie_support", _OF_CYCLE),
     "corporate_influence_cycle": ("corporate_influence", _OF_CYCLE),
+    "raw_file_transfers": ("transfer_edges", {}),
+    "raw_file_links": ("affiliation_edges", {}),
+    "raw_file_spending": ("ie_edges", {}),
     "raw_files": ("contrib_edges", {"gifts": PARTS["gifts"].replace(", amt FROM indiv", ", CAST(amt AS DECIMAL(14,2)) AS amt FROM indiv")}),
 }
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerflow.functions import classify, normalize
 from ledgerflow.operators import analysis, build, enrich, summaries, traverse
 from ledgerflow.plans.graph import Graph
-from ledgerflow.schemas import DONOR_SUMMARY_THRESHOLD, FIELDS
+from ledgerflow.schemas import DONOR_SUMMARY_THRESHOLD, FIELDS, raw_schema
 from ledgerflow.sources import fec
 from ledgerflow.sources.store import stage_path
 from ledgerflow.streaming import events
@@ -153,22 +153,48 @@ def committee_merge(g: Graph) -> DataFrame:
     return fec.latest_fields(rows.select("CMTE_ID", "CMTE_NM", "CMTE_TP", "cycle"), "CMTE_ID")
 
 
-def raw_files(g: Graph) -> DataFrame:
-    """From pipe-delimited files to edges: the gifts written as such files, read back, typed, deduplicated and grouped."""
-    spark = g.raw.cm.sparkSession
-    rows = g.raw.indiv.withColumn("SUB_ID", F.monotonically_increasing_id().cast("string")).withColumn("TRANSACTION_AMT", F.col("TRANSACTION_AMT").cast("decimal(14,2)").cast("string"))
-    rows = rows.withColumn("EMPLOYER", F.coalesce("EMPLOYER", F.lit("")))
-    line = F.concat_ws("|", *[F.col(c) if c in rows.columns else F.lit("") for c in FIELDS["indiv"]])
-    path = stage_path(spark, "raw-indiv")
+def _through_files(rows: DataFrame, kind: str) -> DataFrame:
+    """Rows written as pipe-delimited files, one folder for each cycle, then read back, typed and deduplicated."""
+    spark = rows.sparkSession
+    if "SUB_ID" in FIELDS[kind]:
+        rows = rows.withColumn("SUB_ID", F.monotonically_increasing_id().cast("string"))
+    if "TRANSACTION_AMT" in rows.columns:
+        rows = rows.withColumn("TRANSACTION_AMT", F.col("TRANSACTION_AMT").cast("decimal(14,2)"))
+    line = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) if c in rows.columns else F.lit("") for c in FIELDS[kind]])
+    path = stage_path(spark, f"raw-{kind}")
     rows.select("cycle", line.alias("value")).write.partitionBy("cycle").text(path)
     files = None
     for cycle in sorted(r["cycle"] for r in rows.select("cycle").distinct().collect()):
-        one = fec.read_text(spark, "indiv", f"{path}/cycle={cycle}", cycle)
+        one = fec.read_text(spark, kind, f"{path}/cycle={cycle}", cycle)
         files = one if files is None else files.unionByName(one)
-    indiv = fec.load(files, "indiv")
+    if files is None:
+        files = spark.createDataFrame([], raw_schema(kind)).withColumn("cycle", F.lit(""))
+    return fec.load(files, kind)
+
+
+def raw_files(g: Graph) -> DataFrame:
+    """From files of gifts to edges."""
+    indiv = _through_files(g.raw.indiv, "indiv")
     return build.contributed_to(indiv, build.donors(indiv), g.raw.cm)
 
 
+def raw_file_transfers(g: Graph) -> DataFrame:
+    """From files of committees and transfers, as givers and as takers report them, to edges."""
+    cm = _through_files(g.raw.cm.withColumn("cycle", F.lit(CYCLE)), "cm")
+    return build.transferred_to(_through_files(g.raw.pas2, "pas2"), _through_files(g.raw.oth, "oth"), cm)
+
+
+def raw_file_links(g: Graph) -> DataFrame:
+    """From files of candidates, committees and linkages to edges."""
+    cn, cm = (_through_files(df.withColumn("cycle", F.lit(CYCLE)), kind) for df, kind in ((g.raw.cn, "cn"), (g.raw.cm, "cm")))
+    return build.affiliated_with(_through_files(g.raw.ccl, "ccl"), cm, cn)
+
+
+def raw_file_spending(g: Graph) -> DataFrame:
+    """From files of independent spending to edges."""
+    return build.spent_on(_through_files(g.raw.ie, "pas2"), g.raw.cm, g.raw.cn)
+
+
 def _sums(df: DataFrame, *by: str) -> DataFrame:
     return df.groupBy(*by).agg(F.sum("total_amount").alias("total_amount"), F.sum("transaction_count").alias("transaction_count"), F.count("*").alias("edges"))
 
@@ -260,6 +286,9 @@ PLANS = {
     "resolve_member": resolve_member,
     "committee_merge": committee_merge,
     "raw_files": raw_files,
+    "raw_file_transfers": raw_file_transfers,
+    "raw_file_links": raw_file_links,
+    "raw_file_spending": raw_file_spending,
     "graph_stats": _stats,
     "skipped_edges": lambda g: build.skipped_contributions(g.gift_groups, g.base_donors),
 }
