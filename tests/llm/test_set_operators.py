@@ -75,6 +75,21 @@ def test_mixing_odd(spark):
     assert {r["target"] for r in source_mixing.mix(blank).collect()} == {0.0}
 
 
+def test_mixing_repeated_rows_and_null_ids(spark):
+    """Rows that repeat a document share what the mix takes of them, and a rerun keeps the same rows."""
+    texts = ["a b c d", "e f g", "h i", "j k l m n"]
+    rows = [(d, t, "en", s, n) for n, (d, t, s) in enumerate([(1, texts[0], "s0")] * 5 + [(None, texts[1], "s1")] * 3 + [(None, texts[2], "s1"), (2, texts[3], None), (3, None, "s2")])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    mixed = source_mixing.mix(df).collect()
+    assert len(mixed) == len(rows) and all(r["copies"] in (0, 1, 2) for r in mixed)
+    want = Counter()
+    for r in mixed:
+        want[r["doc_id"], r["size"]] += r["copies"]
+    once = sorted(map(repr, source_mixing.emit(df).collect()))
+    assert Counter((r["doc_id"], len(WORDS.findall(r["text"] or ""))) for r in source_mixing.emit(df).collect()) == +want
+    assert once == sorted(map(repr, source_mixing.emit(df.orderBy(F.desc("n_chars"))).collect()))
+
+
 # sharding
 
 
@@ -108,12 +123,65 @@ def test_sharding_odd(spark):
             check_shards(rows, texts)
 
 
-def test_sharding_keeps_pairs_whole(spark):
-    rows = label_sharding.assign(docs_of(spark, [f"t{i // 3}" for i in range(240)])).collect()
-    spread = defaultdict(set)
+def spread_of(rows, texts):
+    out = defaultdict(set)
     for r in rows:
-        spread[r["doc_id"] // 3].add(r["shard"])
-    assert sum(len(s) > 1 for s in spread.values()) <= 16
+        out[texts[r["doc_id"]]].add(r["shard"])
+    return out
+
+
+def test_sharding_null_and_repeated_ids(spark):
+    texts = ["a"] * 6 + ["b", None, ""] + [f"t{i}" for i in range(11)]
+    rows = label_sharding.assign(docs_of(spark, texts, ids=[None, 1, 1, 1, None, 2, 3, 4, None, *range(5, 16)])).collect()
+    assert Counter(r["doc_id"] for r in rows) == Counter([None, 1, 1, 1, None, 2, 3, 4, None, *range(5, 16)])
+    sizes = Counter(r["shard"] for r in rows)
+    assert sorted(sizes.values()) == [2] * 4 + [3] * 4
+    assert all(sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(n)) for s, n in sizes.items())
+
+
+def test_sharding_cuts_no_group_that_fits(spark):
+    for texts in (
+        [f"t{i // 3}" for i in range(240)], [f"t{i // 30}" for i in range(240)], [f"t{i // 30}" for i in range(120)] + [f"u{i // 2}" for i in range(120)],
+        [f"t{i // 15}" for i in range(150)] + [f"u{i}" for i in range(90)], [f"t{i // 2}" for i in range(1600)], [f"t{i // (2 + i % 5)}-{i % 5}" for i in range(2000)] + [f"u{i}" for i in range(40)],
+    ):
+        rows = label_sharding.assign(docs_of(spark, texts)).collect()
+        check_shards(rows, texts)
+        assert {len(s) for s in spread_of(rows, texts).values()} == {1}
+
+
+def test_sharding_divides_large_groups_among_few(spark):
+    texts = ["large"] * 100 + [f"t{i // 2}" for i in range(100)] + [f"u{i}" for i in range(40)]
+    rows = label_sharding.assign(docs_of(spark, texts)).collect()
+    check_shards(rows, texts)
+    spread = spread_of(rows, texts)
+    assert len(spread.pop("large")) == 4  # no assignment of 100 documents to shards of 30 touches fewer
+    assert {len(s) for s in spread.values()} == {1}
+
+
+def test_sharding_against_brute_force(spark):
+    """Small cases: as few groups are cut as the best of all assignments cuts."""
+    rnd = random.Random(2)
+
+    def least_cut(sizes, quota):
+        if not sizes:
+            return 0
+        best = 1 + least_cut(sizes[1:], quota)  # cut it: its documents then take what is left
+        for s in range(len(quota)):
+            if quota[s] >= sizes[0] and quota[s] not in quota[:s]:
+                best = min(best, least_cut(sizes[1:], [q - sizes[0] * (i == s) for i, q in enumerate(quota)]))
+        return best
+
+    worse = 0
+    for case in range(6):
+        sizes = sorted((rnd.randint(2, 9) for _ in range(7)), reverse=True)
+        texts = [f"g{g}" for g, n in enumerate(sizes) for _ in range(n)] + [f"u{i}" for i in range(rnd.randint(0, 10))]
+        rnd.shuffle(texts)
+        rows = label_sharding.assign(docs_of(spark, texts), shards=3).collect()
+        cut = sum(len(s) > 1 for s in spread_of(rows, texts).values())
+        quota = [len(texts) // 3 + (s < len(texts) % 3) for s in range(3)]
+        assert Counter(Counter(r["shard"] for r in rows).values()) == Counter(quota)
+        worse += cut - least_cut(sizes, quota)
+    assert 0 <= worse <= 3
 
 
 # Jaccard join
@@ -180,6 +248,49 @@ def test_jaccard_chains(spark):
     assert got == brute_components(list(enumerate(texts)))
 
 
+def test_jaccard_null_ids(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    df = docs_of(spark, [text, text + " x", text, "other words", "other words", None], ids=[None, 9, 4, None, None, None])
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.link(df).collect()), key=repr)
+    assert got == sorted([(None, 57, 4), (9, 58, 4), (4, 57, 4), (None, 1, None), (None, 1, None), (None, 0, None)], key=repr)
+    assert sorted(r["doc_id"] for r in jaccard_join.keep_one(df.filter("doc_id IS NOT NULL")).collect()) == [4]
+
+
+def test_jaccard_common_passage(spark):
+    """A passage that makes half of every text links nothing by itself, and hides no similar pair."""
+    rnd = random.Random(12)
+    word = lambda: f"w{rnd.randrange(10**6)}"
+    passage = [word() for _ in range(100)]
+    texts = []
+    for k in range(150):
+        own = [word() for _ in range(100)]
+        texts.append(" ".join(own + passage))
+        if k % 5 == 0:
+            texts.append(" ".join(own[1:] + passage + [word()]))
+            texts.append(edited(rnd, own + passage, 2))
+    rnd.shuffle(texts)
+    got = sorted(map(tuple, jaccard_join.link(docs_of(spark, texts)).collect()))
+    assert got == brute_components([*enumerate(texts)])
+
+def test_schemes_lose_no_pair():
+    """Sets at the very limit share a signature, whatever their size."""
+    rnd = np.random.default_rng(9)
+    for percent in (80, 85):
+        for size in (2, 4, 5, 6, 7, 9, 11, 13, 17, 21, 26, 33, 48, 77, 150, 400, 1500):
+            for _ in range(12):
+                apart = size * (100 - percent) // percent  # the larger set may hold so many more, or both differ in the middle
+                common = rnd.integers(0, 2**63, size).astype(np.uint64)
+                other = np.concatenate([common, rnd.integers(0, 2**63, rnd.integers(0, apart + 1)).astype(np.uint64)])
+                swap = int((len(common) + len(other)) * (100 - percent) / (100 + percent)) - (len(other) - len(common))
+                if swap >= 2:
+                    other[: swap // 2] = rnd.integers(0, 2**63, swap // 2).astype(np.uint64)
+                a, b = np.unique(common), np.unique(other)
+                both = len(np.intersect1d(a, b))
+                if 100 * both < percent * (len(a) + len(b) - both) or np.array_equal(a, b):
+                    continue
+                assert set(jaccard_join.signatures(a, percent).tolist()) & set(jaccard_join.signatures(b, percent).tolist())
+
+
 def test_jaccard_odd(spark):
     texts = odd_texts()
     df = docs_of(spark, texts)
@@ -230,6 +341,22 @@ def test_jaccard_tables(spark):
 # pipeline
 
 
+def test_stages_on_odd_input(spark):
+    """Nulls in any column, odd and long texts, repeated rows, clashing names and no rows at all."""
+    texts = [*odd_texts(), *odd_texts()[4:8], " ".join(f"long{i}" for i in range(30_000))]
+    df = docs_of(spark, texts, ids=[None if i in (4, 17) else i // 2 * 2 for i in range(len(texts))])
+    df = clashing(df).withColumns({"_lines_before": F.lit("x"), "_Lines_Removed": F.lit(None).cast("string"), "n_chars": F.when(F.col("n_chars") > 10, F.col("n_chars"))})
+    ids = set(r["doc_id"] for r in df.collect())
+    for name, stage in corpus_pipeline.STAGES:
+        for docs in (df, df.limit(0), df.select("doc_id", "text", "source")):
+            out = stage(spark, docs, D)
+            rows = out.collect()
+            if name != "best-fit packing":
+                assert out.columns == docs.columns
+            assert {r["doc_id"] for r in rows} <= ids
+            assert bool(rows) == (docs is not None and docs.count() > 0)
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{D}/documents.parquet")
     columns = docs.columns
@@ -263,5 +390,9 @@ def test_pipeline(spark):
         sizes[r["doc_id"]] += r["length"]
     whole = {d: len(token_ids(left[d])) for d in single}
     assert {d: sizes[d] for d in single} == whole
+    ids = defaultdict(bytes)
+    for r in sorted(rows, key=lambda r: (r["doc_id"], r["piece"])):
+        ids[r["doc_id"]] += r["ids"]
+    assert all(ids[d] == np.array(token_ids(left[d]), "<u4").tobytes() for d in single)
     total = sum(r["length"] for r in rows)
     assert len({r["sequence_id"] for r in rows}) <= -(-total // 1024) * 1.02 + 4
