@@ -11,7 +11,6 @@ from ledgerflow.sources.store import shared_folder
 
 #: A word is a maximal run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
-SPACE = r"[\x20\x09-\x0D]+"
 
 
 def release() -> None:

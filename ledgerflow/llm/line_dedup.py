@@ -150,7 +150,9 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS, counts: tuple[str, str] |
     own = packed(docs, "doc_id", "text")
     gone = removed_lines(own, min_words)
     joined = _keyed(own).join(hashed(gone, gone.count()), DOC, "left")
-    lines = F.split("text", "\n")
+    # a column of its own: inside the function below, an expression would be split anew for every line
+    joined = joined.withColumn("_lines", F.split("text", "\n"))
+    lines = F.col("_lines")
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
     kept = F.array_join(F.transform(stay, lambda i: F.element_at(lines, i + 1)), "\n")
     n_lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long")
