@@ -13,7 +13,7 @@ cut articles. An article loses its boilerplate blocks; a page without an article
 blocks that no mark excludes. Pages with the same article, or the same unmarked text where there is none, count as one
 page, whatever menu stands around them, so copies of a page keep their text.
 
-A host's streams are dealt into chunks of bounded bytes by their hash, so a host with a third of all pages is spread
+A host's streams are dealt into chunks of bounded pages and bytes by their hash, so a host with a third of all pages is spread
 over many tasks; a chunk sends each string once with its pages, and the chunks' page counts are added up, which
 makes the result that of one suffix array.
 
@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from ledgerflow.llm.common import materialize, release, table
 from ledgerflow.llm.shingles import mix64, word_hashes
 
-RUN, CHUNK_BYTES = 8, 1 << 22
+RUN, CHUNK_BYTES, CHUNK_PAGES = 8, 1 << 22, 500
 #: A string is boilerplate on this share of a host's distinct pages, and on so many of them at least.
 SHARE, MIN_PAGES = 0.5, 3
 
@@ -329,7 +329,7 @@ def extract(pages: DataFrame, chunk_bytes: int = CHUNK_BYTES, share: float = SHA
     one = parsed.select("host", "page", "texts", "marks", size.alias("bytes"), F.xxhash64("texts").alias("h"))
     one = one.groupBy("host", "page").agg(F.min_by(F.struct("texts", "marks", "bytes"), "h").alias("one")).select("host", "page", "one.*")
     hosts = one.groupBy("host").agg(F.count("*").alias("n_pages"), F.sum("bytes").alias("bytes"))
-    hosts = hosts.select("host", "n_pages", (1 + F.floor(F.col("bytes") / chunk_bytes)).alias("chunks"))
+    hosts = hosts.select("host", "n_pages", (1 + F.floor(F.greatest(F.col("bytes") / chunk_bytes, F.col("n_pages") / CHUNK_PAGES))).alias("chunks"))
     hosts = materialize(hosts)
     streams = one.join(hosts, "host").withColumn("chunk", F.pmod(F.xxhash64("page"), F.col("chunks")))
     counts = streams.select("host", "chunk", "texts", "marks").groupBy("host", "chunk").applyInPandas(_host_array, "host long, gram long, n long")
