@@ -367,6 +367,15 @@ BODIES = {
     "list_members": "SELECT bioguide, first, last, state, party, candidate_ids FROM mapping",
     "resolve_member": "SELECT first || ' ' || last AS name, candidate_ids, committee_ids FROM mapping WHERE contains(upper(first || ' ' || last), 'FIRST1 LAST1') OR contains('FIRST1 LAST1', upper(last)) ORDER BY bioguide LIMIT 1",
     "committee_merge": "SELECT cm.CMTE_ID, CMTE_NM || ' ' || max(cycle) AS CMTE_NM, CMTE_TP FROM cm JOIN affiliated a ON a.cmte_id = cm.CMTE_ID GROUP BY cm.CMTE_ID, CMTE_NM, CMTE_TP",
+    "transaction_types": "SELECT cycle, CASE l_returnflag WHEN 'A' THEN '24A' WHEN 'R' THEN '24E' ELSE '24K' END AS TRANSACTION_TP, count(*) AS n FROM joined GROUP BY ALL",
+    "filtered_transfers": """
+        SELECT cycle, count(*) FILTER (entity IN ('PAC', 'COM', 'PTY', 'ORG')) AS kept, count(*) FILTER (entity NOT IN ('PAC', 'COM', 'PTY', 'ORG')) AS filtered_out
+        FROM moves WHERE l_orderkey % 3 = 0 GROUP BY cycle""",
+    "merged_committees": """
+        WITH keyed AS (SELECT *, CAST(substr(CMTE_ID, 2) AS INTEGER) % 3 AS k FROM cm)
+        SELECT mode, CMTE_ID, CASE WHEN k = 1 OR (mode = 'ignore' AND k = 2) THEN CMTE_NM ELSE upper(CMTE_NM) END AS CMTE_NM,
+          CASE WHEN k = 1 OR (mode <> 'replace' AND k = 2) THEN CMTE_TP END AS CMTE_TP
+        FROM keyed CROSS JOIN (SELECT unnest(['ignore', 'replace', 'update']) AS mode)""",
     "event_windows": """
         SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n, CAST(round(sum(CAST(value AS DECIMAL(18,6))), 2) AS DOUBLE) AS value
         FROM events GROUP BY ALL""",
@@ -408,6 +417,7 @@ VARIANTS = {
     ),
     "ie_support_cycle": ("ie_support", _OF_CYCLE),
     "corporate_influence_cycle": ("corporate_influence", _OF_CYCLE),
+    "restored_spending": ("ie_edges", {}),
     "raw_file_transfers": ("transfer_edges", {}),
     "raw_file_links": ("affiliation_edges", {}),
     "raw_file_spending": ("ie_edges", {}),

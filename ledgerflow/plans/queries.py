@@ -9,7 +9,7 @@ from ledgerflow.functions import classify, normalize
 from ledgerflow.operators import analysis, build, enrich, summaries, traverse
 from ledgerflow.plans.graph import Graph
 from ledgerflow.schemas import DONOR_SUMMARY_THRESHOLD, FIELDS, raw_schema
-from ledgerflow.sources import fec
+from ledgerflow.sources import fec, store
 from ledgerflow.sources.store import stage_path
 from ledgerflow.streaming import events
 
@@ -195,6 +195,26 @@ def raw_file_spending(g: Graph) -> DataFrame:
     return build.spent_on(_through_files(g.raw.ie, "pas2"), g.raw.cm, g.raw.cn)
 
 
+def restored_spending(g: Graph) -> DataFrame:
+    """Independent spending after a dump as gzip JSON and its restore."""
+    spark = g.raw.cm.sparkSession
+    root = stage_path(spark, "dump")
+    store.dump(g.spent, root, "aggregation", "spent_on")
+    return store.restore(spark, root, "aggregation", "spent_on")
+
+
+def merged_committees(g: Graph) -> DataFrame:
+    """Two overlapping sets of committees under each import mode that lets keys repeat."""
+    k = F.substring("CMTE_ID", 2, 8).cast("int")
+    old = g.raw.cm.filter(k % 3 != 0).select("CMTE_ID", "CMTE_NM", "CMTE_TP")
+    new = g.raw.cm.filter(k % 3 != 1).select("CMTE_ID", F.upper("CMTE_NM").alias("CMTE_NM"), F.lit(None).cast("string").alias("CMTE_TP"))
+    out = None
+    for mode in ("ignore", "replace", "update"):
+        one = store.merge(old, new, ["CMTE_ID"], mode).select(F.lit(mode).alias("mode"), "CMTE_ID", "CMTE_NM", "CMTE_TP")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def _sums(df: DataFrame, *by: str) -> DataFrame:
     return df.groupBy(*by).agg(F.sum("total_amount").alias("total_amount"), F.sum("transaction_count").alias("transaction_count"), F.count("*").alias("edges"))
 
@@ -285,6 +305,10 @@ PLANS = {
     "list_members": list_members,
     "resolve_member": resolve_member,
     "committee_merge": committee_merge,
+    "transaction_types": lambda g: fec.histogram(g.raw.ie, "TRANSACTION_TP"),
+    "filtered_transfers": lambda g: fec.filtered_share(g.raw.oth),
+    "restored_spending": restored_spending,
+    "merged_committees": merged_committees,
     "raw_files": raw_files,
     "raw_file_transfers": raw_file_transfers,
     "raw_file_links": raw_file_links,
