@@ -323,20 +323,21 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFra
 def components(links: DataFrame) -> DataFrame:
     """fp, label: label is the least fp of the component, by alternating large-star and small-star steps."""
     edges = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
+    before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # the least neighbours are written before they are joined: adaptive execution then splits a hub's rows
+        least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = materialize(large)
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
+        down = materialize(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(down, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         small = materialize(small.filter("u <> v").distinct())
-        same = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        still = same(small) == same(edges)
-        discard(edges, large)
-        if still:
+        now = small.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        discard(edges, least, large, down)
+        if now == before:
             return small.groupBy(F.col("u").alias("fp")).agg(F.min("v").alias("label"))
-        edges = small
+        edges, before = small, now
 
 
 def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -369,7 +370,7 @@ def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> Dat
     named = slim.select("doc_id", "n", "fp").join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     named = materialize(named)
     discard(slim, shared, attrs, tested, sets, links, open_, labels)
-    ids = named.filter("n > 0").groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    ids = materialize(named.filter("n > 0").groupBy("label").agg(F.min("doc_id").alias("component_id")))
     out = named.filter("n > 0").join(ids, "label").select("doc_id", "n", "component_id")
     alone = named.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return out.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
