@@ -39,7 +39,7 @@ from ledgerflow.llm.common import discard, materialize, release, table
 from ledgerflow.llm.shingles import mix64
 
 LENGTH, MINIMISER, SHALLOW = 50, 20, 16
-BUCKET_RUNS, BATCH_BYTES, HOT_RUNS = 500_000, 6_000_000, 1 << 16
+BUCKET_RUNS, BATCH_BYTES, HOT_RUNS = 500_000, 6_000_000, 8192
 LAST = (1 << 63) - 1
 ANSWER = np.dtype([("run", "<u8"), ("mask", "<u4")])
 PIECE = np.dtype([("run", "<u8"), ("doc", "<i8"), ("first", "u1"), ("windows", "u1"), ("bytes", "u1", (2 * LENGTH - MINIMISER,))])
