@@ -346,14 +346,16 @@ def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> Dat
     total = slim.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, int(0.6 * total) // BUCKET_ROWS + 1)
     shared = materialize(members(docs, buckets, shingle, percent))
-    attrs = materialize(slim.groupBy("fp").agg(*[F.max(c).alias(c) for c in ("n", *(f"k{i}" for i in range(SKETCH)))]))
+    # one row for each set, so that copies of a text meet in no later join
+    entities = materialize(slim.groupBy("fp").agg(F.min("doc_id").alias("doc"), *[F.max(c).alias(c) for c in ("n", *(f"k{i}" for i in range(SKETCH)))]))
+    attrs = entities.drop("doc")
     pre = lambda df, p, *keys: df.select(*[F.col(c).alias(c if c in keys else p + c) for c in df.columns])
     # one set of each signature against the others
     centre = shared.groupBy("sig").agg(F.min("fp").alias("fp")).join(attrs, "fp")
     others = shared.select("sig", "fp").join(attrs, "fp")
     star = pre(others, "x", "sig").join(pre(centre, "y", "sig"), "sig").filter((F.col("xfp") != F.col("yfp")) & may_be_similar("x", "y", percent))
     tested = materialize(star.select(F.least("xfp", "yfp").alias("a"), F.greatest("xfp", "yfp").alias("b")).distinct())
-    wanted = slim.join(shared.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.min("doc_id").alias("doc"))
+    wanted = entities.select("fp", "doc").join(shared.select("fp").distinct(), "fp", "left_semi")
     texts = docs.select("doc_id", "text").join(wanted.select("doc"), F.col("doc_id").eqNullSafe(F.col("doc")), "left_semi")
     sets = texts.mapInArrow(_set_rows(shingle), "fp long, s binary").dropDuplicates(["fp"])
     sets = materialize(sets.join(wanted.select("fp"), "fp", "left_semi"))
@@ -369,7 +371,7 @@ def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> Dat
     labels = materialize(components(links.unionByName(verify(cross, sets, percent))))
     named = slim.select("doc_id", "n", "fp").join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     named = materialize(named)
-    discard(slim, shared, attrs, tested, sets, links, open_, labels)
+    discard(slim, shared, entities, tested, sets, links, open_, labels)
     ids = materialize(named.filter("n > 0").groupBy("label").agg(F.min("doc_id").alias("component_id")))
     out = named.filter("n > 0").join(ids, "label").select("doc_id", "n", "component_id")
     alone = named.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
