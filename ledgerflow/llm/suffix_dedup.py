@@ -8,7 +8,7 @@ their first LENGTH bytes, so equal strings meet, and neighbouring suffixes with
    than once are sent once, for the least document; the other documents know already that they are covered.
 2. In a bucket, equal runs give the documents after the first their answer. Where one minimiser has different
    runs, their bytes are asked for: only these suffixes have to be sorted. Where it has more than HOT_RUNS (the edges of a
-   passage that very many documents share), its suffixes go on one by one, dealt out by their first bytes as well.
+   passage that very many documents share), its suffixes go on one by one, dealt out by all their bytes.
 3. Those are sorted deep-shallow to the depth LENGTH: multikey quicksort, eight bytes a step, to SHALLOW bytes, then blind
    tries order the groups that are still equal, branching at the first byte in which members differ and skipping all
    before it. Equal neighbours in the order are equal strings, and the least document of each keeps its own.
@@ -168,6 +168,16 @@ def _bucket(pdf: pd.DataFrame, parts: int, hot_runs: int) -> pd.DataFrame:
     return pd.DataFrame({"part": [*ids, *ids2], "kind": [1] * len(ids) + [2] * len(ids2), "blob": [*blobs, *blobs2]})
 
 
+def _row_hash(rows: np.ndarray) -> np.ndarray:
+    """A hash of each row of bytes."""
+    words = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), np.uint8)
+    words[:, : rows.shape[1]] = rows
+    out = np.zeros(len(rows), np.uint64)
+    for column in words.view("<u8").T:
+        out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + column)
+    return out
+
+
 def _cut_out(padded: np.ndarray, doc: int, runs: np.ndarray, start: np.ndarray, first, n: np.ndarray, length: int) -> np.ndarray:
     """Records of n suffixes each that begin at start, the first of which is the run's suffix number `first`."""
     rec = np.zeros(len(runs), PIECE)
@@ -188,7 +198,7 @@ def _pieces(buckets: int, length: int, k: int):
                 asks = np.frombuffer(asked.as_py(), ANSWER)
                 want, hot = np.unique(asks["run"]), np.unique(asks["run"][asks["mask"] > 0])
                 done: set[int] = set()
-                for _, part, (lo, hi, at, mini, whole) in text_runs(data, length, k, tabs):
+                for _, part, (lo, hi, _, mini, whole) in text_runs(data, length, k, tabs):
                     hit = np.flatnonzero(np.isin(whole, want))
                     hit = hit[[int(w) not in done and not done.add(int(w)) for w in whole[hit]]] if len(hit) else hit
                     padded = np.concatenate([part, np.zeros(PIECE["bytes"].shape[0], np.uint8)])
@@ -201,9 +211,7 @@ def _pieces(buckets: int, length: int, k: int):
                     first = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
                     rec = _cut_out(padded, d, whole[own], lo[own] + first, first, np.ones(len(own), np.int64), length)
                     recs.append(rec)
-                    # equal suffixes have their minimiser at one place and the same first bytes
-                    begin = np.ascontiguousarray(rec["bytes"][:, :8]).view("<u8")[:, 0] if len(rec) else np.zeros(0, np.uint64)
-                    tos.append(mix64(mini[own] ^ mix64(begin + (at[own] - lo[own] - first).astype(np.uint64))) % np.uint64(buckets))
+                    tos.append(_row_hash(rec["bytes"][:, :length]) % np.uint64(buckets))
             if recs:
                 ids, blobs = _by(np.concatenate(tos).astype(np.int64), np.concatenate(recs))
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "blob"])
