@@ -4,6 +4,7 @@ A recurrence that keeps a row for every pair of vertices joins each pair with al
 in rows, if edges are many. Here a task gets the pairs of some start vertices as lists, and beside them one list of edges for
 each vertex that these pairs reach; it multiplies them in memory, as matrices over the vertices that occur. So no row is
 made for a walk. Vertices are numbered so that linked ones lie near each other: the starts of a block then share most edge lists.
+Sums of money are exact: amounts and factors are whole numbers, cut into limbs whose products cannot exceed an integer.
 """
 
 from __future__ import annotations
@@ -138,3 +139,148 @@ def hop_levels(edges: DataFrame, most: int | None) -> tuple[DataFrame, DataFrame
         level = checkpointed(left.groupBy("b").cogroup(need.groupBy("for")).applyInArrow(next_hops(k), HOPS))
         seen = seen.unionByName(level)
     return ids, seen
+
+
+#: Bits of a limb: products of two, summed over a matrix's columns in memory, stay below 2 ** 53.
+LIMB, DEEP = 20, 4096
+#: Decimal places of an amount and of a factor (schemas.PART and FACTOR).
+PLACES, FACTOR_PLACES = 4, 12
+#: The share of cells that are not empty from which a matrix is multiplied as a whole.
+DENSE = 0.02
+
+
+def _limb(a: np.ndarray, i: int) -> np.ndarray:
+    """The highest one takes the sign, and what is left."""
+    return (a >> (LIMB * i) & ((1 << LIMB) - 1) if i < 2 else a >> (LIMB * i)).astype(np.float64)
+
+
+def exact_product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The product of two matrices of whole numbers below 2 ** 60, with DEEP columns at most, as Python's integers."""
+    total = np.zeros((a.shape[0], b.shape[1]), object)
+    for i in range(3):
+        x = _limb(a, i)
+        for j in range(3) if x.any() else ():
+            y = _limb(b, j)
+            if y.any():
+                total += (x @ y).astype(np.int64).astype(object) * (1 << LIMB * (i + j))
+    return total
+
+
+def units(m: np.ndarray) -> np.ndarray:
+    """Factors as whole numbers of their last place, rounded half up."""
+    if len(m) and not np.abs(m).max() < 1e6:
+        raise ValueError("a factor is too large for its decimal")
+    return np.floor(m * 10.0**FACTOR_PLACES + 0.5).astype(np.int64)
+
+
+def money(total: int) -> str:
+    """A product of an amount and a factor as a decimal's text."""
+    places = PLACES + FACTOR_PLACES
+    text = str(abs(total)).rjust(places + 1, "0")
+    return f"{'-' if total < 0 else ''}{text[:-places]}.{text[-places:]}"
+
+
+def pushed(last: bool):
+    """What reaches the targets of a block by kind, over a front of factors; unless last, also the front one edge further.
+
+    left: b, t, v (the front's vertices), m (their factors); right: for (the block), m (a vertex), kinds, ws (what came to it, in
+    the amount's last place), next, share (the vertices behind it, and what each hands on).
+    """
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        t, n = column(left, "t"), left.num_rows
+        order = np.argsort(column(right, "m"), kind="stable")
+        mids, place = column(right, "m")[order], np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        v, row = lists(left, "v")
+        at = np.minimum(np.searchsorted(mids, v), max(0, len(mids) - 1))
+        some = mids[at] == v if len(mids) else np.zeros(len(v), bool)
+        m, row, at = lists(left, "m")[0][some], row[some], at[some]
+        names = right.column("kinds").combine_chunks()
+        names = names.chunk(0) if isinstance(names, pa.ChunkedArray) and names.num_chunks else names
+        coded = names.flatten().dictionary_encode(null_encoding="encode") if len(mids) else None
+        kinds = coded.dictionary.to_pylist() if coded is not None else []
+        w, w_row = lists(right, "ws")
+        amounts, known = np.zeros((len(mids), len(kinds)), np.int64), np.zeros((len(mids), len(kinds)), np.float32)
+        if len(w):
+            code = coded.indices.to_numpy(zero_copy_only=False)
+            amounts[place[w_row], code], known[place[w_row], code] = w, 1
+
+        def fronts():
+            for a in range(0, len(mids), DEEP):
+                here = (at >= a) & (at < a + DEEP)
+                shape = n, min(DEEP, len(mids) - a)
+                f, p = np.zeros(shape), np.zeros(shape, np.float32)
+                np.add.at(f, (row[here], at[here] - a), m[here])
+                p[row[here], at[here] - a] = 1
+                yield a, f, p
+
+        total, reached = np.zeros((n, len(kinds)), object), np.zeros((n, len(kinds)), bool)
+        for a, f, p in fronts():
+            total += exact_product(units(f), amounts[a : a + DEEP])
+            reached |= p @ known[a : a + DEEP] > 0
+        r, c = np.nonzero(reached)
+        out_r, out_v, out_m = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        if not last:
+            ends, mid = lists(right, "next")
+            share = lists(right, "share")[0]
+            mid = place[mid] if len(mid) else mid
+            targets, col = np.unique(ends, return_inverse=True)
+            for x in range(0, len(targets), DEEP):
+                own = targets[x : x + DEEP]
+                out, some = np.zeros((n, len(own))), np.zeros((n, len(own)), np.float32)
+                for a, f, p in fronts():
+                    here = np.nonzero((col >= x) & (col < x + DEEP) & (mid >= a) & (mid < a + DEEP))[0]
+                    i, j, s = mid[here] - a, col[here] - x, share[here]
+                    if len(here) >= DENSE * f.shape[1] * len(own):
+                        step, there = np.zeros((f.shape[1], len(own))), np.zeros((f.shape[1], len(own)), np.float32)
+                        np.add.at(step, (i, j), s)
+                        there[i, j] = 1
+                        out += f @ step
+                        some += p @ there
+                    else:
+                        for k in range(len(here)):
+                            out[:, j[k]] += f[:, i[k]] * s[k]
+                            some[:, j[k]] += p[:, i[k]]
+                i, j = np.nonzero(some)
+                out_r.append(i)
+                out_v.append(own[j])
+                out_m.append(out[i, j])
+        rows, order = np.concatenate(out_r), np.argsort(np.concatenate(out_r), kind="stable")
+        kept, row = np.unique(rows[order], return_inverse=True)
+        b = int(left.column("b")[0].as_py()) if n else 0
+        sums = [np.full(len(r), b), t[r], [kinds[k] for k in c], [money(total[i, k]) for i, k in zip(r, c, strict=True)]]
+        there = [pa.array(x, k) for x, k in zip(sums, (pa.int32(), pa.int32(), pa.string(), pa.string()), strict=True)]
+        there += [pa.nulls(len(r), pa.list_(pa.int32())), pa.nulls(len(r), pa.list_(pa.float64()))]
+        front = [pa.array(np.full(len(kept), b), pa.int32()), pa.array(t[kept], pa.int32()), pa.nulls(len(kept), pa.string()), pa.nulls(len(kept), pa.string())]
+        front += [packed_lists(row, np.concatenate(out_v)[order], len(kept), pa.int32()), packed_lists(row, np.concatenate(out_m)[order], len(kept), pa.float64())]
+        names = ["b", "t", "kind", "amount", "v", "m"]
+        return pa.concat_tables([pa.Table.from_arrays(there, names), pa.Table.from_arrays(front, names)])
+
+    return run
+
+
+def inflow_levels(weights: DataFrame, came: DataFrame, most: int) -> DataFrame | None:
+    """target, kind, hops, amount for two hops and more; weights: src, dst, share (null where the source hands nothing on);
+    came: cmte_id, kind, w."""
+    own = came.select(F.col("cmte_id").alias("src"), F.col("cmte_id").alias("dst")).distinct()
+    ids = checkpointed(numbered(weights.select("src", "dst").unionByName(own)))
+    s, d = ids.select(F.col("v").alias("src"), F.col("i").alias("s")), ids.select(F.col("v").alias("dst"), F.col("i").alias("d"))
+    edges = weights.filter("share IS NOT NULL").join(s, "src").join(d, "dst").groupBy("d").agg(F.array_sort(F.collect_list(F.struct("s", "share"))).alias("l"))
+    front = checkpointed(edges.select(block("d"), F.col("d").alias("t"), F.col("l.s").alias("v"), F.col("l.share").alias("m")).repartition("b"))
+    sums = came.join(ids.select(F.col("v").alias("cmte_id"), F.col("i").alias("m")), "cmte_id")
+    sums = sums.groupBy("m").agg(F.collect_list(F.struct("kind", (F.col("w") * 10**PLACES).cast("long").alias("w"))).alias("l"))
+    behind = front.select(F.col("t").alias("m"), F.col("v").alias("next"), F.col("m").alias("share"))
+    known = checkpointed(sums.select("m", F.col("l.kind").alias("kinds"), F.col("l.w").alias("ws")).join(behind, "m", "full"))
+    found = None
+    for hops in range(2, most + 1):
+        need = front.select(F.col("b").alias("for"), F.explode("v").alias("m")).distinct().join(known, "m")
+        need = need.select("for", "m", "kinds", "ws", *(["next", "share"] if hops < most else []))
+        both = front.select("b", "t", "v", "m").groupBy("b").cogroup(need.groupBy("for"))
+        made = checkpointed(both.applyInArrow(pushed(hops == most), "b int, t int, kind string, amount string, v array<int>, m array<double>"))
+        part = made.filter("v IS NULL").select("t", "kind", F.lit(hops).cast("long").alias("hops"), F.col("amount").cast("decimal(38,16)").alias("amount"))
+        found = part if found is None else found.unionByName(part)
+        front = made.filter("v IS NOT NULL")
+    if found is None:
+        return None
+    return found.join(ids.select(F.col("v").alias("target"), F.col("i").alias("t")), "t").select("target", "kind", "hops", "amount")

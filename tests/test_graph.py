@@ -2,6 +2,7 @@
 
 from decimal import Decimal
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -259,6 +260,39 @@ def test_whole_graph_inflow(spark):
     assert {(r["target"], r["kind"], r["hops"]): r["amount"] for r in out.collect()} == want
 
 
+def test_inflow_of_blocks(spark, monkeypatch):
+    """Small blocks, and sums of large amounts to the last place, against plain sums over all walks of three edges."""
+    monkeypatch.setattr(blocks, "BLOCK", 7)
+    moves = _random_moves(12)
+    names = sorted({x for m in moves for x in m[:2]})
+    c = _committees(spark, [(x, "unknown" if i % 3 else "corporation", 1000.0 * (i % 5)) for i, x in enumerate(names)])
+    gifts = [(f"d{i}", x, 10**12 + 7 * i) for i, x in enumerate(names) if i % 4]
+    weights = traverse.pair_weights(_moves(spark, moves), c)
+    got = traverse.inflow_by_kind(weights, traverse.all_gifts(_gifts(spark, gifts), _donors(spark, [(d, None) for d, _, _ in gifts])))
+    kind = {x: "unknown" if i % 3 else "corporation" for i, x in enumerate(names)}
+    receipts = {x: 1000.0 * (i % 5) for i, x in enumerate(names)}
+    came = {}
+    for x, k, w in [(b, kind[a], w) for a, b, w in moves] + [(x, "donor", w) for _, x, w in gifts]:
+        came[x, k] = came.get((x, k), 0) + w
+    front, want = {(x, x): 1.0 for x, _ in came}, {}
+    for hops in (1, 2, 3):
+        for (t, v), m in front.items():
+            for (x, k), w in came.items():
+                if x == v:
+                    want[t, k, hops] = want.get((t, k, hops), 0) + w * Decimal(round(m, 12)).quantize(Decimal("1e-12"))
+        step = {}
+        for (t, v), m in front.items():
+            for a, b, w in moves:
+                if b == v and receipts[a]:
+                    step[t, a] = step.get((t, a), 0.0) + m * (w / receipts[a])
+        front = step
+    rows = {(r["target"], r["kind"], r["hops"]): r["amount"] for r in got.collect()}
+    assert rows.keys() == want.keys() and all(abs(rows[k] - want[k]) <= Decimal("0.01") for k in want)
+    big = np.array([[2**59 + 1, -(2**59) - 3]]), np.array([[2**59 - 5], [12345]])
+    assert blocks.exact_product(*big)[0, 0] == (2**59 + 1) * (2**59 - 5) - (2**59 + 3) * 12345
+    assert blocks.money(-5) == "-0.0000000000000005"
+
+
 def test_members(spark):
     m = spark.createDataFrame(
         [("B1", ("Ann", "Lee"), ["H1", "H9"], [("rep", "NY", "D", 1), ("sen", "NY", "D", None)]), ("B2", ("Bob", "Ray"), [], [])],
