@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerflow.schemas import FACTOR, PART
 from ledgerflow.sources.store import checkpointed
 
 #: Start vertices of a block; a larger one sends edge lists less often, and holds more pairs in memory.
@@ -284,3 +285,92 @@ def inflow_levels(weights: DataFrame, came: DataFrame, most: int) -> DataFrame |
     if found is None:
         return None
     return found.join(ids.select(F.col("v").alias("target"), F.col("i").alias("t")), "t").select("target", "kind", "hops", "amount")
+
+
+#: Bits of a limb where sums are made by bincount, and products that are in memory at once.
+SHORT, CROWD = 16, 1 << 21
+#: Amounts in a block of labels.
+AMOUNTS = 1_000_000
+
+
+def decimals(limbs: list[np.ndarray]) -> pa.Array:
+    """Whole numbers given by eight limbs of SHORT bits that may overflow and be negative, in the last place of a decimal(38,16)."""
+    carry, words = np.zeros(len(limbs[0]), np.int64), np.zeros((len(limbs[0]), 8), np.uint16)
+    for i, limb in enumerate(limbs):
+        whole = limb + carry
+        words[:, i], carry = (whole & 0xFFFF).astype(np.uint16), whole >> SHORT
+    return pa.Array.from_buffers(pa.decimal128(38, PLACES + FACTOR_PLACES), len(words), [None, pa.py_buffer(np.ascontiguousarray(words).tobytes())])
+
+
+def shared_money(left: pa.Table, right: pa.Table) -> pa.Table:
+    """The exact sum over committees of amount times factor, for each label of a block and each candidate.
+
+    left: b, kind, label, i (committees), w (amounts); right: for, i (a committee), c (candidates), m (their factors).
+    """
+    order = np.argsort(column(right, "i"), kind="stable")
+    mids = column(right, "i")[order]
+    c, c_row = lists(right, "c")
+    m = lists(right, "m")[0]
+    cands, c = np.unique(c, return_inverse=True)
+    count = np.bincount(c_row, minlength=right.num_rows)
+    begin = np.concatenate([[0], np.cumsum(count)[:-1]]).astype(np.int64)
+    i, row = lists(left, "i")
+    w = lists(left, "w")[0]
+    at = np.minimum(np.searchsorted(mids, i), max(0, len(mids) - 1))
+    some = mids[at] == i if len(mids) else np.zeros(len(i), bool)
+    w, row, at = w[some], row[some], order[at[some]]
+    times = count[at]
+    # whole labels at a time, so that a sum is made in one go
+    per_label = np.bincount(row, times, left.num_rows) + len(cands)
+    piece = (np.cumsum(per_label) // CROWD).astype(np.int64)
+    cuts = [0, *(np.nonzero(np.diff(piece))[0] + 1).tolist(), left.num_rows]
+    names, sums = [], []
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        x, y = np.searchsorted(row, [a, b])
+        cells, seen = (b - a) * len(cands), np.zeros((b - a) * len(cands), bool)
+        limbs = [np.zeros(cells, np.int64) for _ in range(8)]
+        ends = np.cumsum(times[x:y])
+        while x < y:
+            # a label with more products than a sum of doubles can hold exactly is added up in parts
+            part = max(1, int(np.searchsorted(ends, CROWD, side="right")))
+            n = times[x : x + part]
+            inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            cell = np.repeat(begin[at[x : x + part]], n) + inner
+            key = np.repeat(row[x : x + part] - a, n) * len(cands) + c[cell]
+            seen[key] = True
+            amounts, factors = np.repeat(w[x : x + part], n), m[cell]
+            for j in range(4):
+                p = amounts >> SHORT * j & 0xFFFF if j < 3 else amounts >> SHORT * j
+                for k in range(4) if p.any() else ():
+                    q = factors >> SHORT * k & 0xFFFF if k < 3 else factors >> SHORT * k
+                    if q.any():
+                        limbs[j + k] += np.bincount(key, p.astype(np.float64) * q, cells).astype(np.int64)
+            x, ends = x + part, ends[part:] - ends[part - 1]
+        found = np.nonzero(seen)[0]
+        names.append((found // max(1, len(cands)) + a, cands[found % max(1, len(cands))]))
+        sums.append(decimals([limb[found] for limb in limbs]))
+    rows = np.concatenate([r for r, _ in names]) if names else np.zeros(0, np.int64)
+    which = np.concatenate([k for _, k in names]) if names else np.zeros(0, np.int64)
+    label = left.select(["kind", "label"]).take(pa.array(rows, pa.int64()))
+    amount = pa.chunked_array(sums, pa.decimal128(38, PLACES + FACTOR_PLACES))
+    return pa.Table.from_arrays([label.column("kind"), label.column("label"), pa.array(which, pa.int64()), amount], ["kind", "label", "c", "amount"])
+
+
+def money_by_label(shares: DataFrame, money: DataFrame) -> DataFrame:
+    """cand_id, kind, label, amount: the sums of w times m; shares: cand_id, cmte_id, m; money: cmte_id, kind, label, w.
+
+    A block of labels gets its amounts as lists and the factors of all committees, so no row is made for an amount and a candidate.
+    """
+    cands = checkpointed(shares.select("cand_id").distinct().withColumn("c", F.monotonically_increasing_id()))
+    factor = (F.round("m", FACTOR_PLACES).cast(FACTOR) * 10**FACTOR_PLACES).cast("long")
+    by = shares.join(cands, "cand_id").groupBy("cmte_id").agg(F.collect_list(F.struct("c", factor.alias("m"))).alias("l"))
+    factors = checkpointed(by.select("cmte_id", F.col("l.c").alias("c"), F.col("l.m").alias("m")).withColumn("i", F.monotonically_increasing_id()))
+    amount = (F.col("w").cast(PART) * 10**PLACES).cast("long")
+    known = money.join(factors.select("cmte_id", "i"), "cmte_id").groupBy("kind", "label").agg(F.collect_list(F.struct("i", amount.alias("w"))).alias("l"))
+    labels = checkpointed(known.select("kind", "label", F.col("l.i").alias("i"), F.col("l.w").alias("w")))
+    blocks = (labels.agg(F.sum(F.size("i"))).first()[0] or 0) // AMOUNTS + 1
+    left = labels.withColumn("b", F.pmod(F.xxhash64("kind", "label"), F.lit(blocks)).cast("int"))
+    right = factors.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("for"), "i", "c", "m")
+    left = left.select("b", "kind", "label", "i", "w")
+    made = left.groupBy("b").cogroup(right.groupBy("for")).applyInArrow(shared_money, "kind string, label string, c long, amount decimal(38,16)")
+    return made.join(cands, "c").select("cand_id", "kind", "label", "amount")

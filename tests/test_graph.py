@@ -1,6 +1,6 @@
 """Hand-made graphs small enough to check by hand."""
 
-from decimal import Decimal
+from decimal import Decimal, localcontext
 
 import numpy as np
 import pytest
@@ -293,6 +293,24 @@ def test_inflow_of_blocks(spark, monkeypatch):
     assert blocks.money(-5) == "-0.0000000000000005"
 
 
+def test_money_by_label(spark, monkeypatch):
+    """Exact sums whatever the size of amounts and blocks, null labels included; the plan has no join of amounts and factors."""
+    monkeypatch.setattr(blocks, "AMOUNTS", 40)
+    factors = [(f"H{c}", f"C{k}", (k * 7 + c) / 13 * 10.0 ** -(c % 4)) for c in range(5) for k in range(30) if (k + c) % 3]
+    money = [(f"C{k}", "individual", None if n == 3 else f"L{n}", Decimal(10 ** (n % 13) * (k + 1)) + Decimal("0.0001") * n) for n in range(20) for k in range(n, 40, 3)]
+    want = {}
+    with localcontext(prec=60):
+        for cand, cmte, m in factors:
+            for other, kind, label, w in money:
+                if other == cmte:
+                    key = cand, kind, label
+                    want[key] = want.get(key, 0) + w * Decimal(repr(m)).quantize(Decimal("1e-12"), "ROUND_HALF_UP")
+    shares = spark.createDataFrame(factors, "cand_id string, cmte_id string, m double")
+    found = blocks.money_by_label(shares, spark.createDataFrame(money, "cmte_id string, kind string, label string, w decimal(28,4)"))
+    assert {(r["cand_id"], r["kind"], r["label"]): r["amount"] for r in found.collect()} == want
+    assert blocks.decimals([np.array([-5])] + [np.array([0])] * 7)[0].as_py() == Decimal("-0.0000000000000005")
+
+
 def test_members(spark):
     m = spark.createDataFrame(
         [("B1", ("Ann", "Lee"), ["H1", "H9"], [("rep", "NY", "D", 1), ("sen", "NY", "D", None)]), ("B2", ("Bob", "Ray"), [], [])],
