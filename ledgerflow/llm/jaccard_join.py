@@ -13,11 +13,14 @@ in the last one it keeps its empty signatures. Of two similar sets either one is
 or both keep the empty ones: no pair is lost.
 
 Equal sets are one entity throughout. Signatures travel as packed arrays by hash bucket, those that a batch
-shares being sent once. Where several sets share one, each is held against one of them, and in a second round against
-the sets of other components that share a signature with it. Of such pairs only those go on whose sizes and parity
-sketches allow the similarity (a bound that no similar pair fails); these are checked exactly. Copies are in one
-component after the first round, so they make no pairs; sets that share a passage and are not similar do make pairs in
-the second, which the sketches then reject. Components are found by alternating large-star and small-star steps.
+shares being sent once; of signatures that the same sets share one is kept. Where several sets share one, each is held
+against one of them, in a second round against another one, and last against the sets of other components that share
+a signature with it: of a signature's sets only those outside its largest component are paired with the rest. A signature
+with many such sets is mostly a passage that dissimilar sets have in common. It is extended by one of their rarest
+shingles: in any one order of the shingles the first that two similar sets share stands early in both, and in an order
+by frequency a passage stands late. Of all pairs only those go on whose sizes and parity sketches allow the similarity (a
+bound that no similar pair fails); these are checked exactly. Components are found by alternating large-star and
+small-star steps.
 
 Defined results: a null or blank text has the empty set and is linked with nothing; repeated rows have equal
 sets, so they are linked; empty input gives an empty result; a null doc_id stands last, and a component of
@@ -44,6 +47,10 @@ SHINGLE, PERCENT, BAND, SEEDS = 4, 85, 1.25, 8
 BUCKET_ROWS = 500_000
 #: Shingles that a subset should hold.
 HOLDS = 3
+#: Sets outside a signature's largest component up to which they are paired with all its sets.
+CROWD = 16
+#: Counters of shingles by hash, and the parts in which they travel.
+COUNTERS, PARTS = 1 << 16, 64
 
 
 def fingerprint(s: np.ndarray) -> int:
@@ -340,38 +347,149 @@ def components(links: DataFrame) -> DataFrame:
         edges, before = small, now
 
 
+def one_each(shared: DataFrame) -> DataFrame:
+    """Of all signatures that the same sets share, the rows of one. Sums of hashes, the least, the largest and the number tell which are the same."""
+    part = lambda i: F.sum(F.shiftright(F.xxhash64("fp", F.lit(i)), 28))
+    groups = shared.groupBy("sig").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi"), F.count("*").alias("c"), part(1).alias("h1"), part(2).alias("h2"))
+    return shared.join(groups.groupBy("lo", "hi", "c", "h1", "h2").agg(F.min("sig").alias("sig")).select("sig"), "sig", "left_semi")
+
+
+def _named(df: DataFrame, prefix: str, key: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(c if c == key else prefix + c) for c in df.columns])
+
+
+def _pairs(x: DataFrame, y: DataFrame, key: str, percent: int, also) -> DataFrame:
+    """a < b: the rows of x with those of y that have the same key and another label, where they may be similar and `also` holds."""
+    met = _named(x, "x", key).join(_named(y, "y", key), key)
+    met = met.filter((F.col("xlabel") != F.col("ylabel")) & also & may_be_similar("x", "y", percent))
+    return met.select(F.least("xfp", "yfp").alias("a"), F.greatest("xfp", "yfp").alias("b"))
+
+
+def star(rows: DataFrame, place, percent: int = PERCENT) -> DataFrame:
+    """The pairs of each signature's first set by `place` with its others."""
+    placed = rows.withColumn("place", place)
+    centre = placed.join(placed.groupBy("sig").agg(F.min("place").alias("place")), ["sig", "place"])
+    return _pairs(rows, centre, "sig", percent, F.lit(True)).distinct()
+
+
+def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows with the labels of their sets."""
+    return rows.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+
+
+def outside(rows: DataFrame, key: str) -> DataFrame:
+    """The rows of keys with several labels; minor: not of the key's most frequent label; minors: how many are not."""
+    each = rows.groupBy(key, "label").agg(F.count("*").alias("c"))
+    top = each.groupBy(key).agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("minors"))
+    top = top.select(key, F.col("top.label").alias("major"), (F.col("minors") - F.col("top.c")).alias("minors")).filter("minors > 0")
+    return rows.join(top, key).withColumn("minor", F.col("label") != F.col("major")).drop("major")
+
+
+def _count_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts, some = np.zeros(COUNTERS, np.int64), False
+    for batch in batches:
+        for s in batch.column("s"):
+            counts += np.bincount(_counter(np.frombuffer(s.as_py(), np.uint64)), minlength=COUNTERS)
+            some = True
+    if some:
+        yield _arrow(["part", "counts"], [pa.int32(), pa.binary()], [list(range(PARTS)), [c.tobytes() for c in np.split(counts, PARTS)]])
+    release()
+
+
+def _counter(s: np.ndarray) -> np.ndarray:
+    return (mix64(s) % np.uint64(COUNTERS)).astype(np.int64)
+
+
+def _sum_counts(pdf: pd.DataFrame) -> pd.DataFrame:
+    total = sum(np.frombuffer(c, np.int64) for c in pdf["counts"])
+    return pd.DataFrame({"part": pdf["part"].iloc[:1].to_numpy(), "counts": [total.tobytes()]})
+
+
+def frequencies(sets: DataFrame) -> np.ndarray:
+    """In how many of the sets the shingles of each counter stand: 512 KB, whatever the sets."""
+    found = sets.select("s").mapInArrow(_count_shingles, "part int, counts binary").groupBy("part").applyInPandas(_sum_counts, "part int, counts binary")
+    parts = {r["part"]: np.frombuffer(r["counts"], np.int64) for r in found.collect()}
+    return np.concatenate([parts[i] for i in range(PARTS)]) if parts else np.zeros(COUNTERS, np.int64)
+
+
+def leading(s: np.ndarray, counts: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, int]:
+    """The rarest shingles of a set, rarest first, among which the first one shared with any similar set of its size or less
+    stands; and how many of them suffice for similar sets of its size or more.
+
+    Similar sets of n and m shingles share at least percent * (n + m) / (100 + percent), and percent / 100 of the larger.
+    """
+    n = len(s)
+    order = np.argsort(counts[_counter(s)], kind="stable")  # s is sorted: one order for all sets
+    return s[order[: n - -(-percent * n // 100) + 1]], n - -(-2 * percent * n // (100 + percent)) + 1
+
+
+def _leading_rows(counts: np.ndarray, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [leading(np.frombuffer(s.as_py(), np.uint64), counts, percent) for s in batch.column("s")]
+            if not made:
+                continue
+            of = pa.array(np.repeat(np.arange(len(made)), [len(t) for t, _ in made]))
+            rest = batch.drop_columns(["s"])
+            pos = np.concatenate([np.arange(len(t)) for t, _ in made])
+            few = np.concatenate([np.arange(len(t)) < k for t, k in made])
+            cols = [pa.array(np.concatenate([t for t, _ in made]).view(np.int64)), pa.array(pos), pa.array(few), *(c.take(of) for c in rest.columns)]
+            yield pa.RecordBatch.from_arrays(cols, ["shingle", "pos", "few", *rest.schema.names])
+        release()
+
+    return run
+
+
+def crowded_pairs(crowd: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """a < b: the sets of `crowd` (fp, label, n, sketch) that may be similar, have different labels and share one of their rarest shingles."""
+    full = crowd.join(sets, "fp")
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in crowd.schema)
+    rows = full.select("s", *crowd.columns).mapInArrow(_leading_rows(frequencies(full), percent), f"shingle long, pos long, few boolean, {fields}")
+    rows = materialize(outside(materialize(rows), "shingle").drop("minors"))
+    # the smaller set's few against the larger's; the first common shingle leaves room for what they must share
+    room = F.least(F.col("xn") - F.col("xpos"), F.col("yn") - F.col("ypos"))
+    also = (F.struct("xn", "xfp") < F.struct("yn", "yfp")) & ((100 + percent) * room >= percent * (F.col("xn") + F.col("yn")))
+    few, minor = rows.filter("few"), rows.filter("minor")
+    return _pairs(few.filter("minor"), rows, "shingle", percent, also).unionByName(_pairs(few.filter("NOT minor"), minor, "shingle", percent, also))
+
+
 def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id for every document; sets of so many words link from so many percent on."""
     slim = materialize(sizes(docs, shingle))
     total = slim.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, int(0.6 * total) // BUCKET_ROWS + 1)
-    shared = materialize(members(docs, buckets, shingle, percent))
+    every = materialize(members(docs, buckets, shingle, percent).distinct())
     # one row for each set, so that copies of a text meet in no later join
     entities = materialize(slim.groupBy("fp").agg(F.min("doc_id").alias("doc"), *[F.max(c).alias(c) for c in ("n", *(f"k{i}" for i in range(SKETCH)))]))
-    attrs = entities.drop("doc")
-    pre = lambda df, p, *keys: df.select(*[F.col(c).alias(c if c in keys else p + c) for c in df.columns])
+    shared = materialize(one_each(every).join(entities.drop("doc"), "fp"))
+    discard(every)
     # one set of each signature against the others
-    centre = shared.groupBy("sig").agg(F.min("fp").alias("fp")).join(attrs, "fp")
-    others = shared.select("sig", "fp").join(attrs, "fp")
-    star = pre(others, "x", "sig").join(pre(centre, "y", "sig"), "sig").filter((F.col("xfp") != F.col("yfp")) & may_be_similar("x", "y", percent))
-    tested = materialize(star.select(F.least("xfp", "yfp").alias("a"), F.greatest("xfp", "yfp").alias("b")).distinct())
+    tested = materialize(star(shared.withColumn("label", F.col("fp")), F.col("fp"), percent))
     wanted = entities.select("fp", "doc").join(shared.select("fp").distinct(), "fp", "left_semi")
     texts = docs.select("doc_id", "text").join(wanted.select("doc"), F.col("doc_id").eqNullSafe(F.col("doc")), "left_semi")
     sets = texts.mapInArrow(_set_rows(shingle), "fp long, s binary").dropDuplicates(["fp"])
     sets = materialize(sets.join(wanted.select("fp"), "fp", "left_semi"))
-    links = materialize(verify(tested, sets, percent))
-    labels = components(links)
-    # what shares a signature and still stands in another component
-    labelled = shared.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    several = labelled.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("sig")
-    open_ = materialize(labelled.join(several, "sig", "left_semi").join(attrs, "fp"))
-    met = pre(open_, "x", "sig").join(pre(open_, "y", "sig"), "sig")
-    cross = met.filter((F.col("xfp") < F.col("yfp")) & (F.col("xlabel") != F.col("ylabel")) & may_be_similar("x", "y", percent))
-    cross = cross.select(F.col("xfp").alias("a"), F.col("yfp").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-    labels = materialize(components(links.unionByName(verify(cross, sets, percent))))
-    named = slim.select("doc_id", "n", "fp").join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+    labels = materialize(components(verify(tested, sets, percent)))
+    # another one, not the same for all signatures, against those that still stand in another component
+    open_ = materialize(outside(labelled(shared, labels), "sig").drop("minor", "minors"))
+    again = materialize(star(open_, F.xxhash64("sig", "fp"), percent).join(tested, ["a", "b"], "left_anti"))
+    edges = labels.select(F.col("fp").alias("a"), F.col("label").alias("b"))
+    labels2 = materialize(components(edges.unionByName(verify(again, sets, percent))))
+    # all that share a signature and still stand in different components
+    last = materialize(outside(labelled(open_.drop("label"), labels2), "sig"))
+    once = ~F.col("yminor") | (F.col("xfp") < F.col("yfp"))
+    small = last.filter(F.col("minors") <= CROWD).drop("minors")
+    cross = _pairs(small.filter("minor"), small, "sig", percent, once)
+    crowd = materialize(last.filter(F.col("minors") > CROWD).drop("sig", "minor", "minors").distinct())
+    if not crowd.isEmpty():
+        cross = cross.unionByName(crowded_pairs(crowd, sets, percent))
+    cross = materialize(cross.distinct())
+    cross = cross.join(tested.unionByName(again), ["a", "b"], "left_anti")
+    edges = labels2.select(F.col("fp").alias("a"), F.col("label").alias("b"))
+    labels3 = materialize(components(edges.unionByName(verify(cross, sets, percent))))
+    named = slim.select("doc_id", "n", "fp").join(labels3, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     named = materialize(named)
-    discard(slim, shared, entities, tested, sets, links, open_, labels)
+    discard(slim, entities, shared, tested, sets, labels, open_, again, labels2, last, crowd, labels3)
     ids = materialize(named.filter("n > 0").groupBy("label").agg(F.min("doc_id").alias("component_id")))
     out = named.filter("n > 0").join(ids, "label").select("doc_id", "n", "component_id")
     alone = named.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))

@@ -272,6 +272,56 @@ def test_jaccard_common_passage(spark):
     got = sorted(map(tuple, jaccard_join.link(docs_of(spark, texts)).collect()))
     assert got == brute_components([*enumerate(texts)])
 
+
+def test_jaccard_crowded_signatures(spark, monkeypatch):
+    """Texts that are four fifths a common passage, and copies of a text that is not there: few pairs are held against each other, no link is lost."""
+    rnd = random.Random(21)
+    word = lambda: f"w{rnd.randrange(10**6)}"
+    passage, base = [word() for _ in range(80)], [word() for _ in range(120)]
+    texts = [edited(rnd, base, 3) for _ in range(60)]
+    for k in range(240):
+        own = [word() for _ in range(20 + k % 3)]
+        texts.append(" ".join(own + passage))
+        if k % 6 == 0:
+            texts.append(" ".join(own[1:] + passage + [word()]))
+    rnd.shuffle(texts)
+    held, bound = spark.sparkContext.accumulator(0), jaccard_join.may_be_similar
+
+    def counted(a, b, *percent):
+        return F.udf(lambda x: held.add(1) or x, "boolean")(bound(a, b, *percent))
+
+    monkeypatch.setattr(jaccard_join, "may_be_similar", counted)
+    got = sorted(map(tuple, jaccard_join.link(docs_of(spark, texts)).collect()))
+    assert got == brute_components([*enumerate(texts)])
+    assert held.value < 50 * len(texts)
+
+
+def test_leading_shingles_lose_no_pair():
+    """Similar sets share one of the rarest shingles of the smaller and of the larger, early enough for what they must share."""
+    rnd = np.random.default_rng(14)
+    some = lambda n: rnd.integers(0, 2**63, n).astype(np.uint64)
+    passage, similar = some(200), 0
+    for percent in (80, 85):
+        for _ in range(400):
+            size = int(rnd.integers(1, 120))
+            common = np.concatenate([some(size), passage[: rnd.integers(0, 200)]])
+            apart = int(len(common) * (100 - percent) / percent) + 2
+            a, b = (np.unique(np.concatenate([common, some(rnd.integers(0, apart))])) for _ in range(2))
+            a, b = (a, b) if len(a) <= len(b) else (b, a)
+            both = len(np.intersect1d(a, b))
+            if 100 * both < percent * (len(a) + len(b) - both):
+                continue
+            similar += 1
+            counts = np.zeros(jaccard_join.COUNTERS, np.int64)
+            for s in (a, b, passage):
+                counts += np.bincount(jaccard_join._counter(s), minlength=len(counts))
+            (x, few), (y, _) = jaccard_join.leading(a, counts, percent), jaccard_join.leading(b, counts, percent)
+            at = {t: i for i, t in enumerate(y.tolist())}
+            room = [min(len(a) - i, len(b) - at[t]) for i, t in enumerate(x[:few].tolist()) if t in at]
+            assert (100 + percent) * max(room) >= percent * (len(a) + len(b))
+    assert similar > 100
+
+
 def test_schemes_lose_no_pair():
     """Sets at the very limit share a signature, whatever their size."""
     rnd = np.random.default_rng(9)
