@@ -45,6 +45,8 @@ from ledgerflow.llm.shingles import mix64, shingle_set
 
 SHINGLE, PERCENT, BAND, SEEDS = 4, 85, 1.25, 8
 BUCKET_ROWS = 500_000
+#: Bytes of packed records that leave a worker at once, and of texts that one gets: so much stands in the JVM beside it.
+SEND_BYTES, BATCH_BYTES = 1 << 20, 1 << 21
 #: Shingles that a subset should hold.
 HOLDS = 3
 #: Sets outside a signature's largest component up to which they are paired with all its sets.
@@ -219,35 +221,53 @@ SHARED = np.uint64(1)
 
 def _records(buckets: int, shingle: int, percent: int):
     """Packed records by bucket. Within a batch only one set of a signature goes to the signature's bucket;
-    the others go, spread by set, to buckets that pass them on unchanged."""
+    the others go, spread by set, to buckets that pass them on unchanged. What a step has used goes before the next one
+    begins, and records leave in small parts: two workers share an executor with its JVM."""
 
     def send(sig: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
-        sig = sig & ~SHARED
         order = np.lexsort((fp, sig))
-        sig, fp = sig[order], fp[order]
-        first = np.ones(len(sig), bool)
+        rec = np.empty(len(sig), RECORD)
+        rec["sig"], rec["fp"] = sig[order], fp[order]
+        del sig, fp, order
+        sig, fp = rec["sig"], rec["fp"]
+        first = np.ones(len(rec), bool)
         first[1:] = sig[1:] != sig[:-1]
-        group = np.cumsum(first) - 1
-        same = fp == fp[first][group]  # equal sets are one entity
-        shared = np.zeros(int(first.sum()), bool)
-        shared[group[~same]] = True
-        rec = np.zeros(len(sig), RECORD)
-        rec["sig"], rec["fp"] = sig | shared[group].astype(np.uint64), fp
-        where = np.where(first, (sig >> np.uint64(17)) % np.uint64(buckets), np.uint64(buckets) + mix64(fp.view(np.uint64)) % np.uint64(buckets))
-        keep = first | ~same
-        rec, where = rec[keep], where[keep].astype(np.int64)
-        order = np.argsort(where, kind="stable")
+        group = np.cumsum(first, dtype=np.int32)
+        group -= 1
+        other = fp != fp[first][group]  # equal sets are one entity
+        shared = np.zeros(int(first.sum()), np.uint64)
+        shared[group[other]] = SHARED
+        sig |= shared[group]
+        del group, shared
+        where = np.zeros(len(rec), np.int32)
+        where[first] = (sig[first] >> np.uint64(17)) % np.uint64(buckets)
+        where[other] = np.uint64(buckets) + mix64(fp[other].view(np.uint64)) % np.uint64(buckets)
+        order = np.flatnonzero(first | other)
+        del sig, fp, first, other
+        order = order[np.argsort(where[order], kind="stable")]
         rec, where = rec[order], where[order]
-        ids, starts = np.unique(where, return_index=True)
-        ends = [*starts[1:], len(rec)]
-        yield _arrow(["bucket", "blob"], [pa.int32(), pa.binary()], [ids.tolist(), [rec[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]])
+        del order
+        starts = np.concatenate([[0], np.flatnonzero(where[1:] != where[:-1]) + 1, [len(rec)]])
+        ids, blobs, size = [], [], 0
+        for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+            ids.append(int(where[a]))
+            blobs.append(rec[a:b].tobytes())
+            size += len(blobs[-1])
+            if size >= SEND_BYTES or b == len(rec):
+                yield _arrow(["bucket", "blob"], [pa.int32(), pa.binary()], [ids, blobs])
+                ids, blobs, size = [], [], 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sigs, fps, held = [], [], 0
         seen: set[int] = set()
 
         def flush():
-            return send(np.concatenate(sigs), np.repeat(np.array(fps, np.int64), [len(s) for s in sigs]))
+            sig = np.concatenate(sigs) & ~SHARED
+            fp = np.repeat(np.array(fps, np.int64), [len(s) for s in sigs])
+            sigs.clear()
+            fps.clear()
+            seen.clear()
+            return send(sig, fp)
 
         for batch in batches:
             for text in batch.column("text"):
@@ -263,11 +283,9 @@ def _records(buckets: int, shingle: int, percent: int):
                     held += len(made)
                 if held >= BUCKET_ROWS:
                     yield from flush()
-                    sigs, fps, held = [], [], 0
-                    seen = set()
+                    held = 0
         if held:
             yield from flush()
-        del sigs, fps, seen
         release()
 
     return run
@@ -275,9 +293,15 @@ def _records(buckets: int, shingle: int, percent: int):
 
 def _members(pdf: pd.DataFrame) -> pd.DataFrame:
     """The sets of signatures that several different sets share."""
-    rec = np.concatenate([np.frombuffer(b, RECORD) for b in pdf["blob"]])
+    out = _members_of(pdf["blob"], bool(pdf["passed"].iloc[0]))
+    release()
+    return out
+
+
+def _members_of(blobs: pd.Series, passed: bool) -> pd.DataFrame:
+    rec = np.concatenate([np.frombuffer(b, RECORD) for b in blobs])
     sig, fp, shared = rec["sig"] & ~SHARED, rec["fp"], (rec["sig"] & SHARED) > 0
-    if not pdf["passed"].iloc[0]:
+    if not passed:
         order = np.lexsort((fp, sig))
         sig, fp, shared = sig[order], fp[order], shared[order]
         first = np.ones(len(sig), bool)
@@ -317,6 +341,7 @@ def _similar(a: pd.Series, b: pd.Series, percent: pd.Series) -> pd.Series:
         both.sort()
         inter = int((both[1:] == both[:-1]).sum())
         out.append(100 * inter >= limit * (len(p) + len(q) - inter))
+    release()
     return pd.Series(out)
 
 
@@ -455,10 +480,10 @@ def crowded_pairs(crowd: DataFrame, sets: DataFrame, percent: int = PERCENT) ->
 
 def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id for every document; sets of so many words link from so many percent on."""
-    slim = materialize(sizes(docs, shingle))
+    slim = materialize(sizes(docs, shingle), BATCH_BYTES)
     total = slim.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, int(0.6 * total) // BUCKET_ROWS + 1)
-    every = materialize(members(docs, buckets, shingle, percent).distinct())
+    every = materialize(members(docs, buckets, shingle, percent).distinct(), BATCH_BYTES)
     # one row for each set, so that copies of a text meet in no later join
     entities = materialize(slim.groupBy("fp").agg(F.min("doc_id").alias("doc"), *[F.max(c).alias(c) for c in ("n", *(f"k{i}" for i in range(SKETCH)))]))
     shared = materialize(one_each(every).join(entities.drop("doc"), "fp"))
@@ -468,7 +493,7 @@ def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> Dat
     wanted = entities.select("fp", "doc").join(shared.select("fp").distinct(), "fp", "left_semi")
     texts = docs.select("doc_id", "text").join(wanted.select("doc"), F.col("doc_id").eqNullSafe(F.col("doc")), "left_semi")
     sets = texts.mapInArrow(_set_rows(shingle), "fp long, s binary").dropDuplicates(["fp"])
-    sets = materialize(sets.join(wanted.select("fp"), "fp", "left_semi"))
+    sets = materialize(sets.join(wanted.select("fp"), "fp", "left_semi"), BATCH_BYTES)
     labels = materialize(components(verify(tested, sets, percent)))
     # another one, not the same for all signatures, against those that still stand in another component
     open_ = materialize(outside(labelled(shared, labels), "sig").drop("minor", "minors"))

@@ -3,10 +3,12 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -322,6 +324,29 @@ def test_leading_shingles_lose_no_pair():
     assert similar > 100
 
 
+def test_records_leave_in_small_parts_and_take_little_memory():
+    """Two workers and a JVM share an executor: a signature takes a few copies of its record at most until it has left."""
+    rng = np.random.default_rng(5)
+    words = np.array([f"w{i}" for i in range(20_000)])
+    texts = [" ".join(words[rng.integers(0, len(words), 600)]) for _ in range(1_000)]
+    texts += [f"{t} more" for t in texts[:200]] + texts[:50]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[i : i + 100])], ["text"]) for i in range(0, len(texts), 100)]
+    expected = set()
+    for s in map(jaccard_join.shingle_set, dict.fromkeys(texts)):
+        expected |= {(x & ~1, jaccard_join.fingerprint(s)) for x in jaccard_join.signatures(s).tolist()}
+    assert len(expected) > 200_000
+    tracemalloc.start()
+    made = list(jaccard_join._records(16, 4, 85)(iter(batches)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 75 * len(expected)
+    blobs = [[b.as_py() for b in out.column("blob")] for out in made]
+    assert len(blobs) > 1 and all(sum(map(len, b[:-1])) < jaccard_join.SEND_BYTES for b in blobs)
+    rec = np.frombuffer(b"".join(b for out in blobs for b in out), jaccard_join.RECORD)
+    assert len(rec) == len(expected)
+    assert set(zip((rec["sig"] & ~jaccard_join.SHARED).tolist(), rec["fp"].tolist(), strict=True)) == expected
+
+
 def test_schemes_lose_no_pair():
     """Sets at the very limit share a signature, whatever their size."""
     rnd = np.random.default_rng(9)
