@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from ledgerflow.schemas import FACTOR, PART
 from ledgerflow.sources.store import checkpointed
 
-#: Start vertices of a block; a larger one sends edge lists less often, and holds more pairs in memory.
-BLOCK = 256
-#: Columns of a matrix that are in memory at once.
-WIDE = 8192
+#: Start vertices of a block; a larger one sends edge lists less often, and holds more bits in memory.
+BLOCK = 2048
+#: Names of vertices that may be sent to every task.
+NAMES = 1_000_000
 
 
 def block(c: str):
@@ -41,6 +41,11 @@ def numbered(edges: DataFrame) -> DataFrame:
     return joined.select("v", (F.col("start") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).cast("int").alias("i"))
 
 
+def small(ids: DataFrame) -> DataFrame:
+    """Names to be looked up by pairs: the pairs are up to their square, and are not shuffled for them where the names fit a task."""
+    return F.broadcast(ids) if ids.count() <= NAMES else ids
+
+
 def column(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).to_numpy()
 
@@ -60,86 +65,149 @@ def packed_lists(rows: np.ndarray, values: np.ndarray, n: int, kind: pa.DataType
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, kind))
 
 
+def finder(names: np.ndarray):
+    """A function from numbers to their places in ascending names, -1 where they are not there."""
+    low, span = (int(names[0]), int(names[-1] - names[0]) + 1) if len(names) else (0, 0)
+    if span > 4 * len(names) + (1 << 20):
+
+        def search(v: np.ndarray) -> np.ndarray:
+            at = np.minimum(np.searchsorted(names, v), len(names) - 1)
+            return np.where(names[at] == v, at, -1)
+
+        return search
+    # the last place is that of all numbers outside
+    place = np.full(span + 1, -1, np.int32)
+    place[names - low] = np.arange(len(names))
+    return lambda v: place[np.where((v >= low) & (v < low + span), v - low, span)]
+
+
+def reached(table: pa.Table):
+    """The vertices that a row of HOPS holds, row by row."""
+    for batch in table.to_batches():
+        to, base, bits = batch.column("to"), batch.column("base"), batch.column("bits")
+        values, cuts = to.values.to_numpy(zero_copy_only=False), to.offsets.to_numpy()
+        for i in range(batch.num_rows):
+            if bits[i].is_valid:
+                yield np.flatnonzero(np.unpackbits(np.frombuffer(bits[i].as_buffer(), np.uint8))) + base[i].as_py()
+            else:
+                yield values[cuts[i] : cuts[i + 1]]
+
+
+def packed(v: np.ndarray) -> tuple[list | None, int | None, bytes | None]:
+    """Ascending numbers as to, base and bits: a list, or one bit for each number from the first on where that is shorter."""
+    span = int(v[-1] - v[0]) + 1
+    if 32 * len(v) <= span:
+        return v, None, None
+    some = np.zeros(span, bool)
+    some[v - v[0]] = True
+    return None, int(v[0]), np.packbits(some).tobytes()
+
+
+def by_vertex(sets, of: np.ndarray, n: int, at, wide: int) -> np.ndarray:
+    """Sets of vertices, each of one of n starts, as a bit for each place (at) and start: rows of places, columns of starts."""
+    bits = np.zeros((wide, -(-n // 64) * 8), np.uint8)
+    for i, v in zip(of, sets, strict=True):
+        here = at(v)
+        bits[here[here >= 0], i >> 3] |= np.uint8(128 >> (i & 7))
+    return bits
+
+
 def next_hops(k: int):
-    """For each start of a block the vertices behind those of its level k - 1 that it has not met.
+    """For each start of a block the vertices behind those of its level k - 1 that it has not met, and in one row without a
+    start all of them. A vertex holds a bit for each start, so an edge is one word for 64 starts.
 
-    left: b, o, hops, to (all levels so far); right: for (the block), m, next (the edges of the vertices of level k - 1).
+    left: HOPS (all levels so far); right: for (the block), m, next (the edges of the vertices of level k - 1).
     """
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         starts, of = np.unique(column(left, "o"), return_inverse=True)
-        met, row = lists(left, "to")
-        met_of, last = of[row], (column(left, "hops") == k - 1)[row]
-        order = np.argsort(column(right, "m"), kind="stable")
-        mids = column(right, "m")[order]
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        ends, mid = lists(right, "next")
-        mid = place[mid] if len(mid) else mid
-        targets, col = np.unique(ends, return_inverse=True)
-        # the level's vertices that have edges, by start
-        via, via_of = met[last], met_of[last]
-        at = np.minimum(np.searchsorted(mids, via), max(0, len(mids) - 1))
-        some = mids[at] == via if len(mids) else np.zeros(len(via), bool)
-        order = np.argsort(via_of[some], kind="stable")
-        via, via_of = at[some][order], via_of[some][order]
-        cuts = np.searchsorted(via_of, np.arange(len(starts) + 1))
-        found_row, found = [], []
-        for a in range(0, len(targets), WIDE):
-            own = targets[a : a + WIDE]
-            here = (col >= a) & (col < a + WIDE)
-            m, c = mid[here], col[here] - a
-            bits = np.zeros((len(mids), (len(own) + 7) // 8), np.uint8)
-            for d in range(0, len(mids), 1024):
-                one = np.zeros((min(1024, len(mids) - d), len(own)), bool)
-                mine = (m >= d) & (m < d + 1024)
-                one[m[mine] - d, c[mine]] = True
-                bits[d : d + 1024] = np.packbits(one, axis=1)
-            reach = np.zeros((len(starts), bits.shape[1]), np.uint8)
-            for s in range(len(starts)):
-                if cuts[s] < cuts[s + 1]:
-                    reach[s] = np.bitwise_or.reduce(bits[via[cuts[s] : cuts[s + 1]]], axis=0)
-            new = np.unpackbits(reach, axis=1, count=len(own)).view(bool)
-            for of_, value in ((met_of, met), (np.arange(len(starts)), starts)):
-                at = np.minimum(np.searchsorted(own, value), len(own) - 1)
-                hit = own[at] == value
-                new[of_[hit], at[hit]] = False
-            r, c = np.nonzero(new)
-            found_row.append(r)
-            found.append(own[c])
-        rows = np.concatenate(found_row) if found else np.zeros(0, np.int64)
-        values = np.concatenate(found) if found else np.zeros(0, np.int64)
-        order = np.argsort(rows, kind="stable")
-        kept, row = np.unique(rows[order], return_inverse=True)
-        names, kinds = ["b", "o", "hops", "to"], [pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32())]
+        mids, place = np.unique(column(right, "m"), return_inverse=True)
+        sizes = [x.value_lengths().to_numpy(zero_copy_only=False) for x in right.column("next").chunks]
+        ends = [x.flatten().to_numpy(zero_copy_only=False) for x in right.column("next").chunks]
+        ends = np.concatenate(ends) if ends else np.zeros(0, np.int32)
+        mid = np.repeat(place.astype(np.int32), np.concatenate(sizes)) if sizes else np.zeros(0, np.int32)
+        some = np.bincount(ends - ends.min()) if len(ends) else np.zeros(0, int)
+        targets = (np.flatnonzero(some) + ends.min()).astype(np.int32) if len(ends) else np.zeros(0, np.int32)
+        at = finder(targets)
+        last = column(left, "hops") == k - 1
+        front = by_vertex(reached(left.filter(pa.array(last))), of[last], len(starts), finder(mids), len(mids)).view(np.uint64)
+        met = by_vertex(reached(left), of, len(starts), at, len(targets))
+        own = at(starts)
+        for i in np.flatnonzero(own >= 0):
+            met[own[i], i >> 3] |= 128 >> (i & 7)
+        met = met.view(np.uint64)
+        every = by_vertex([np.zeros(1, int)] * len(starts), np.arange(len(starts)), len(starts), lambda v: v, 1).view(np.uint64)
+        # vertices that all starts have met need no edges
+        open_ = (met != every).any(axis=1)
+        col = at(ends)
+        keep = open_[col]
+        mid, col = mid[keep], col[keep]
+        del ends, keep
+        order = np.argsort(col.astype(np.uint16) if len(targets) <= 1 << 16 else col, kind="stable")
+        mid = mid[order]
+        del order
+        found = np.flatnonzero(np.bincount(col, minlength=len(targets)))
+        begin = np.concatenate([[0], np.cumsum(np.bincount(col, minlength=len(targets))[found])])
+        new = np.zeros_like(met)
+        x = 0
+        while x < len(found):
+            y = max(x + 1, int(np.searchsorted(begin, begin[x] + EDGES, side="right")) - 1)
+            words = np.bitwise_or.reduceat(front[mid[begin[x] : begin[y]]], begin[x:y] - begin[x], axis=0)
+            new[found[x:y]] = words & ~met[found[x:y]]
+            x = y
         b = int(left.column("b")[0].as_py()) if left.num_rows else 0
-        cols = [np.full(len(kept), b), starts[kept], np.full(len(kept), k), None]
-        arrays = [pa.array(c, t) for c, t in zip(cols[:3], kinds[:3], strict=True)]
-        return pa.Table.from_arrays([*arrays, packed_lists(row, values[order], len(kept), pa.int32())], names)
+        rows = []
+        for g in range(0, len(starts), 64):
+            mine = np.unpackbits(new[:, g // 64 : g // 64 + 1].copy().view(np.uint8), axis=1).T.copy()
+            for i in range(min(64, len(starts) - g)):
+                v = targets[np.flatnonzero(mine[i])]
+                if len(v):
+                    rows.append((int(starts[g + i]), *packed(v)))
+        if rows:
+            rows.append((None, targets[new.any(axis=1)], None, None))
+        cols = list(zip(*rows, strict=True)) or [[], [], [], []]
+        kinds = [pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.int32(), pa.binary()]
+        arrays = [[b] * len(rows), cols[0], [k] * len(rows), *cols[1:]]
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(arrays, kinds, strict=True)], ["b", "o", "hops", "to", "base", "bits"])
 
     return run
 
 
-HOPS = "b int, o int, hops int, to array<int>"
+#: What a start reaches over its least number of edges: as numbers (to), or as bits from the number base on.
+HOPS = "b int, o int, hops int, to array<int>, base int, bits binary"
+#: Edges whose words are in memory at once.
+EDGES = 1 << 16
+
+
+def unpacked(batches):
+    """Rows with lists alone, few at a time, since a row may hold all vertices."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, 16):
+            part = batch.slice(a, 16)
+            sets = list(reached(pa.Table.from_batches([part])))
+            to = packed_lists(np.repeat(np.arange(len(sets)), [len(v) for v in sets]), np.concatenate(sets).astype(np.int32), len(sets), pa.int32())
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("origin", "o", "hops")), to], ["origin", "o", "hops", "to"])
 
 
 def hop_levels(edges: DataFrame, most: int | None) -> tuple[DataFrame, DataFrame]:
-    """The vertices (v, i), and for each start and number of edges the list of what is that far: b, o, hops, to."""
+    """The vertices (v, i), and for each start and number of edges the list of what is that far: origin, o, hops, to."""
     edges = checkpointed(edges.select("src", "dst").filter("src <> dst").distinct())
     ids = checkpointed(numbered(edges))
     s, d = ids.select(F.col("v").alias("src"), F.col("i").alias("o")), ids.select(F.col("v").alias("dst"), F.col("i").alias("d"))
     by = edges.join(s, "src").join(d, "dst").groupBy("o").agg(F.array_sort(F.collect_list("d")).alias("to"))
-    level = checkpointed(by.select(block("o"), "o", F.lit(1).alias("hops"), "to").repartition("b"))
+    none = F.lit(None).cast("int").alias("base"), F.lit(None).cast("binary").alias("bits")
+    level = checkpointed(by.select(block("o"), "o", F.lit(1).alias("hops"), "to", *none).repartition("b"))
     behind = level.select(F.col("o").alias("m"), F.col("to").alias("next"))
-    seen, k = level, 1
+    seen, k, ends = level, 1, level
     while (most is None or k < most) and level.limit(1).count():
         k += 1
-        need = level.select(F.col("b").alias("for"), F.explode("to").alias("m")).distinct().join(behind, "m").select("for", "m", "next")
+        need = ends.select(F.col("b").alias("for"), F.explode("to").alias("m")).distinct().join(behind, "m").select("for", "m", "next")
         # blocks that found nothing in the last level are done
         left = seen if k == 2 else seen.join(level.select("b").distinct(), "b", "left_semi")
         level = checkpointed(left.groupBy("b").cogroup(need.groupBy("for")).applyInArrow(next_hops(k), HOPS))
-        seen = seen.unionByName(level)
-    return ids, seen
+        seen, ends = seen.unionByName(level.filter("o IS NOT NULL")), level.filter("o IS NULL")
+    named = seen.join(small(ids).select(F.col("v").alias("origin"), F.col("i").alias("o")), "o").select("origin", "o", "hops", "to", "base", "bits")
+    return ids, named.mapInArrow(unpacked, "origin string, o int, hops int, to array<int>")
 
 
 #: Bits of a limb: products of two, summed over a matrix's columns in memory, stay below 2 ** 53.

@@ -251,6 +251,31 @@ def test_hops_of_blocks(spark, monkeypatch):
     assert levels.select("o", "hops").distinct().count() == levels.count()
 
 
+def test_hops_are_bits(monkeypatch):
+    """A dense level of a block, more than one word of starts and slices of edges: a pair takes bits, not a number."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(blocks, "EDGES", 500, raising=False)
+    n, r = 600, np.random.default_rng(3)
+    edge = r.random((n, n)) < 0.02
+    edge[:, :5] = edge[7] = False
+    np.fill_diagonal(edge, False)
+    ends = [np.flatnonzero(row).astype(np.int32) for row in edge]
+    some = [i for i in range(n) if len(ends[i])]
+    lists, kind = [ends[i] for i in some], pa.list_(pa.int32())
+    one = pa.array([1] * len(some), pa.int32())
+    ids, none = pa.array(some, pa.int32()), pa.nulls(len(some), pa.int32())
+    left = pa.table({"b": pa.array([0] * len(some), pa.int32()), "o": ids, "hops": one, "to": pa.array(lists, kind), "base": none, "bits": pa.nulls(len(some), pa.binary())})
+    right = pa.table({"for": pa.array([0] * len(some), pa.int32()), "m": ids, "next": pa.array(lists, kind)})
+    got = blocks.next_hops(2)(left, right)
+    want = (edge.astype(int) @ edge > 0) & ~edge & ~np.eye(n, dtype=bool)
+    assert got.nbytes < want.sum()
+    starts = got.filter(got.column("o").is_valid())
+    found = dict(zip(starts.column("o").to_pylist(), (v.tolist() for v in blocks.reached(starts)), strict=True))
+    assert found == {i: np.flatnonzero(row).tolist() for i, row in enumerate(want) if row.any()}
+    assert got.filter(got.column("o").is_null()).column("to").to_pylist() == [np.flatnonzero(want.any(axis=0)).tolist()]
+
+
 def test_whole_graph_inflow(spark):
     """K gets 3, 2 and 1 from A, B and C and 4 from a donor; A's 10 came from a donor, so 3 of it reached K."""
     c = _committees(spark, [("K", "campaign", 10.0), ("A", "passthrough", 10.0), ("B", "corporation", 0.0), ("C", "unknown", 0.0)])
