@@ -214,8 +214,10 @@ def hop_levels(edges: DataFrame, most: int | None) -> tuple[DataFrame, DataFrame
 LIMB, DEEP = 20, 4096
 #: Decimal places of an amount and of a factor (schemas.PART and FACTOR).
 PLACES, FACTOR_PLACES = 4, 12
-#: The share of cells that are not empty from which a matrix is multiplied as a whole.
-DENSE = 0.02
+#: Targets whose factors are in memory at once, as a row for each and a column for each vertex of a block.
+ROWS = 32
+#: Products of factors that are in memory at once.
+PRODUCTS = 1 << 18
 
 
 def _limb(a: np.ndarray, i: int) -> np.ndarray:
@@ -223,21 +225,32 @@ def _limb(a: np.ndarray, i: int) -> np.ndarray:
     return (a >> (LIMB * i) & ((1 << LIMB) - 1) if i < 2 else a >> (LIMB * i)).astype(np.float64)
 
 
+def limbs_of(a: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """The limbs of whole numbers below 2 ** 60 that are not all 0, with their places."""
+    return [(i, x) for i in range(3) if (x := _limb(a, i)).any()]
+
+
+def joined(sums: np.ndarray) -> np.ndarray:
+    """Python's integers from sums of products of limbs, by the sum of their places."""
+    return sum(x.astype(object) * (1 << LIMB * i) for i, x in enumerate(sums))
+
+
 def exact_product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The product of two matrices of whole numbers below 2 ** 60, with DEEP columns at most, as Python's integers."""
-    total = np.zeros((a.shape[0], b.shape[1]), object)
-    for i in range(3):
-        x = _limb(a, i)
-        for j in range(3) if x.any() else ():
-            y = _limb(b, j)
-            if y.any():
-                total += (x @ y).astype(np.int64).astype(object) * (1 << LIMB * (i + j))
-    return total
+    sums = np.zeros((5, a.shape[0], b.shape[1]), np.int64)
+    add_product(sums, a, limbs_of(b))
+    return joined(sums)
+
+
+def add_product(sums: np.ndarray, a: np.ndarray, b: list[tuple[int, np.ndarray]]) -> None:
+    for i, x in limbs_of(a):
+        for j, y in b:
+            sums[i + j] += (x @ y).astype(np.int64)
 
 
 def units(m: np.ndarray) -> np.ndarray:
     """Factors as whole numbers of their last place, rounded half up."""
-    if len(m) and not np.abs(m).max() < 1e6:
+    if m.size and not np.abs(m).max() < 1e6:
         raise ValueError("a factor is too large for its decimal")
     return np.floor(m * 10.0**FACTOR_PLACES + 0.5).astype(np.int64)
 
@@ -249,109 +262,143 @@ def money(total: int) -> str:
     return f"{'-' if total < 0 else ''}{text[:-places]}.{text[-places:]}"
 
 
-def pushed(last: bool):
-    """What reaches the targets of a block by kind, over a front of factors; unless last, also the front one edge further.
+def crossed(hops: int, most: int, size: int):
+    """What reaches the targets of one block from the vertices of another by kind, over a front of factors whose edges number
+    hops - 1. If one edge more is the last, also what comes over it, whose factors are then never written; if not, that front.
 
-    left: b, t, v (the front's vertices), m (their factors); right: for (the block), m (a vertex), kinds, ws (what came to it, in
-    the amount's last place), next, share (the vertices behind it, and what each hands on).
+    left: u (the block of vertices, of size numbers), t, v (the front's vertices), m (their factors); right: m (a vertex), and kinds, ws
+    (of the block's vertices: what came to them, in the amount's last place) or next, share (the block's vertices behind one of
+    the front, and what each hands on).
     """
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        t, n = column(left, "t"), left.num_rows
-        order = np.argsort(column(right, "m"), kind="stable")
-        mids, place = column(right, "m")[order], np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
+        t, of = np.unique(column(left, "t"), return_inverse=True)
+        n, low = len(t), int(left.column("u")[0].as_py()) * size if left.num_rows else 0
         v, row = lists(left, "v")
-        at = np.minimum(np.searchsorted(mids, v), max(0, len(mids) - 1))
-        some = mids[at] == v if len(mids) else np.zeros(len(v), bool)
-        m, row, at = lists(left, "m")[0][some], row[some], at[some]
-        names = right.column("kinds").combine_chunks()
+        m, row = lists(left, "m")[0], of[row].astype(np.int32)
+        came, steps = right.filter(right.column("kinds").is_valid()), right.filter(right.column("next").is_valid())
+        names = came.column("kinds").combine_chunks()
         names = names.chunk(0) if isinstance(names, pa.ChunkedArray) and names.num_chunks else names
-        coded = names.flatten().dictionary_encode(null_encoding="encode") if len(mids) else None
+        coded = names.flatten().dictionary_encode(null_encoding="encode") if came.num_rows else None
         kinds = coded.dictionary.to_pylist() if coded is not None else []
-        w, w_row = lists(right, "ws")
-        amounts, known = np.zeros((len(mids), len(kinds)), np.int64), np.zeros((len(mids), len(kinds)), np.float32)
-        if len(w):
-            code = coded.indices.to_numpy(zero_copy_only=False)
-            amounts[place[w_row], code], known[place[w_row], code] = w, 1
-
-        def fronts():
-            for a in range(0, len(mids), DEEP):
-                here = (at >= a) & (at < a + DEEP)
-                shape = n, min(DEEP, len(mids) - a)
-                f, p = np.zeros(shape), np.zeros(shape, np.float32)
-                np.add.at(f, (row[here], at[here] - a), m[here])
-                p[row[here], at[here] - a] = 1
-                yield a, f, p
-
-        total, reached = np.zeros((n, len(kinds)), object), np.zeros((n, len(kinds)), bool)
-        for a, f, p in fronts():
-            total += exact_product(units(f), amounts[a : a + DEEP])
-            reached |= p @ known[a : a + DEEP] > 0
-        r, c = np.nonzero(reached)
-        out_r, out_v, out_m = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
-        if not last:
-            ends, mid = lists(right, "next")
-            share = lists(right, "share")[0]
-            mid = place[mid] if len(mid) else mid
-            targets, col = np.unique(ends, return_inverse=True)
-            for x in range(0, len(targets), DEEP):
-                own = targets[x : x + DEEP]
-                out, some = np.zeros((n, len(own))), np.zeros((n, len(own)), np.float32)
-                for a, f, p in fronts():
-                    here = np.nonzero((col >= x) & (col < x + DEEP) & (mid >= a) & (mid < a + DEEP))[0]
-                    i, j, s = mid[here] - a, col[here] - x, share[here]
-                    if len(here) >= DENSE * f.shape[1] * len(own):
-                        step, there = np.zeros((f.shape[1], len(own))), np.zeros((f.shape[1], len(own)), np.float32)
-                        np.add.at(step, (i, j), s)
-                        there[i, j] = 1
-                        out += f @ step
-                        some += p @ there
-                    else:
-                        for k in range(len(here)):
-                            out[:, j[k]] += f[:, i[k]] * s[k]
-                            some[:, j[k]] += p[:, i[k]]
-                i, j = np.nonzero(some)
-                out_r.append(i)
-                out_v.append(own[j])
-                out_m.append(out[i, j])
-        rows, order = np.concatenate(out_r), np.argsort(np.concatenate(out_r), kind="stable")
-        kept, row = np.unique(rows[order], return_inverse=True)
-        b = int(left.column("b")[0].as_py()) if n else 0
-        sums = [np.full(len(r), b), t[r], [kinds[k] for k in c], [money(total[i, k]) for i, k in zip(r, c, strict=True)]]
-        there = [pa.array(x, k) for x, k in zip(sums, (pa.int32(), pa.int32(), pa.string(), pa.string()), strict=True)]
-        there += [pa.nulls(len(r), pa.list_(pa.int32())), pa.nulls(len(r), pa.list_(pa.float64()))]
-        front = [pa.array(np.full(len(kept), b), pa.int32()), pa.array(t[kept], pa.int32()), pa.nulls(len(kept), pa.string()), pa.nulls(len(kept), pa.string())]
-        front += [packed_lists(row, np.concatenate(out_v)[order], len(kept), pa.int32()), packed_lists(row, np.concatenate(out_m)[order], len(kept), pa.float64())]
-        names = ["b", "t", "kind", "amount", "v", "m"]
-        return pa.concat_tables([pa.Table.from_arrays(there, names), pa.Table.from_arrays(front, names)])
+        amounts, known = np.zeros((size, len(kinds)), np.int64), np.zeros((size, len(kinds)), bool)
+        if kinds:
+            w, w_row = lists(came, "ws")
+            cell = column(came, "m")[w_row] - low, coded.indices.to_numpy(zero_copy_only=False)
+            amounts[cell], known[cell] = w, True
+        tables = []
+
+        def give(k: int, sums: np.ndarray, some: np.ndarray) -> None:
+            r, c = np.nonzero(some)
+            total = joined(sums)
+            cols = [t[r], [kinds[x] for x in c], np.full(len(r), k), [money(total[x, y]) for x, y in zip(r, c, strict=True)]]
+            arrays = [pa.array(x, kind) for x, kind in zip(cols, (pa.int32(), pa.string(), pa.int32(), pa.string()), strict=True)]
+            tables.append(pa.Table.from_arrays([*arrays, pa.nulls(len(r), pa.list_(pa.int32())), pa.nulls(len(r), pa.list_(pa.float64()))], FLOWS))
+
+        # a vertex is once in a target's front, so a sum has size terms at most
+        here = np.flatnonzero((v >= low) & (v < low + size))
+        r, c, f = row[here], v[here] - low, limbs_of(units(m[here]))
+        sums, some = np.zeros((5, n, len(kinds)), np.int64), np.zeros((n, len(kinds)), bool)
+        for k in range(len(kinds)):
+            for j, y in limbs_of(amounts[:, k]):
+                for i, x in f:
+                    sums[i + j][:, k] += np.bincount(r, x * y[c], n).astype(np.int64)
+            some[:, k] = np.bincount(r, known[c, k], n) > 0
+        give(hops, sums, some)
+        if hops == most:
+            return pa.concat_tables(tables)
+        order = np.argsort(column(steps, "m"), kind="stable")
+        mids = column(steps, "m")[order]
+        ends, end_row = lists(steps, "next")
+        ends, end_row, share = ends - low, end_row.astype(np.int32), lists(steps, "share")[0]
+        count = np.bincount(end_row, minlength=steps.num_rows)
+        begin = np.cumsum(count) - count
+        at = np.minimum(np.searchsorted(mids, v), max(0, len(mids) - 1))
+        here = np.flatnonzero(mids[at] == v) if len(mids) else np.zeros(0, np.int64)
+        here = here[np.argsort(row[here], kind="stable")]
+        row, m, at = row[here], m[here], order[at[here]]
+        last = hops + 1 == most
+        some = np.zeros((n, len(kinds)), bool)
+        for k in range(len(kinds) if last else 0):
+            behind = np.bincount(end_row, known[ends, k], len(count)) > 0
+            some[:, k] = np.bincount(row, behind[at], n) > 0
+        parts = [(a, limbs_of(amounts[a : a + DEEP])) for a in range(0, size, DEEP)]
+        sums, fronts = np.zeros((5, n, len(kinds)), np.int64), [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        for a in range(0, n, ROWS):
+            rows = min(ROWS, n - a)
+            x, y = np.searchsorted(row, [a, a + rows])
+            front, hit = np.zeros(rows * size), np.zeros(0 if last else rows * size, bool)
+            total = np.cumsum(count[at[x:y]])
+            while x < y:
+                part = max(1, int(np.searchsorted(total, PRODUCTS, side="right")))
+                which = at[x : x + part]
+                times = count[which]
+                cell = np.arange(int(times.sum())) + np.repeat(begin[which] - (np.cumsum(times) - times), times)
+                key = np.repeat((row[x : x + part] - a).astype(np.int64) * size, times) + ends[cell]
+                front += np.bincount(key, share[cell] * np.repeat(m[x : x + part], times), len(front))
+                if not last:
+                    hit[key] = True
+                x, total = x + part, total[part:] - total[part - 1]
+            front = front.reshape(rows, size)
+            if last:
+                whole = units(front)
+                for b, y in parts if kinds else ():
+                    add_product(sums[:, a : a + rows], whole[:, b : b + DEEP], y)
+            else:
+                r, c = np.nonzero(hit.reshape(rows, size))
+                fronts.append((r + a, c + low, front[r, c]))
+        if last:
+            give(most, sums, some)
+        else:
+            r, c, f = (np.concatenate(x) for x in zip(*fronts, strict=True))
+            kept, r = np.unique(r, return_inverse=True)
+            none = [pa.nulls(len(kept), kind) for kind in (pa.string(), pa.int32(), pa.string())]
+            tables.append(pa.Table.from_arrays([pa.array(t[kept], pa.int32()), *none, packed_lists(r, c, len(kept), pa.int32()), packed_lists(r, f, len(kept), pa.float64())], FLOWS))
+        return pa.concat_tables(tables)
 
     return run
 
 
+FLOWS = ["t", "kind", "hops", "amount", "v", "m"]
+
+
 def inflow_levels(weights: DataFrame, came: DataFrame, most: int) -> DataFrame | None:
     """target, kind, hops, amount for two hops and more; weights: src, dst, share (null where the source hands nothing on);
-    came: cmte_id, kind, w."""
+    came: cmte_id, kind, w.
+
+    A task gets the front of a block of targets and the edges out of a block of vertices, so neither is large, and the edges move
+    as often as there are blocks. The factors of the last front, up to one for each pair, stay in the task.
+    """
+    if most < 2:
+        return None
+    size = 4 * BLOCK
+    cell = lambda c, name: F.floor(F.col(c) / size).cast("int").alias(name)
     own = came.select(F.col("cmte_id").alias("src"), F.col("cmte_id").alias("dst")).distinct()
     ids = checkpointed(numbered(weights.select("src", "dst").unionByName(own)))
     s, d = ids.select(F.col("v").alias("src"), F.col("i").alias("s")), ids.select(F.col("v").alias("dst"), F.col("i").alias("d"))
-    edges = weights.filter("share IS NOT NULL").join(s, "src").join(d, "dst").groupBy("d").agg(F.array_sort(F.collect_list(F.struct("s", "share"))).alias("l"))
-    front = checkpointed(edges.select(block("d"), F.col("d").alias("t"), F.col("l.s").alias("v"), F.col("l.share").alias("m")).repartition("b"))
+    edges = weights.filter("share IS NOT NULL").join(s, "src").join(d, "dst").groupBy("d", cell("s", "u")).agg(F.array_sort(F.collect_list(F.struct("s", "share"))).alias("l"))
+    steps = checkpointed(edges.select(F.col("d").alias("m"), "u", F.col("l.s").alias("next"), F.col("l.share").alias("share")))
+    front = steps.select(cell("m", "tb"), F.col("m").alias("t"), F.col("next").alias("v"), F.col("share").alias("m"))
     sums = came.join(ids.select(F.col("v").alias("cmte_id"), F.col("i").alias("m")), "cmte_id")
     sums = sums.groupBy("m").agg(F.collect_list(F.struct("kind", (F.col("w") * 10**PLACES).cast("long").alias("w"))).alias("l"))
-    behind = front.select(F.col("t").alias("m"), F.col("v").alias("next"), F.col("m").alias("share"))
-    known = checkpointed(sums.select("m", F.col("l.kind").alias("kinds"), F.col("l.w").alias("ws")).join(behind, "m", "full"))
+    sums = checkpointed(sums.select("m", cell("m", "u"), F.col("l.kind").alias("kinds"), F.col("l.w").alias("ws")))
     found = None
-    for hops in range(2, most + 1):
-        need = front.select(F.col("b").alias("for"), F.explode("v").alias("m")).distinct().join(known, "m")
-        need = need.select("for", "m", "kinds", "ws", *(["next", "share"] if hops < most else []))
-        both = front.select("b", "t", "v", "m").groupBy("b").cogroup(need.groupBy("for"))
-        made = checkpointed(both.applyInArrow(pushed(hops == most), "b int, t int, kind string, amount string, v array<int>, m array<double>"))
-        part = made.filter("v IS NULL").select("t", "kind", F.lit(hops).cast("long").alias("hops"), F.col("amount").cast("decimal(38,16)").alias("amount"))
+    for hops in range(2, max(2, most - 1) + 1):
+        reach = checkpointed(front.select("tb", F.explode("v").alias("m")).distinct())
+        cells = reach.select("tb", cell("m", "u"))
+        if hops < most:
+            cells = cells.unionByName(reach.join(steps.select("m", "u"), "m").select("tb", "u"))
+        cells = checkpointed(cells.distinct())
+        right = sums.join(cells, "u").select("tb", "u", "m", "kinds", "ws", F.lit(None).cast("array<int>").alias("next"), F.lit(None).cast("array<double>").alias("share"))
+        if hops < most:
+            right = right.unionByName(reach.join(steps, "m"), allowMissingColumns=True)
+        left = front.join(cells, "tb").select("tb", "u", "t", "v", "m")
+        both = left.groupBy("tb", "u").cogroup(right.groupBy("tb", "u"))
+        made = checkpointed(both.applyInArrow(crossed(hops, most, size), "t int, kind string, hops int, amount string, v array<int>, m array<double>"))
+        part = made.filter("v IS NULL").select("t", "kind", F.col("hops").cast("long"), F.col("amount").cast("decimal(38,16)").alias("amount"))
         found = part if found is None else found.unionByName(part)
-        front = made.filter("v IS NOT NULL")
-    if found is None:
-        return None
+        front = made.filter("v IS NOT NULL").select(cell("t", "tb"), "t", "v", "m")
+    found = found.groupBy("t", "kind", "hops").agg(F.sum("amount").cast("decimal(38,16)").alias("amount"))
     return found.join(ids.select(F.col("v").alias("target"), F.col("i").alias("t")), "t").select("target", "kind", "hops", "amount")
 
 
