@@ -122,12 +122,13 @@ def next_hops(k: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         starts, of = np.unique(column(left, "o"), return_inverse=True)
         mids, place = np.unique(column(right, "m"), return_inverse=True)
-        sizes = [x.value_lengths().to_numpy(zero_copy_only=False) for x in right.column("next").chunks]
-        ends = [x.flatten().to_numpy(zero_copy_only=False) for x in right.column("next").chunks]
-        ends = np.concatenate(ends) if ends else np.zeros(0, np.int32)
-        mid = np.repeat(place.astype(np.int32), np.concatenate(sizes)) if sizes else np.zeros(0, np.int32)
-        some = np.bincount(ends - ends.min()) if len(ends) else np.zeros(0, int)
-        targets = (np.flatnonzero(some) + ends.min()).astype(np.int32) if len(ends) else np.zeros(0, np.int32)
+        nexts = [batch.column("next") for batch in right.select(["next"]).to_batches()]
+        nexts = [(x.values.to_numpy(zero_copy_only=False), x.offsets.to_numpy()) for x in nexts]
+        low, high = min((x.min() for x, _ in nexts if len(x)), default=0), max((x.max() for x, _ in nexts if len(x)), default=-1)
+        some = np.zeros(int(high) - int(low) + 1, bool)
+        for x, _ in nexts:
+            some[x - low] = True
+        targets = (np.flatnonzero(some) + low).astype(np.int32)
         at = finder(targets)
         last = column(left, "hops") == k - 1
         front = by_vertex(reached(left.filter(pa.array(last))), of[last], len(starts), finder(mids), len(mids)).view(np.uint64)
@@ -139,22 +140,26 @@ def next_hops(k: int):
         every = by_vertex([np.zeros(1, int)] * len(starts), np.arange(len(starts)), len(starts), lambda v: v, 1).view(np.uint64)
         # vertices that all starts have met need no edges
         open_ = (met != every).any(axis=1)
-        col = at(ends)
-        keep = open_[col]
-        mid, col = mid[keep], col[keep]
-        del ends, keep
-        order = np.argsort(col.astype(np.uint16) if len(targets) <= 1 << 16 else col, kind="stable")
-        mid = mid[order]
-        del order
-        found = np.flatnonzero(np.bincount(col, minlength=len(targets)))
-        begin = np.concatenate([[0], np.cumsum(np.bincount(col, minlength=len(targets))[found])])
-        new = np.zeros_like(met)
-        x = 0
-        while x < len(found):
-            y = max(x + 1, int(np.searchsorted(begin, begin[x] + EDGES, side="right")) - 1)
-            words = np.bitwise_or.reduceat(front[mid[begin[x] : begin[y]]], begin[x:y] - begin[x], axis=0)
-            new[found[x:y]] = words & ~met[found[x:y]]
-            x = y
+        new, row = np.zeros_like(met), 0
+        for values, cuts in nexts:
+            i = 0
+            while i < len(cuts) - 1:
+                j = max(i + 1, int(np.searchsorted(cuts, cuts[i] + SLICE, side="right")) - 1)
+                mid, col = np.repeat(place[row + i : row + j], np.diff(cuts[i : j + 1])), at(values[cuts[i] : cuts[j]])
+                keep = open_[col]
+                mid, col = mid[keep], col[keep]
+                order = np.argsort(col.astype(np.uint16) if len(targets) <= 1 << 16 else col, kind="stable")
+                mid, col = mid[order], col[order]
+                begin = np.flatnonzero(np.diff(col, prepend=-1))
+                found, begin = col[begin], np.append(begin, len(col))
+                x = 0
+                while x < len(found):
+                    y = max(x + 1, int(np.searchsorted(begin, begin[x] + EDGES, side="right")) - 1)
+                    new[found[x:y]] |= np.bitwise_or.reduceat(front[mid[begin[x] : begin[y]]], begin[x:y] - begin[x], axis=0)
+                    x = y
+                i = j
+            row += len(cuts) - 1
+        new &= ~met
         b = int(left.column("b")[0].as_py()) if left.num_rows else 0
         rows = []
         for g in range(0, len(starts), 64):
@@ -175,8 +180,8 @@ def next_hops(k: int):
 
 #: What a start reaches over its least number of edges: as numbers (to), or as bits from the number base on.
 HOPS = "b int, o int, hops int, to array<int>, base int, bits binary"
-#: Edges whose words are in memory at once.
-EDGES = 1 << 16
+#: Edges that are sorted at once, and those whose words are in memory at once.
+SLICE, EDGES = 1 << 20, 1 << 16
 
 
 def unpacked(batches):
