@@ -184,14 +184,17 @@ HOPS = "b int, o int, hops int, to array<int>, base int, bits binary"
 SLICE, EDGES = 1 << 20, 1 << 16
 
 
-def unpacked(batches):
-    """Rows with lists alone, few at a time, since a row may hold all vertices."""
-    for batch in batches:
-        for a in range(0, batch.num_rows, 16):
-            part = batch.slice(a, 16)
-            sets = list(reached(pa.Table.from_batches([part])))
-            to = packed_lists(np.repeat(np.arange(len(sets)), [len(v) for v in sets]), np.concatenate(sets).astype(np.int32), len(sets), pa.int32())
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("origin", "o", "hops")), to], ["origin", "o", "hops", "to"])
+def unpacked(table: pa.Table) -> pa.Table:
+    """Rows of a few starts with lists alone."""
+    sets = list(reached(table))
+    to = packed_lists(np.repeat(np.arange(len(sets)), [len(v) for v in sets]), np.concatenate(sets).astype(np.int32), len(sets), pa.int32())
+    return table.select(["origin", "o", "hops"]).append_column("to", to)
+
+
+def unpacked_levels(named: DataFrame) -> DataFrame:
+    """A task gets 16 starts at a time: a row may hold all vertices, and plain batches have as many rows as the session says."""
+    few = named.select("origin", "o", "hops", "to", "base", "bits").groupBy(F.shiftright("o", 4).alias("few"))
+    return few.applyInArrow(unpacked, "origin string, o int, hops int, to array<int>")
 
 
 def hop_levels(edges: DataFrame, most: int | None) -> tuple[DataFrame, DataFrame]:
@@ -211,8 +214,8 @@ def hop_levels(edges: DataFrame, most: int | None) -> tuple[DataFrame, DataFrame
         left = seen if k == 2 else seen.join(level.select("b").distinct(), "b", "left_semi")
         level = checkpointed(left.groupBy("b").cogroup(need.groupBy("for")).applyInArrow(next_hops(k), HOPS))
         seen, ends = seen.unionByName(level.filter("o IS NOT NULL")), level.filter("o IS NULL")
-    named = seen.join(small(ids).select(F.col("v").alias("origin"), F.col("i").alias("o")), "o").select("origin", "o", "hops", "to", "base", "bits")
-    return ids, named.mapInArrow(unpacked, "origin string, o int, hops int, to array<int>")
+    named = seen.join(small(ids).select(F.col("v").alias("origin"), F.col("i").alias("o")), "o")
+    return ids, unpacked_levels(named)
 
 
 #: Bits of a limb: products of two, summed over a matrix's columns in memory, stay below 2 ** 53.
