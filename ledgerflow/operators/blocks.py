@@ -313,6 +313,7 @@ def crossed(hops: int, most: int, size: int):
                     sums[i + j][:, k] += np.bincount(r, x * y[c], n).astype(np.int64)
             some[:, k] = np.bincount(r, known[c, k], n) > 0
         give(hops, sums, some)
+        del here, r, c, f
         if hops == most:
             return pa.concat_tables(tables)
         order = np.argsort(column(steps, "m"), kind="stable")
